@@ -35,7 +35,8 @@ def subject(text: Column) -> Column:
     lines = F.transform(F.split(chunk, "\n"), lambda s: F.trim(s))
     first = F.element_at(lines, 1)
     more = F.slice(lines, 2, 3)
-    wraps = lambda s: (s != "") & s.rlike(r"^\p{Lu}") & ~F.contains(s, F.lit("OGGETTO"))
+    capitals = lambda s: s.rlike(r"^\p{Lu}") | ((s == F.upper(s)) & s.rlike(r"\p{L}"))
+    wraps = lambda s: (s != "") & capitals(s) & ~F.contains(s, F.lit("OGGETTO"))
     stop = F.array_position(F.transform(more, lambda s: ~wraps(s)), F.lit(True)).cast("int")
     taken = F.when(stop > 0, F.slice(more, F.lit(1), stop - 1)).otherwise(more)
     whole = collapse_spaces(F.concat_ws(" ", first, F.array_join(taken, " ")))
@@ -108,11 +109,15 @@ def chapter_entries(documents: DataFrame, keys: list[str], text: str = "text") -
     first = _strip_marks(F.regexp_replace("line", presets.DECISION_CHAPTER, ""))
     name = _strip_marks(collapse_spaces(F.concat_ws(" ", F.nullif(first, F.lit("")), F.array_join(taken, " "))))
     name = _strip_marks(collapse_spaces(F.regexp_replace(name, r"\b[Aa]rticolo\b", " ")))
-    codes = F.regexp_extract_all(above, F.lit(presets.DECISION_CODE), F.lit(1))
+    # A run of digits that reads as a year of this century is no chapter code.
+    codes = F.filter(
+        F.regexp_extract_all(above, F.lit(presets.DECISION_CODE), F.lit(1)),
+        lambda c: ~c.cast("bigint").between(2000, 2099),
+    )
     longest = F.array_max(
         F.transform(codes, lambda c, i: F.struct(F.length(c).alias("n"), (-i).alias("o"), c.alias("code")))
     )["code"]
-    squeezed = F.regexp_replace(above, r"\s", "")
+    squeezed = F.regexp_replace(above, r"[ \n]", "")
     entries = near.select(
         *keys,
         "at",

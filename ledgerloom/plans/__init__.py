@@ -1 +1,11 @@
 """Queries bound to the driver tables, each with its DuckDB counterpart."""
+
+from importlib import import_module
+
+MODULES = ["q_facts"]
+
+
+def load_all() -> None:
+    """Import every query module, which registers its queries."""
+    for name in MODULES:
+        import_module(f"ledgerloom.plans.{name}")
