@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["q_facts"]
+MODULES = ["q_facts", "q_analytics"]
 
 
 def load_all() -> None:

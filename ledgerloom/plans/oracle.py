@@ -97,4 +97,7 @@ def with_views(body: str, *names: str) -> str:
     for name in names:
         visit(name)
     head = ",\n".join(f"{n} AS ({CTES[n][1].strip()})" for n in order)
-    return f"WITH {head}\n{body}" if head else body
+    if not head:
+        return body
+    # A body that opens with CTEs of its own continues the same list.
+    return f"WITH {head},\n{body[4:].lstrip()}" if body.startswith("WITH ") else f"WITH {head}\n{body}"
