@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["q_facts", "q_analytics"]
+MODULES = ["q_facts", "q_analytics", "q_ordered", "q_checks"]
 
 
 def load_all() -> None:
