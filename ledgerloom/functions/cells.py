@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import is_amount, parse_localized_decimal
@@ -29,25 +29,27 @@ def leading_cells(cells: Column) -> Column:
     """Filled cells before the first amount."""
     flags = F.transform(cells, lambda c: is_amount(c))
     first = F.coalesce(F.array_position(flags, F.lit(True)).cast("int"), F.lit(0))
-    head = F.when(first > 0, F.slice(cells, F.lit(1), first - 1)).otherwise(cells)
-    return filled(head)
-
-
-def statement_row(cells: Column) -> Column:
-    """``struct<code, description, current, prior>``; NULL for rows of noise."""
-    lead = leading_cells(cells)
-    found = amounts(cells)
-    is_code = lambda c: c.rlike(CODE_CELL)
-    code = F.array_join(F.filter(lead, is_code), ".")
-    description = F.array_join(F.filter(lead, lambda c: ~is_code(c)), " ")
-    current = F.try_element_at(found, F.lit(1))
-    row = F.struct(
-        code.alias("code"),
-        description.alias("description"),
-        current.alias("current"),
-        F.try_element_at(found, F.lit(2)).alias("prior"),
-    )
-    return F.when((description != "") | current.isNotNull(), row)
+    # No amount leaves position 0, and then the whole row leads.
+    return filled(F.slice(cells, F.lit(1), F.when(first > 0, first - 1).otherwise(F.size(cells))))
+
+
+def with_parts(df: DataFrame, cells: str, lead: str = "_lead", found: str = "_amounts") -> DataFrame:
+    """Add the leading cells and the amounts of a row, each worked out once."""
+    return df.withColumns({lead: leading_cells(F.col(cells)), found: amounts(F.col(cells))})
+
+
+def is_code(cell_text: Column) -> Column:
+    return cell_text.rlike(CODE_CELL)
+
+
+def row_code(lead: Column) -> Column:
+    """Hierarchy path of a statement row from its leading cells."""
+    return F.array_join(F.filter(lead, is_code), ".")
+
+
+def row_description(lead: Column) -> Column:
+    """Label of a statement row, also when it is split over cells."""
+    return F.array_join(F.filter(lead, lambda c: ~is_code(c)), " ")
 
 
 def letters(cell: Column) -> Column:
@@ -55,16 +57,10 @@ def letters(cell: Column) -> Column:
     return F.length(F.regexp_replace(cell, "[^A-Za-zÀ-ÿ]", ""))
 
 
-def label_and_amounts(cells: Column) -> Column:
-    """``struct<label, amounts>``: the wordiest cell before the amounts.
-
-    Of equally wordy cells the first is taken; a row without amounts has none.
-    """
-    lead = leading_cells(cells)
+def row_label(lead: Column, found: Column) -> Column:
+    """The wordiest leading cell; of equals the first; empty without amounts."""
     ranked = F.transform(lead, lambda c, i: F.struct(letters(c).alias("n"), (-i).alias("o"), c.alias("cell")))
-    found = amounts(cells)
-    label = F.when(F.size(found) > 0, F.array_max(ranked)["cell"])
-    return F.struct(F.coalesce(label, F.lit("")).alias("label"), found.alias("amounts"))
+    return F.coalesce(F.when(F.size(found) > 0, F.array_max(ranked)["cell"]), F.lit(""))
 
 
 def header_text(rows: Column, n: int = 3) -> Column:

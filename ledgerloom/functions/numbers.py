@@ -28,17 +28,15 @@ def is_amount(text: Column) -> Column:
 
 
 def parse_localized_decimal(text: Column, precision: int = 20, scale: int = 2) -> Column:
-    """Amount text to decimal; NULL when it does not read as one."""
+    """Amount text to decimal; NULL when it does not read as one.
+
+    The pattern is matched once; what passed it holds only digits, separators,
+    a sign or parentheses and spaces, so the rest is character translation.
+    """
     clean = _plain_spaces(text)
-    part = lambda i: F.regexp_extract(clean, AMOUNT, i)
-    negative = (part(1) != "") | (part(2) == "-")
-    digits = F.concat(
-        F.when(negative, "-").otherwise(""),
-        F.replace(part(3), F.lit("."), F.lit("")),
-        F.lit("."),
-        F.when(part(4) == "", "0").otherwise(part(4)),
-    )
-    return F.when(is_amount_text(text), digits.try_cast(f"decimal({precision},{scale})"))
+    digits = F.translate(clean, ",.()+- \t\n\r\f\u000b", ".")
+    signed = F.when(F.contains(clean, F.lit("(")) | F.contains(clean, F.lit("-")), F.concat(F.lit("-"), digits)).otherwise(digits)
+    return F.when(clean.rlike(AMOUNT), signed.try_cast(f"decimal({precision},{scale})"))
 
 
 def parse_simple_locale(text: Column, empty_as_zero: bool = True) -> Column:

@@ -13,8 +13,14 @@ from ledgerloom.operators.ordered import coalesce_block_cells, merge_continuatio
 
 def normalize_statement_rows(rows: DataFrame, cells: str = "cells") -> DataFrame:
     """Statement cells to ``code, description, current, prior``; noise drops."""
-    parsed = rows.withColumn("_row", C.statement_row(F.col(cells))).where(F.col("_row").isNotNull())
-    return parsed.select(*[c for c in rows.columns if c != cells], "_row.*")
+    parsed = C.with_parts(rows, cells).select(
+        *[c for c in rows.columns if c != cells],
+        C.row_code(F.col("_lead")).alias("code"),
+        C.row_description(F.col("_lead")).alias("description"),
+        F.try_element_at("_amounts", F.lit(1)).alias("current"),
+        F.try_element_at("_amounts", F.lit(2)).alias("prior"),
+    )
+    return parsed.where((F.col("description") != "") | F.col("current").isNotNull())
 
 
 def largest_table(tables: DataFrame, keys: list[str], index: str = "table_index", rows: str = "rows") -> DataFrame:
@@ -64,13 +70,11 @@ def unfold_note_tables(tables: DataFrame, year: int, rows: str = "rows") -> Data
     known = F.create_map(*[x for k, v in periods.items() for x in (F.lit(k), F.array(*[F.lit(p) for p in v]))])
     rest = [c for c in tables.columns if c != rows]
     kinds = tables.withColumn("kind", note_kind(F.col(rows), year)).where(F.col("kind").isNotNull())
-    lines = kinds.select(*rest, "kind", F.posexplode(rows).alias("row_no", "_cells")).withColumn(
-        "_line", C.label_and_amounts(F.col("_cells"))
-    )
-    usable = lines.where((F.col("_line.label") != "") & (C.letters(F.col("_line.label")) >= 3))
-    flat = usable.select(
-        *rest, "kind", "row_no", F.col("_line.label").alias("voce"), F.posexplode("_line.amounts").alias("_i", "value")
+    lines = C.with_parts(kinds.select(*rest, "kind", F.posexplode(rows).alias("row_no", "_cells")), "_cells").withColumn(
+        "voce", C.row_label(F.col("_lead"), F.col("_amounts"))
     )
+    usable = lines.where(C.letters(F.col("voce")) >= 3)
+    flat = usable.select(*rest, "kind", "row_no", "voce", F.posexplode("_amounts").alias("_i", "value"))
     period = F.coalesce(F.try_element_at(known[F.col("kind")], F.col("_i") + 1), F.concat(F.lit("v"), (F.col("_i") + 1).cast("string")))
     return flat.withColumn("period", period).drop("_i")
 

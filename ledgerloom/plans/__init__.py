@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["q_facts", "q_analytics", "q_ordered", "q_checks"]
+MODULES = ["q_facts", "q_analytics", "q_ordered", "q_checks", "q_text", "q_reports"]
 
 
 def load_all() -> None:
