@@ -24,7 +24,7 @@ def is_amount_text(text: Column) -> Column:
 
 def is_amount(text: Column) -> Column:
     """Stricter test for table cells: an amount must carry a decimal comma."""
-    return is_amount_text(text) & F.coalesce(F.contains(text, F.lit(",")), F.lit(False))
+    return F.coalesce(F.contains(text, F.lit(",")), F.lit(False)) & is_amount_text(text)
 
 
 def parse_localized_decimal(text: Column, precision: int = 20, scale: int = 2) -> Column:
@@ -66,15 +66,14 @@ def parse_noisy_integer(text: Column) -> Column:
 
     Parentheses mean negative; a comma means the token is no whole number.
     """
-    tail = F.trim(text)
-    for ending in (r"_+$", r"-+$", r"\.+$"):
-        tail = F.regexp_replace(tail, ending, "")
+    # Trailing underscores, then dashes, then dots.
+    tail = F.regexp_replace(F.trim(text), r"\.*-*_*$", "")
     blob = F.regexp_extract(tail, r"(\(?\d[\d._]*\d\)?$|\(?\d\)?$)", 1)
-    digits = F.regexp_replace(blob, r"[()_]", "")
+    digits = F.translate(blob, "()_", "")
     number = F.replace(digits, F.lit("."), F.lit("")).try_cast("bigint")
     signed = F.when(blob.startswith("("), -number).otherwise(number)
     usable = ~F.contains(tail, F.lit(",")) & digits.rlike(r"^(?:\d{1,3}(?:\.\d{3})*|\d+)$")
-    return F.when(usable, signed)
+    return F.when(text.rlike(r"\d"), F.when(usable, signed))
 
 
 def parse_form_integer(text: Column) -> Column:

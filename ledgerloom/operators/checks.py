@@ -111,14 +111,12 @@ def section_totals(lines: DataFrame, keys: list[str], pos: str, code: str, name:
         lines.withColumns({"_mark": mark, "_close": closing, "_line": numbered}),
         keys,
         pos,
-        running={"_section": F.col("_mark").cast("int"), "_closed": F.col("_close").cast("int")},
+        running={"_section": F.col("_mark").cast("int")},
+        last={"_opened": F.when(F.col("_mark"), F.col(pos)), "_closed": F.when(F.col("_close"), F.col(pos))},
         before=("_closed",),
     )
-    # Closings seen before the row, less those seen before its section opened.
-    opened = scanned.groupBy(*keys, "_section").agg(F.min("_closed").alias("_closed_before"))
-    rows = scanned.join(opened, [*keys, "_section"]).where(
-        (F.col("_section") > 0) & (F.col("_closed") == F.col("_closed_before"))
-    )
+    # A row counts while no closing row lies between it and its section's mark.
+    rows = scanned.where((F.col("_section") > 0) & (F.coalesce("_closed", F.col("_opened") - 1) < F.col("_opened")))
     zero = F.lit(0).cast(MONEY)
     sums = rows.groupBy(*keys, "_section").agg(
         F.max(F.when(F.col("_close"), F.col(value))).alias("printed"),

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import checkpoint_root
+from ledgerloom.session import materialize
 
 SLICE_ROWS = 50_000
 _SLICE = "_slice"
@@ -128,12 +128,11 @@ def neighbours(df: DataFrame, keys: list[str], idx: str, cols: list[str], offset
 def global_position(df: DataFrame, order: list[Column], out: str = "position", start: int = 1) -> DataFrame:
     """Consecutive numbers over the whole table in the given order.
 
-    The sort is range-partitioned; the sorted table is checkpointed so that the
+    The sort is range-partitioned; the sorted table is written out so that the
     row counts per partition and the rows themselves come from one and the same
     sort, also when an executor is lost in between.
     """
-    checkpoint_root(df.sparkSession)
-    tagged = df.orderBy(*order).withColumn("_tag", F.monotonically_increasing_id()).checkpoint()
+    tagged = materialize(df.orderBy(*order).withColumn("_tag", F.monotonically_increasing_id()), "position")
     part = F.shiftright("_tag", 33)
     counts = tagged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # One row per partition: the only thing the un-partitioned window sees.
@@ -157,17 +156,27 @@ def carry_headings(
     row (NULL elsewhere). Each heading travels with its position, and a lower
     one counts only when it was set after every level above.
     """
-    held = {
+    held = held_headings(pos, levels)
+    scanned = ordered_scan(df, keys, pos, last=held, width=width)
+    return scanned.withColumns(nested_headings(list(levels))).drop(*held)
+
+
+def held_headings(pos: str, levels: dict[str, Column]) -> dict[str, Column]:
+    """Scan inputs that carry each heading together with its position."""
+    return {
         f"_h_{n}": F.when(e.isNotNull(), F.struct(F.col(pos).alias("p"), e.alias("v"))) for n, e in levels.items()
     }
-    scanned = ordered_scan(df, keys, pos, last=held, width=width)
+
+
+def nested_headings(levels: list[str]) -> dict[str, Column]:
+    """Headings in force, from the carried ones, outermost level first."""
     outputs, above = {}, []
     for name in levels:
         own = F.col(f"_h_{name}")
         newer = reduce(lambda a, b: a & b, [own["p"] > F.coalesce(u["p"], F.lit(-1)) for u in above], F.lit(True))
         outputs[name] = F.when(newer, own["v"])
         above.append(own)
-    return scanned.withColumns(outputs).drop(*held)
+    return outputs
 
 
 def block_ids(
@@ -220,17 +229,27 @@ def merge_continuations(
     )
 
 
-def coalesce_block_cells(df: DataFrame, keys: list[str], pos: str, starts: Column, cells: str) -> DataFrame:
-    """One row of cells per block: the first filled cell of every column."""
+def coalesce_block_cells(
+    df: DataFrame, keys: list[str], pos: str, starts: Column, cells: str, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row of cells per block: the first filled cell of every column.
+
+    ``carried`` columns are taken from the row that opens the block.
+    """
     numbered = block_ids(df, keys, pos, starts)
-    long = numbered.where(F.col("block") > 0).select(*keys, "block", pos, F.posexplode(cells).alias("col", "cell"))
-    firsts = long.groupBy(*keys, "block", "col").agg(first_value(F.col("cell"), pos, F.col("cell") != "").alias("cell"))
-    return firsts.groupBy(*keys, "block").agg(
+    opening = F.struct(pos, *carried).alias("_opening")
+    long = numbered.where(F.col("block") > 0).select(*keys, "block", pos, opening, F.posexplode(cells).alias("col", "cell"))
+    firsts = long.groupBy(*keys, "block", "col").agg(
+        first_value(F.col("cell"), pos, F.col("cell") != "").alias("cell"), F.min("_opening").alias("_opening")
+    )
+    merged = firsts.groupBy(*keys, "block").agg(
+        F.min("_opening").alias("_opening"),
         F.transform(
             F.array_sort(F.collect_list(F.struct("col", F.coalesce("cell", F.lit("")).alias("cell")))),
             lambda c: c["cell"],
-        ).alias(cells)
+        ).alias(cells),
     )
+    return merged.select(*keys, "block", *[F.col(f"_opening.{c}").alias(c) for c in carried], cells)
 
 
 def pair_rows(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import cells as C
 from ledgerloom.functions.numbers import is_amount, is_amount_text, parse_localized_decimal, parse_percent, sum_percentages
 from ledgerloom.functions.text import classify_entity
-from ledgerloom.operators.ordered import coalesce_block_cells, merge_continuations, pair_rows, row_index
+from ledgerloom.operators.ordered import coalesce_block_cells, merge_continuations, pair_rows
 
 
 def normalize_statement_rows(rows: DataFrame, cells: str = "cells") -> DataFrame:
@@ -41,13 +41,12 @@ def non_blank_rows(tables: DataFrame, rows: str = "rows") -> DataFrame:
     return flat.where(F.exists("cells", lambda c: c != ""))
 
 
-def note_kind(rows: Column, year: int) -> Column:
-    """Kind of a notes table from its header: movements, comparison or detail.
+def note_kind(head: Column, year: int) -> Column:
+    """Kind of a notes table from its header text: movements, comparison or detail.
 
     The markers are fixed values of the printed layout; the comparison looks
     for the closing date of the year before.
     """
-    head = C.header_text(rows)
     has = lambda t: F.contains(head, F.lit(t))
     return (
         F.when(has("valore di inizio"), "movimenti")
@@ -69,7 +68,8 @@ def unfold_note_tables(tables: DataFrame, year: int, rows: str = "rows") -> Data
     }
     known = F.create_map(*[x for k, v in periods.items() for x in (F.lit(k), F.array(*[F.lit(p) for p in v]))])
     rest = [c for c in tables.columns if c != rows]
-    kinds = tables.withColumn("kind", note_kind(F.col(rows), year)).where(F.col("kind").isNotNull())
+    headed = tables.withColumn("_head", C.header_text(F.col(rows)))
+    kinds = headed.withColumn("kind", note_kind(F.col("_head"), year)).where(F.col("kind").isNotNull())
     lines = C.with_parts(kinds.select(*rest, "kind", F.posexplode(rows).alias("row_no", "_cells")), "_cells").withColumn(
         "voce", C.row_label(F.col("_lead"), F.col("_amounts"))
     )
@@ -174,12 +174,8 @@ def valuation_metrics(
 
     The column positions depend on how many columns the folded row has.
     """
-    blocks = coalesce_block_cells(rows, keys, pos, is_entity_row(F.col(cells)), cells)
-    starts = rows.where(is_entity_row(F.col(cells)))
-    # The page of a block is the page of its opening row.
-    pages = starts.select(*keys, pos, page)
-    opened = row_index(pages, keys, pos, "block").withColumn("block", F.col("block") + 1)
-    named = blocks.join(opened.select(*keys, "block", page), [*keys, "block"]).withColumns(
+    blocks = coalesce_block_cells(rows, keys, pos, is_entity_row(F.col(cells)), cells, carried=(page,))
+    named = blocks.withColumns(
         {
             "entity_name": C.cell(F.col(cells), 0),
             "note": F.nullif(F.regexp_extract(F.array_join(cells, " "), VALUATION_ENTRY, 0), F.lit("")),

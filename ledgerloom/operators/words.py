@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ledgerloom import presets
 from ledgerloom.functions.numbers import parse_noisy_integer, scale_units
 from ledgerloom.functions.text import clean_line_name, is_total_line, line_code, related_party
+from ledgerloom.operators.facts import two_years
 from ledgerloom.operators.ordered import block_ids, join_lines, neighbours, row_index
+from ledgerloom.session import materialize
 
 
 def _row_starts(tops: Column, tolerance: float) -> Column:
@@ -85,16 +87,6 @@ def row_neighbour_text(words: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, "row_top", F.inline(following))
 
 
-def two_years(df: DataFrame, year: Column, prior_year: Column, current: str = "current", prior: str = "prior") -> DataFrame:
-    """One row per year for lines with a current and a prior value; NULLs drop."""
-    pairs = F.array(
-        F.struct(year.cast("int").alias("year"), F.col(current).alias("value")),
-        F.struct(prior_year.cast("int").alias("year"), F.col(prior).alias("value")),
-    )
-    kept = [c for c in df.columns if c not in (current, prior)]
-    return df.select(*kept, F.inline(F.filter(pairs, lambda p: p["value"].isNotNull())))
-
-
 def _line_position(df: DataFrame, keys: list[str], page: str) -> DataFrame:
     """Position that follows page and baseline (to a thousandth of a point)."""
     return df.withColumn(
@@ -115,7 +107,7 @@ def assemble_statement(
     its label and lend it their amounts when it has none yet.
     """
     rows = assign_columns(cluster_rows(words, [*keys, page], layout["row_tolerance"]), [*keys, page], layout)
-    rows = _line_position(rows.where(F.col("label") != ""), keys, page)
+    rows = materialize(_line_position(rows.where(F.col("label") != ""), keys, page), "rows")
     starts = (line_code(F.col("label")) != "") | is_total_line(F.col("label"))
     marked = rows.withColumn("_starts", starts)
     numbered = block_ids(marked, keys, "_pos", F.col("_starts"), out="_line", width=_PAGE_SLICE)
@@ -151,7 +143,7 @@ def assemble_statement(
 def printed_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
     """Number the lines that carry at least one amount, in printed order."""
     emitted = F.col("current").isNotNull() | F.col("prior").isNotNull()
-    kept = lines.where(emitted)
+    kept = materialize(lines.where(emitted), "lines")
     return row_index(kept, keys, "_pos", "seq", width=_PAGE_SLICE).withColumn("seq", F.col("seq").cast("int"))
 
 
@@ -187,7 +179,7 @@ def assemble_four_columns(
     above does too, unless the value row before it has already taken it.
     """
     clustered = cluster_rows(words, [*keys, page], layout["row_tolerance"])
-    rows = _line_position(four_column_rows(clustered, [*keys, page], layout), keys, page)
+    rows = materialize(_line_position(four_column_rows(clustered, [*keys, page], layout), keys, page), "rows")
     rows = rows.withColumn("_valued", F.col("current").isNotNull() | F.col("prior").isNotNull())
     indexed = row_index(rows, keys, "_pos", width=_PAGE_SLICE)
     around = neighbours(indexed, keys, "idx", ["label", "row_top", "_valued"], {"above": -1, "above2": -2, "below": 1})
@@ -231,9 +223,11 @@ def counterparty_rows(
     """
     clustered = cluster_rows(words, [*keys, page], layout["row_tolerance"]).where(F.col("row_top") >= layout["skip_top"])
     label = F.col("x0") < label_x0_max
-    labels = clustered.groupBy(*keys, page, "row_top").agg(F.trim(_words_in_order(F.col("text"), label)).alias("_label"))
-    wanted = labels.where(F.lower("_label").startswith(entity.lower())).select(*keys, page, "row_top")
-    cells = clustered.where(~label).join(wanted, [*keys, page, "row_top"], "left_semi")
+    rows = clustered.groupBy(*keys, page, "row_top").agg(
+        F.trim(_words_in_order(F.col("text"), label)).alias("_label"),
+        F.collect_list(F.when(~label, F.struct("text", "x0", "x1"))).alias("_cells"),
+    )
+    cells = rows.where(F.lower("_label").startswith(entity.lower())).select(*keys, page, "row_top", F.inline("_cells"))
     column = F.lit(len(bounds) + 1)
     for i in range(len(bounds), 0, -1):
         column = F.when(F.col("x1") <= bounds[i - 1], i).otherwise(column)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["q_facts", "q_analytics", "q_ordered", "q_checks", "q_text", "q_reports"]
+MODULES = ["q_facts", "q_analytics", "q_ordered", "q_checks", "q_text", "q_reports", "q_sources"]
 
 
 def load_all() -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are tuned for. Join sides are broadcast only when
 # Spark's own statistics (file sizes at plan time, shuffle sizes at run time)
@@ -52,3 +52,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one written table."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a stage to the shared folder and read it back.
+
+    Used where the next operator reads its input more than once: the work
+    above is done once, survives the loss of an executor, and the file sizes
+    give later joins a true size to decide on.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
