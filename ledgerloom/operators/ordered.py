@@ -1,10 +1,12 @@
 """Order-dependent operators that stay parallel inside one huge group.
 
-A window over ``partitionBy(document)`` puts a whole document in one task. The
-scan here cuts every group into slices by position, works out what each slice
-hands on to the next from one small row per slice, and runs the real window
-inside slices only. The result is the same as the plain window; a group with a
-third of all rows is spread over as many tasks as it has slices.
+A window over ``partitionBy(document)`` puts a whole document in one task. When
+positions run past one slice, the scan here cuts every group into slices by
+position, works out what each slice hands on to the next from one small row per
+slice, and runs the real window inside slices only. The result is the same as
+the plain window; a group with a third of all rows is spread over as many tasks
+as it has slices. Tables whose positions all lie in one slice - every group is
+then smaller than a slice - take the plain window and its single shuffle.
 
 ``pos`` is an integer position that is unique within the group.
 """
@@ -26,6 +28,16 @@ def _null_safe(left: DataFrame, right: DataFrame, names: list[tuple[str, str]])
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in names])
 
 
+def in_one_slice(df: DataFrame, low: str, high: str | None = None, width: int = SLICE_ROWS) -> bool:
+    """True when no position lies outside one slice.
+
+    One pass over the position column with a global minimum and maximum; only
+    the two numbers reach the driver.
+    """
+    ends = df.agg(F.min(low).alias("lo"), F.max(high or low).alias("hi")).first()
+    return ends["lo"] is None or int(ends["lo"]) // width == int(ends["hi"]) // width
+
+
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
@@ -36,6 +48,7 @@ def ordered_scan(
     following: dict[str, Column] | None = None,
     before: tuple[str, ...] = (),
     width: int = SLICE_ROWS,
+    one_slice: bool | None = None,
 ) -> DataFrame:
     """Add running sums and carried values in position order.
 
@@ -43,13 +56,16 @@ def ordered_scan(
     ``last``      last non-null value of the expression up to the row;
     ``following`` first non-null value from the row on;
     ``before``    names of outputs that leave out the row itself.
+
+    ``one_slice`` passes on what ``in_one_slice`` has already told the caller.
     """
     running, last, following = running or {}, last or {}, following or {}
     src = {name: f"_src_{name}" for name in (*running, *last, *following)}
     exprs = {**running, **last, **following}
-    cut = df.withColumns(
-        {**{src[n]: e for n, e in exprs.items()}, _SLICE: F.floor(F.col(pos) / F.lit(width)).cast("bigint")}
-    )
+    sources = df.withColumns({src[n]: e for n, e in exprs.items()})
+    if in_one_slice(df, pos, width=width) if one_slice is None else one_slice:
+        return _windowed(sources, df.columns, keys, pos, src, running, last, following, before, carried=False)
+    cut = sources.withColumn(_SLICE, F.floor(F.col(pos) / F.lit(width)).cast("bigint"))
 
     def present(name: str) -> Column:
         return F.when(F.col(src[name]).isNotNull(), F.col(pos))
@@ -72,28 +88,31 @@ def ordered_scan(
     )
     pairs = [(k, f"_key_{k}") for k in keys] + [(_SLICE, "_key_slice")]
     joined = cut.join(handed, _null_safe(cut, handed, pairs))
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(pos)
+    return _windowed(joined, df.columns, [*keys, _SLICE], pos, src, running, last, following, before, carried=True)
 
-    def frame(name: str):
-        end = -1 if name in before else Window.currentRow
-        return inside.rowsBetween(Window.unboundedPreceding, end)
+
+def _windowed(rows, columns, keys, pos, src, running, last, following, before, carried: bool) -> DataFrame:
+    """The window itself, added to what earlier or later slices hand on."""
+    inside = Window.partitionBy(*keys).orderBy(pos)
+
+    def up_to(name: str):
+        return inside.rowsBetween(Window.unboundedPreceding, -1 if name in before else Window.currentRow)
 
     def onward(name: str):
-        start = 1 if name in before else Window.currentRow
-        return inside.rowsBetween(start, Window.unboundedFollowing)
+        return inside.rowsBetween(1 if name in before else Window.currentRow, Window.unboundedFollowing)
+
+    def handed_on(name: str, default: Column) -> Column:
+        return F.coalesce(F.col(f"_in_{name}"), default) if carried else default
+
+    def first_known(value: Column, name: str) -> Column:
+        return F.coalesce(value, F.col(f"_in_{name}")) if carried else value
 
     outputs = {
-        **{
-            n: F.coalesce(F.col(f"_in_{n}"), F.lit(0)) + F.coalesce(F.sum(src[n]).over(frame(n)), F.lit(0))
-            for n in running
-        },
-        **{n: F.coalesce(F.last(src[n], ignorenulls=True).over(frame(n)), F.col(f"_in_{n}")) for n in last},
-        **{
-            n: F.coalesce(F.first(src[n], ignorenulls=True).over(onward(n)), F.col(f"_in_{n}"))
-            for n in following
-        },
+        **{n: handed_on(n, F.lit(0)) + F.coalesce(F.sum(src[n]).over(up_to(n)), F.lit(0)) for n in running},
+        **{n: first_known(F.last(src[n], ignorenulls=True).over(up_to(n)), n) for n in last},
+        **{n: first_known(F.first(src[n], ignorenulls=True).over(onward(n)), n) for n in following},
     }
-    return joined.select(*[F.col(c) for c in df.columns], *[e.alias(n) for n, e in outputs.items()])
+    return rows.select(*[F.col(c) for c in columns], *[e.alias(n) for n, e in outputs.items()])
 
 
 def row_index(df: DataFrame, keys: list[str], pos: str, out: str = "idx", width: int = SLICE_ROWS) -> DataFrame:

@@ -45,10 +45,23 @@ def cluster_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> D
     return words.join(starts, [*keys, "top"])
 
 
-def _words_in_order(text: Column, keep: Column) -> Column:
-    """Aggregate: kept words of a row from left to right."""
-    kept = F.when(keep, F.struct(F.col("x0").alias("x0"), F.col("top").alias("top"), text.alias("t")))
-    return F.array_join(F.transform(F.array_sort(F.collect_list(kept)), lambda w: w["t"]), " ")
+def printed_rows(words: DataFrame, keys: list[str]) -> DataFrame:
+    """Visual rows with their words from left to right, numbers already read.
+
+    A row is gathered whole because its label is one text; it is never wider
+    than a printed line.
+    """
+    word = F.struct("x0", "top", "x1", "text", parse_noisy_integer(F.col("text")).alias("n"))
+    return words.groupBy(*keys, "row_top").agg(F.array_sort(F.collect_list(word)).alias("_words"))
+
+
+def _texts(words: Column) -> Column:
+    return F.trim(F.array_join(F.transform(words, lambda w: w["text"]), " "))
+
+
+def _right_most(words: Column) -> Column:
+    """Number with the largest right edge; of equals the first printed."""
+    return F.array_max(F.transform(words, lambda w: F.struct(w["x1"].alias("a"), (-w["x0"]).alias("b"), w["n"].alias("n"))))["n"]
 
 
 def assign_columns(words: DataFrame, keys: list[str], layout: dict = presets.CIVIL_LAYOUT) -> DataFrame:
@@ -58,33 +71,25 @@ def assign_columns(words: DataFrame, keys: list[str], layout: dict = presets.CIV
     current year; "12 mesi" is a heading, not a number. The current year keeps
     the first of two equally placed numbers and the prior year the last.
     """
-    ahead = row_neighbour_text(words, keys)
-    number = F.when(F.lower(F.coalesce("_next_text", F.lit(""))) != "mesi", parse_noisy_integer(F.col("text")))
-    typed = ahead.withColumn("_n", number)
-    prior = F.col("_n").isNotNull() & (F.col("x1") >= layout["prior_x1_min"])
-    current = F.col("_n").isNotNull() & ~prior & (F.col("x1") >= layout["current_x1_min"])
-    return typed.groupBy(*keys, "row_top").agg(
-        F.trim(_words_in_order(F.col("text"), ~(prior | current))).alias("label"),
-        F.max_by("_n", F.when(current, F.struct(F.col("x1").alias("a"), (-F.col("x0")).alias("b")))).alias("current"),
-        F.max_by("_n", F.when(prior, F.struct(F.col("x0").alias("a"), F.col("x1").alias("b")))).alias("prior"),
-    )
-
+    rows = printed_rows(words, keys)
+
+    def placed(w: Column, i: Column) -> Column:
+        heading = F.coalesce(F.lower(F.try_element_at(F.col("_words"), i + 2)["text"]) == "mesi", F.lit(False))
+        column = F.when(w["x1"] >= layout["prior_x1_min"], "prior").when(w["x1"] >= layout["current_x1_min"], "current")
+        return F.struct(
+            w["x0"].alias("x0"), w["x1"].alias("x1"), w["text"].alias("text"), w["n"].alias("n"),
+            F.when(w["n"].isNotNull() & ~heading, column).alias("column"),
+        )
 
-def row_neighbour_text(words: DataFrame, keys: list[str]) -> DataFrame:
-    """Add ``_next_text``, the text of the next word to the right in its row."""
-    row_words = F.array_sort(F.collect_list(F.struct("x0", "top", "x1", "text")))
-    rows = words.groupBy(*keys, "row_top").agg(row_words.alias("_w"))
-    following = F.transform(
-        F.col("_w"),
-        lambda w, i: F.struct(
-            w["x0"].alias("x0"),
-            w["top"].alias("top"),
-            w["x1"].alias("x1"),
-            w["text"].alias("text"),
-            F.try_element_at(F.col("_w"), i + 2)["text"].alias("_next_text"),
-        ),
+    split = rows.select(*keys, "row_top", F.transform("_words", placed).alias("_placed"))
+    of = lambda name: F.filter("_placed", lambda w: w["column"] == name)
+    return split.select(
+        *keys,
+        "row_top",
+        _texts(F.filter("_placed", lambda w: w["column"].isNull())).alias("label"),
+        _right_most(of("current")).alias("current"),
+        F.try_element_at(of("prior"), F.lit(-1))["n"].alias("prior"),
     )
-    return rows.select(*keys, "row_top", F.inline(following))
 
 
 def _line_position(df: DataFrame, keys: list[str], page: str) -> DataFrame:
@@ -149,18 +154,18 @@ def printed_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 def four_column_rows(words: DataFrame, keys: list[str], layout: dict = presets.FOUR_COLUMN_LAYOUT) -> DataFrame:
     """Visual rows of the layout current | party | prior | party."""
-    note = F.col("text").rlike(presets.FOUR_COLUMN_NOTE)
-    number = F.when(~note, parse_noisy_integer(F.col("text")))
-    typed = words.where(F.col("row_top") >= layout["skip_top"]).withColumn("_n", number)
-    got = F.col("_n").isNotNull()
-    current = got & (F.col("x1") <= layout["current_x1_max"])
-    prior = got & F.col("x1").between(layout["prior_x1_min"], layout["prior_x1_max"]) & ~current
-    place = F.struct(F.col("x1").alias("a"), (-F.col("x0")).alias("b"))
-    label = (F.col("x0") < layout["label_x0_max"]) & ~note
-    return typed.groupBy(*keys, "row_top").agg(
-        F.trim(_words_in_order(F.col("text"), label)).alias("label"),
-        F.max_by("_n", F.when(current, place)).alias("current"),
-        F.max_by("_n", F.when(prior, place)).alias("prior"),
+    rows = printed_rows(words.where(F.col("row_top") >= layout["skip_top"]), keys).withColumn(
+        "_words", F.filter("_words", lambda w: ~w["text"].rlike(presets.FOUR_COLUMN_NOTE))
+    )
+    is_current = lambda w: w["x1"] <= layout["current_x1_max"]
+    is_prior = lambda w: w["x1"].between(layout["prior_x1_min"], layout["prior_x1_max"])
+    numbers = lambda test: F.filter("_words", lambda w: w["n"].isNotNull() & test(w))
+    return rows.select(
+        *keys,
+        "row_top",
+        _texts(F.filter("_words", lambda w: w["x0"] < layout["label_x0_max"])).alias("label"),
+        _right_most(numbers(is_current)).alias("current"),
+        _right_most(numbers(is_prior)).alias("prior"),
     )
 
 
@@ -222,19 +227,16 @@ def counterparty_rows(
     beyond the last bound it belongs to the last column.
     """
     clustered = cluster_rows(words, [*keys, page], layout["row_tolerance"]).where(F.col("row_top") >= layout["skip_top"])
-    label = F.col("x0") < label_x0_max
-    rows = clustered.groupBy(*keys, page, "row_top").agg(
-        F.trim(_words_in_order(F.col("text"), label)).alias("_label"),
-        F.collect_list(F.when(~label, F.struct("text", "x0", "x1"))).alias("_cells"),
-    )
-    cells = rows.where(F.lower("_label").startswith(entity.lower())).select(*keys, page, "row_top", F.inline("_cells"))
+    rows = printed_rows(clustered, [*keys, page])
+    label = _texts(F.filter("_words", lambda w: w["x0"] < label_x0_max))
+    wanted = rows.where(F.lower(label).startswith(entity.lower()))
+    cells = wanted.select(*keys, page, "row_top", F.inline(F.filter("_words", lambda w: w["x0"] >= label_x0_max)))
     column = F.lit(len(bounds) + 1)
     for i in range(len(bounds), 0, -1):
         column = F.when(F.col("x1") <= bounds[i - 1], i).otherwise(column)
     names = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).alias("category")) for n, c in columns])
     return (
-        cells.withColumn("_n", parse_noisy_integer(F.col("text")))
-        .where(F.col("_n") != 0)
+        cells.where(F.col("n") != 0)
         .withColumn("_col", F.try_element_at(names, column))
         .where(F.col("_col").isNotNull())
         .select(
@@ -244,7 +246,7 @@ def counterparty_rows(
             "x0",
             F.col("_col.category").alias("category"),
             F.col("_col.name").alias("name"),
-            scale_units(F.col("_n"), factor).alias("value"),
+            scale_units(F.col("n"), factor).alias("value"),
             F.lit(entity).alias("related_party"),
         )
     )
