@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import materialize
 
-SLICE_ROWS = 50_000
+SLICE_ROWS = 1_000_000
 _SLICE = "_slice"
 
 

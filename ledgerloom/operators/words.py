@@ -18,19 +18,17 @@ from ledgerloom.session import materialize
 
 
 def _row_starts(tops: Column, tolerance: float) -> Column:
-    """First baseline of the row each baseline of a page falls into.
+    """First baselines of the rows of a page, from its sorted distinct baselines.
 
     A baseline joins the open row when it is within the tolerance of the row's
-    first baseline. Folding over a page's sorted distinct baselines.
+    first baseline; otherwise it opens the next row.
     """
-    empty = F.array().cast("array<struct<top:double,start:double>>")
 
-    def step(acc: Column, top: Column) -> Column:
-        open_row = F.try_element_at(acc, F.lit(-1))["start"]
-        start = F.when(F.abs(top - open_row) <= tolerance, open_row).otherwise(top)
-        return F.concat(acc, F.array(F.struct(top.alias("top"), start.alias("start"))))
+    def step(starts: Column, top: Column) -> Column:
+        near = F.abs(top - F.try_element_at(starts, F.lit(-1))) <= tolerance
+        return F.when(near, starts).otherwise(F.concat(starts, F.array(top)))
 
-    return F.aggregate(tops, empty, step)
+    return F.aggregate(tops, F.array().cast("array<double>"), step)
 
 
 def cluster_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> DataFrame:
@@ -41,8 +39,15 @@ def cluster_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> D
     joined back to their row.
     """
     lines = words.select(*keys, "top").distinct().groupBy(*keys).agg(F.sort_array(F.collect_list("top")).alias("_tops"))
-    starts = lines.select(*keys, F.inline(_row_starts(F.col("_tops"), tolerance))).withColumnRenamed("start", "row_top")
-    return words.join(starts, [*keys, "top"])
+    # A row ends where the next begins, so each start owns the baselines up to it.
+    starts = lines.withColumn("_starts", _row_starts(F.col("_tops"), tolerance)).select(
+        *keys,
+        "_tops",
+        F.posexplode("_starts").alias("_i", "row_top"),
+        F.try_element_at("_starts", F.col("_i") + 2).alias("_next"),
+    )
+    inside = F.filter("_tops", lambda t: (t >= F.col("row_top")) & (F.col("_next").isNull() | (t < F.col("_next"))))
+    return words.join(starts.select(*keys, "row_top", F.explode(inside).alias("top")), [*keys, "top"])
 
 
 def printed_rows(words: DataFrame, keys: list[str]) -> DataFrame:

@@ -67,9 +67,8 @@ SELECT year AS document_id, year, raw_name AS name, canonical_slug, canonical_na
 SELECT id AS entity_id, year AS document_id, year, raw_name AS entity_name, canonical_slug, canonical_name, m.source, m.metric_name, m.value, m.unit, source_page
 FROM supplier_year, LATERAL (VALUES ('valutazione', 'valore', valore, 'EUR'), ('personale', 'quantita', quantita, 'EUR'), ('valutazione', 'sconto', sconto, 'PCT')) m(source, metric_name, value, unit)"""),
     "line": ([], f"""
-SELECT l_orderkey AS doc, l_linenumber AS pos, sum(CAST(l_extendedprice AS {M})) AS amount, sum(CAST(l_quantity AS {M}) * 1000) AS prior,
- max(l_returnflag) AS flag, max(l_linestatus) AS status, max(p_name) AS name, max(l_partkey) AS part
-FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2"""),
+SELECT x.*, p_name AS name FROM (SELECT l_orderkey AS doc, l_linenumber AS pos, sum(CAST(l_extendedprice AS {M})) AS amount, sum(CAST(l_quantity AS {M}) * 1000) AS prior,
+ max(l_returnflag) AS flag, max(l_linestatus) AS status, max(l_partkey) AS part FROM lineitem GROUP BY 1, 2) x JOIN part ON part = p_partkey"""),
     "statement": ([], f"""
 WITH items AS (SELECT l_suppkey, CAST(year(l_shipdate) AS INT) AS year,
   CASE l_returnflag WHEN 'A' THEN 'stato_patrimoniale_attivo' WHEN 'N' THEN 'stato_patrimoniale_passivo' ELSE 'conto_economico' END AS category,
