@@ -55,8 +55,7 @@ def rank_by_latest(df: DataFrame, series: str, value: str = "value", year: str =
 
     Series without a value in that year follow, in order of their name.
     """
-    latest = df.agg(F.max(year).alias("_latest")).withColumn("_one", F.lit(1))
-    marked = df.withColumn("_one", F.lit(1)).join(latest, "_one")
+    marked = df.withColumn("_latest", df.agg(F.max(year)).scalar())
     per_series = marked.groupBy(series).agg(F.max(F.when(F.col(year) == F.col("_latest"), F.col(value))).alias("latest_value"))
     order = [F.col("latest_value").desc_nulls_last(), F.col(series).asc()]
     return global_position(per_series, order, out="rank")
@@ -67,9 +66,9 @@ def missing_years(df: DataFrame, available: DataFrame, keys: list[str], year: st
 
     Each key meets the catalogue's sorted list of years, one short array.
     """
-    years = available.select(year).distinct().agg(F.sort_array(F.collect_list(year)).alias("_all")).withColumn("_one", F.lit(1))
+    years = available.select(year).distinct().agg(F.sort_array(F.collect_list(year))).scalar()
     present = df.select(*keys, year).distinct().groupBy(*keys).agg(F.collect_list(year).alias("_have"))
-    gaps = present.withColumn("_one", F.lit(1)).join(years, "_one")
+    gaps = present.withColumn("_all", years)
     return gaps.select(*keys, F.explode(F.array_except("_all", "_have")).alias(year))
 
 

@@ -164,10 +164,8 @@ def check_chain(series: DataFrame, keys: list[str], closing: str, opening: str,
     """
     pairs = next_year_pairs(series, keys, closing, opening)
     result = summarize(pairs, name, F.col(closing) != F.col(opening), need_cases=False)
-    years = series.select("year").distinct().limit(2).agg(F.count("*").alias("_years")).withColumn("check", F.lit(name))
-    return result.join(years, "check").select(
-        "check", "checked", "failed", (F.col("passed") & (F.col("_years") > 1)).alias("passed")
-    )
+    years = series.select("year").distinct().limit(2).agg(F.count("*")).scalar()
+    return result.withColumn("passed", F.col("passed") & (years > 1))
 
 
 def check_per_capita(series: DataFrame, total: str, people: str, printed: str, name: str = "per_capita") -> DataFrame:
@@ -250,8 +248,7 @@ def statement_reconcile(items: DataFrame, keys: list[str], scheme: str = "civil"
 def check_report(checks: list[DataFrame]) -> DataFrame:
     """All result rows with the verdict of the whole report on each."""
     rows = reduce(DataFrame.unionByName, checks)
-    verdict = rows.agg(F.bool_and("passed").alias("report_passed")).withColumn("_one", F.lit(1))
-    return rows.withColumn("_one", F.lit(1)).join(verdict, "_one").drop("_one")
+    return rows.withColumn("report_passed", rows.agg(F.bool_and("passed")).scalar())
 
 
 def gate(checks: DataFrame) -> bool:

@@ -24,14 +24,8 @@ def hierarchy_rollup(leaves: DataFrame) -> DataFrame:
     nodes = sums.rollup("liv1_code", "liv2_code", "liv3_code").agg(
         (F.lit(3) - F.bit_count(F.grouping_id())).cast("int").alias("depth"), F.sum("value").alias("value")
     )
-    root = nodes.where(F.col("depth") == 0).select(F.col("value").alias("root_value"), F.lit(0).alias("_root"))
-    # The root is one row; joining on a constant keeps it an equi-join.
-    return (
-        nodes.withColumn("_root", F.lit(0))
-        .join(root, "_root")
-        .withColumn("root_share", F.try_divide(F.col("value").cast("double") * 100, F.col("root_value").cast("double")))
-        .drop("_root", "root_value")
-    )
+    root = sums.agg(F.sum("value").cast("double")).scalar()
+    return nodes.withColumn("root_share", F.try_divide(F.col("value").cast("double") * 100, root))
 
 
 def leaf_paths(leaves: DataFrame, missing: str = "—") -> DataFrame:

@@ -32,11 +32,11 @@ FROM geo WHERE NOT (r_name = 'EUROPE' AND c_mktsegment = 'BUILDING') GROUP BY AL
     "population": (["geo"], """
 SELECT n_name AS comune, year, CAST(count(DISTINCT o_custkey) AS INT) AS residenti FROM geo WHERE n_name <> 'NATION_7' GROUP BY ALL"""),
     "contract": ([], f"""
-SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS cig, CAST(year(o_orderdate) AS INT) AS anno, max(p_name) AS oggetto, o_orderpriority AS struttura,
- CASE WHEN s_acctbal >= 0 THEN s_name END AS aggiudicatario, CAST(count(*) AS INT) AS n_partecipanti,
- sum(CAST(l_extendedprice AS {M})) AS importo_aggiudicazione, sum(CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS {M}) END) AS importo_liquidato
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
-GROUP BY l_orderkey, l_suppkey, year(o_orderdate), o_orderpriority, s_acctbal, s_name"""),
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS cig, CAST(year(o_orderdate) AS INT) AS anno, p_name AS oggetto, o_orderpriority AS struttura,
+ CASE WHEN s_acctbal >= 0 THEN s_name END AS aggiudicatario, n_partecipanti, importo_aggiudicazione, importo_liquidato
+FROM (SELECT l_orderkey, l_suppkey, max(l_partkey) AS part, CAST(count(*) AS INT) AS n_partecipanti, sum(CAST(l_extendedprice AS {M})) AS importo_aggiudicazione,
+  sum(CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS {M}) END) AS importo_liquidato FROM lineitem GROUP BY 1, 2)
+JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON part = p_partkey"""),
     "movement": ([], f"""
 SELECT user_id, event_type, sum(CASE WHEN day(ts) <= 15 THEN CAST(value AS {M}) ELSE 0 END) AS inizio,
  sum(CASE WHEN day(ts) > 15 THEN CAST(value AS {M}) ELSE 0 END) AS variazione,

@@ -150,24 +150,26 @@ class Tables:
 
     @cached_property
     def contract(self) -> DataFrame:
-        """Contracts: one per order and supplier; suppliers in debt are unnamed."""
+        """Contracts: one per order and supplier, named by their largest part.
+
+        Suppliers in debt are unnamed. Lines are summed before anything is
+        joined, so the joins move contracts and not lines.
+        """
         price = money("l_extendedprice")
+        sums = self.raw("lineitem").groupBy("l_orderkey", "l_suppkey").agg(
+            F.max("l_partkey").alias("part"),
+            F.count("*").cast("int").alias("n_partecipanti"),
+            F.sum(price).alias("importo_aggiudicazione"),
+            F.sum(F.when(F.col("l_linestatus") == "F", price)).alias("importo_liquidato"),
+        )
         return (
-            self.raw("lineitem")
-            .join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .groupBy("l_orderkey", "l_suppkey")
-            .agg(
-                F.max("p_name").alias("oggetto"),
-                F.count("*").cast("int").alias("n_partecipanti"),
-                F.sum(price).alias("importo_aggiudicazione"),
-                F.sum(F.when(F.col("l_linestatus") == "F", price)).alias("importo_liquidato"),
-            )
-            .join(self.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            sums.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.raw("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.raw("part"), F.col("part") == F.col("p_partkey"))
             .select(
                 F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_suppkey").cast("string")).alias("cig"),
                 F.col("year").alias("anno"),
-                "oggetto",
+                F.col("p_name").alias("oggetto"),
                 F.col("o_orderpriority").alias("struttura"),
                 F.when(F.col("s_acctbal") >= 0, F.col("s_name")).alias("aggiudicatario"),
                 "n_partecipanti",
