@@ -211,14 +211,14 @@ def rollup_with_total(t):
 @query("normalize_side", """
 WITH s AS (SELECT comune, CAST(CAST(code AS INT) AS VARCHAR) AS code, max(name) AS name, sum(previsioni) AS previsioni, sum(accertamenti) AS accertamenti FROM (
   SELECT n_name AS comune, '0' || substr(o_orderpriority, 1, 1) AS code, lower(substr(o_orderpriority, 3)) AS name, CAST(o_totalprice AS DECIMAL(20,2)) AS previsioni,
-   CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(20,2)) ELSE 0 END AS accertamenti FROM geo WHERE c_mktsegment <> 'BUILDING') GROUP BY 1, 2),
+   CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(20,2)) ELSE 0 END AS accertamenti FROM geo) GROUP BY 1, 2),
  items AS (SELECT comune, code, name, 'previsioni' AS measure, previsioni AS value FROM s WHERE previsioni <> 0 OR accertamenti <> 0 UNION ALL SELECT comune, code, name, 'accertamenti', accertamenti FROM s WHERE previsioni <> 0 OR accertamenti <> 0)
 SELECT comune, 'voce' AS level, code, name, measure, CAST(value AS DOUBLE) AS value FROM items UNION ALL
 SELECT comune, 'totale', NULL, 'Totale generale delle entrate', measure, CAST(sum(value) AS DOUBLE) FROM items GROUP BY comune, measure""", "geo")
 def normalize_side(t):
     """Text columns of one side, as the delimited files carry them."""
     price = F.col("o_totalprice").cast(MONEY).cast("string")
-    printed = t.order_geo.where(F.col("c_mktsegment") != "BUILDING").select(
+    printed = t.order_geo.select(
         F.col("n_name").alias("comune"),
         F.concat(F.lit(" 0"), F.substring("o_orderpriority", 1, 1), F.lit(" ")).alias("Codice Titolo"),
         F.lower(F.substring("o_orderpriority", 3, 20)).alias("Descrizione Titolo"),
