@@ -6,7 +6,7 @@ error, and a blank stays NULL unless a function says otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the shape of an amount such as 1.234.567,89, -12,00 or (1.000,00).
@@ -61,19 +61,37 @@ def parse_percent(text: Column) -> Column:
     return F.replace(bare, F.lit(","), F.lit(".")).try_cast("decimal(20,4)")
 
 
+def _noisy_tail(text: Column) -> Column:
+    """Token without its trailing underscores, then dashes, then dots."""
+    return F.regexp_replace(F.trim(text), r"\.*-*_*$", "")
+
+
+def _noisy_blob(tail: Column) -> Column:
+    return F.regexp_extract(tail, r"(\(?\d[\d._]*\d\)?$|\(?\d\)?$)", 1)
+
+
+def _noisy_value(tail: Column, blob: Column, digits: Column) -> Column:
+    number = F.replace(digits, F.lit("."), F.lit("")).try_cast("bigint")
+    usable = ~F.contains(tail, F.lit(",")) & digits.rlike(r"^(?:\d{1,3}(?:\.\d{3})*|\d+)$")
+    return F.when(usable, F.when(blob.startswith("("), -number).otherwise(number))
+
+
 def parse_noisy_integer(text: Column) -> Column:
     """Whole number fused with dotted leaders, as in ``O____21_6_._1_72``.
 
     Parentheses mean negative; a comma means the token is no whole number.
     """
-    # Trailing underscores, then dashes, then dots.
-    tail = F.regexp_replace(F.trim(text), r"\.*-*_*$", "")
-    blob = F.regexp_extract(tail, r"(\(?\d[\d._]*\d\)?$|\(?\d\)?$)", 1)
-    digits = F.translate(blob, "()_", "")
-    number = F.replace(digits, F.lit("."), F.lit("")).try_cast("bigint")
-    signed = F.when(blob.startswith("("), -number).otherwise(number)
-    usable = ~F.contains(tail, F.lit(",")) & digits.rlike(r"^(?:\d{1,3}(?:\.\d{3})*|\d+)$")
-    return F.when(text.rlike(r"\d"), F.when(usable, signed))
+    tail = _noisy_tail(text)
+    blob = _noisy_blob(tail)
+    return F.when(text.rlike(r"\d"), _noisy_value(tail, blob, F.translate(blob, "()_", "")))
+
+
+def with_noisy_integer(df: DataFrame, text: str, out: str) -> DataFrame:
+    """The same as a column, for large tables: each step is worked out once."""
+    tail = df.withColumn("_tail", F.when(F.col(text).rlike(r"\d"), _noisy_tail(F.col(text))))
+    blob = tail.withColumn("_blob", _noisy_blob(F.col("_tail")))
+    digits = blob.withColumn("_digits", F.translate("_blob", "()_", ""))
+    return digits.withColumn(out, _noisy_value(F.col("_tail"), F.col("_blob"), F.col("_digits"))).drop("_tail", "_blob", "_digits")
 
 
 def parse_form_integer(text: Column) -> Column:

@@ -192,9 +192,7 @@ def value_tokens(text: Column, pattern: str) -> Column:
         F.arrays_zip(labels.alias("label"), values.alias("raw")),
         lambda t: F.struct(
             t["label"].alias("label"),
-            F.replace(F.replace(t["raw"], F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-            .try_cast("decimal(20,2)")
-            .alias("value"),
+            F.translate(t["raw"], ",.", ".").try_cast("decimal(20,2)").alias("value"),
         ),
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.functions.numbers import parse_noisy_integer, scale_units
+from ledgerloom.functions.numbers import scale_units, with_noisy_integer
 from ledgerloom.functions.text import clean_line_name, is_total_line, line_code, related_party
 from ledgerloom.operators.facts import two_years
 from ledgerloom.operators.ordered import block_ids, join_lines, neighbours, row_index
@@ -56,8 +56,8 @@ def printed_rows(words: DataFrame, keys: list[str]) -> DataFrame:
     A row is gathered whole because its label is one text; it is never wider
     than a printed line.
     """
-    word = F.struct("x0", "top", "x1", "text", parse_noisy_integer(F.col("text")).alias("n"))
-    return words.groupBy(*keys, "row_top").agg(F.array_sort(F.collect_list(word)).alias("_words"))
+    word = F.struct("x0", "top", "x1", "text", "n")
+    return with_noisy_integer(words, "text", "n").groupBy(*keys, "row_top").agg(F.array_sort(F.collect_list(word)).alias("_words"))
 
 
 def _texts(words: Column) -> Column:
