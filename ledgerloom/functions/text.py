@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import reduce
+from string import ascii_letters
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -185,14 +186,17 @@ def value_token_pattern(labels: list[str] = presets.VALUE_LABELS, no_digit_befor
 
 
 def value_tokens(text: Column, pattern: str) -> Column:
-    """``array<struct<label, value>>`` of the tokens in printed order."""
-    labels = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
+    """``array<struct<label, value>>`` of the tokens in printed order.
+
+    The pattern runs once over the text; a token is letters, then a number, so
+    its two parts are told apart by character translation.
+    """
+    spaces = " \t\n\r\f\u000b"
     return F.transform(
-        F.arrays_zip(labels.alias("label"), values.alias("raw")),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda t: F.struct(
-            t["label"].alias("label"),
-            F.translate(t["raw"], ",.", ".").try_cast("decimal(20,2)").alias("value"),
+            F.translate(t, f"0123456789.,-{spaces}", "").alias("label"),
+            F.translate(t, f",.{ascii_letters}{spaces}", ".").try_cast("decimal(20,2)").alias("value"),
         ),
     )
 
