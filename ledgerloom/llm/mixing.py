@@ -123,6 +123,19 @@ def mix_documents(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...
     return taken.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", "taken")
 
 
+def mixed_copies(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3, 1, 2), cap: float = 2.0) -> DataFrame:
+    """The documents as the mix takes them: a row for each copy, with the columns of ``docs``.
+
+    Rows alike in id, source and size are taken alike: the mean of their copies, rounded up.
+    """
+    keys = ["doc_id", "source", "_size"]
+    taken = mix_documents(docs, share, weights, cap).withColumnRenamed("size", "_size")
+    taken = taken.groupBy(*keys).agg(F.ceil(F.avg("copies")).cast("int").alias("_copies")).filter("_copies > 0")
+    sized = docs.withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    again = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return same_keys(sized, taken, keys).withColumn("_copy", again).select(*docs.columns)
+
+
 @query("op6_mixing")
 def op6_mixing(spark, folder: str) -> DataFrame:
     return mix_documents(table(spark, folder, "documents", "doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")

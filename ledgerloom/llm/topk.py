@@ -97,6 +97,19 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, sha
     return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-@query("op4_exact_topk")
+ORACLE_TEXT = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op4_exact_topk", ORACLE_TEXT)
 def op4_exact_topk(spark, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings", "vec_id", "embedding"))
