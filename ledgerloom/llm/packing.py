@@ -39,7 +39,7 @@ def cut_documents(docs: DataFrame, vocabulary: str, length: int = 4096, end_id:
     """The pieces of every document: full sequences, then the rest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(vocabulary)
+        encoder = PieceEncoder.of(vocabulary)
         end = np.array([end_id], encoder.dtype)
         for batch in batches:
             rows = []

@@ -107,7 +107,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = PieceEncoder(vocabulary)
+        encoder = PieceEncoder.of(vocabulary)
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[bytes] = []
         names: list[int | None] = []

@@ -1,9 +1,11 @@
 """Whole texts to token ids through the tokenizers library, each distinct piece encoded once.
 
-Both vocabularies in use split a text at white space before they merge, so a
-text is cut at white space first and the library sees every distinct piece
-once per task. A single space stays with the piece after it, as the byte-level
-split has it; a longer run leaves its last space to the next piece.
+Both vocabularies in use split a text at white space before they merge, and
+between a letter or digit and plain punctuation, so a text is cut there first
+and the library sees a distinct piece once per Python worker. A single space
+stays with the piece after it, as the byte-level split has it; a longer run
+leaves its last space to the next piece. Where white space has no ids it is
+left out.
 """
 
 from __future__ import annotations
@@ -11,13 +13,17 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
 # The White_Space characters of Unicode, and the form of a piece.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PIECE = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+LATIN = "A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+WORD = f"[{LATIN}]++(?=[.,;:!?{SPACES}]|\\Z)"  # letters and digits before plain punctuation end a piece in either vocabulary
+PIECE = re.compile(f" ?{WORD}| ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+SOLID = re.compile(f"{WORD}|[^{SPACES}]+")  # where white space has no ids
 
 
 def vocabulary_path(name: str) -> str:
@@ -31,30 +37,40 @@ class PieceEncoder:
     """Encodes texts with one vocabulary file and remembers the ids of pieces.
 
     ``keep`` bounds how many pieces are remembered; past it the memory starts
-    anew, which costs time only.
+    anew, which costs time only. ``PieceEncoder.of`` keeps one encoder per
+    vocabulary in a Python worker, for all the tasks it runs.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    open: dict[str, PieceEncoder] = {}
+
+    @classmethod
+    def of(cls, path: str) -> PieceEncoder:
+        if path not in cls.open:
+            cls.open[path] = cls(path)
+        return cls.open[path]
+
+    def __init__(self, path: str, keep: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # in a text these strings are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.pieces = (PIECE if self.tokenizer.encode(" ", add_special_tokens=False).ids else SOLID).findall
         self.keep, self.known = keep, {}
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text in ``dtype``; a null text is empty."""
-        known, dtype = self.known, self.dtype
+        known, dtype, code = self.known, self.dtype, self.dtype.char
         for at in range(0, len(texts), 64):
-            cut = [PIECE.findall(t) if t else [] for t in texts[at : at + 64]]
+            cut = [self.pieces(t) if t else [] for t in texts[at : at + 64]]
             if len(known) > self.keep:
                 known.clear()
             fresh = list({p for pieces in cut for p in pieces if p not in known})
             for k in range(0, len(fresh), 4096):
                 part = fresh[k : k + 4096]
                 for piece, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    known[piece] = np.array(got.ids, dtype).tobytes()
+                    known[piece] = array(code, got.ids).tobytes()
             for pieces in cut:
                 yield np.frombuffer(b"".join(map(known.__getitem__, pieces)), dtype)
 
