@@ -66,7 +66,7 @@ def shard_groups(rows: DataFrame, shards: int, coarse: int = 50, whole: float =
     unit = 1.0 / (shards * coarse)
 
     large = groups.filter(F.col("share") > unit)
-    pieces = F.when(F.col("share") > whole / shards, F.ceil(F.col("share") / unit)).otherwise(1).cast("int")
+    pieces = F.when(F.col("share") > whole / shards, F.least(F.ceil(F.col("share") / unit), F.col("n"))).otherwise(1).cast("int")
     large = large.withColumn("pieces", pieces)
     picked = large.select("group_key", "bytes", "tokens", "n", "share", "pieces").orderBy(F.desc("share"), "group_key").toPandas()
 
@@ -96,8 +96,10 @@ def shard_groups(rows: DataFrame, shards: int, coarse: int = 50, whole: float =
     placed = materialize(placed_small.unionByName(placed_large), "shard-places")
 
     pieces_of = placed_large.groupBy("group_key").agg(F.max("pieces").alias("pieces")).filter("pieces > 1")
-    salted = rows.join(F.broadcast(pieces_of), "group_key", "left")  # at most 3 * shards / whole split groups
-    salted = salted.withColumn("piece", F.pmod(F.xxhash64("row_key"), F.coalesce("pieces", F.lit(1))).cast("int")).drop("pieces")
+    small_side = F.broadcast(pieces_of)  # at most 3 * shards / whole split groups
+    split_rows = ranked_in_buckets(rows.join(small_side, "group_key"), ["group_key"], ["row_key"], total[2] or 0, "_place")
+    split_rows = split_rows.withColumn("piece", (F.col("_place") % F.col("pieces")).cast("int")).select(*rows.columns, "piece")
+    salted = rows.join(small_side, "group_key", "left_anti").withColumn("piece", F.lit(0)).unionByName(split_rows)
     return salted.join(placed.drop("pieces"), ["group_key", "piece"]).drop("piece")
 
 

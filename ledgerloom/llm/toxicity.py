@@ -348,10 +348,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = 2000, l
     return [r["text"] for r in rows], [r["toxic"] for r in rows]
 
 
-def toxicity_scores(docs: DataFrame, model: Network, threshold: float = 0.3) -> DataFrame:
-    """The documents with held_out, score and predicted."""
+NAMES = ("held_out", "score", "predicted")
+
+
+def toxicity_scores(docs: DataFrame, model: Network, threshold: float = 0.3, names: tuple[str, str, str] = NAMES) -> DataFrame:
+    """The documents with three columns called ``names``; columns of the documents with these names go."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = docs.columns
+    columns = [c for c in docs.columns if c not in names]
+    docs = docs.select(*columns)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
@@ -359,16 +363,15 @@ def toxicity_scores(docs: DataFrame, model: Network, threshold: float = 0.3) ->
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 scores = net.scores(part.column(columns.index("text")).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*columns, "_score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*columns, names[1]])
 
-    schema = docs.limit(0).withColumn("_score", F.lit(0.0)).schema
-    scored = docs.mapInArrow(score, schema).withColumnRenamed("_score", "score")
-    return scored.withColumn("held_out", held_out()).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = docs.mapInArrow(score, docs.limit(0).withColumn(names[1], F.lit(0.0)).schema)
+    return scored.withColumn(names[0], held_out()).withColumn(names[2], (F.col(names[1]) >= threshold).cast("int"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, names: tuple[str, str, str] = NAMES) -> DataFrame:
     """Learn from the labelled documents and score all of them."""
-    return toxicity_scores(docs, train(*labelled_sample(docs, labels)))
+    return toxicity_scores(docs, train(*labelled_sample(docs, labels)), threshold, names)
 
 
 @query("op1_toxicity")
