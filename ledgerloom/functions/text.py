@@ -19,7 +19,7 @@ def collapse_spaces(text: Column) -> Column:
 def _accent_pairs() -> tuple[str, str]:
     """Latin letters whose compatibility form is one base letter plus marks."""
     accented, base = [], []
-    for point in range(0x00C0, 0x0250):
+    for point in (0x00AA, 0x00BA, *range(0x00C0, 0x0250), *range(0x1E00, 0x1F00), *range(0xFF21, 0xFF5B)):
         letter = chr(point)
         bare = "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
         if len(bare) == 1 and bare != letter:

@@ -85,7 +85,7 @@ class Ledger:
         category: str | None = None,
         code: str | None = None,
         query: str | None = None,
-        limit: int = 200,
+        limit: int | None = None,
         offset: int = 0,
     ) -> DataFrame:
         rows = facts.where_equal(self._sourced("metrics"), year=year, category=category, code=code)
@@ -155,7 +155,7 @@ class Ledger:
 
     def summary_total(self, kind: str, measure: str, year: int) -> DataFrame:
         rows = facts.where_equal(self._sourced("summary"), kind=kind, measure=measure, level="totale", year=year)
-        return self._out(rows.select("year", "value", "source_page", "source_document").limit(1))
+        return self._out(rows.orderBy("id").select("year", "value", "source_page", "source_document").limit(1))
 
     def all_summary(self) -> DataFrame:
         return self._out(self._sourced("summary").orderBy(*_newest("kind", "measure", "code")), "doc_year", "id", "document_id")
@@ -201,12 +201,12 @@ class Ledger:
         return rows.select("liv1_code", "liv1_name").distinct().orderBy(*_up("liv1_code"))
 
     def leaves(
-        self, kind: str, year: int, measure: str, liv1: str | None = None, liv2: str | None = None, limit: int = 5000
+        self, kind: str, year: int, measure: str, liv1: str | None = None, liv2: str | None = None, limit: int | None = None
     ) -> DataFrame:
         rows = facts.where_equal(
             self.table("leaves"), kind=kind, year=year, measure=measure, liv1_code=liv1, liv2_code=liv2
         )
-        return self._out(rows.orderBy(F.col("value").desc_nulls_last()).limit(limit), "id", "document_id")
+        return self._out(facts.limited(rows.orderBy(F.col("value").desc_nulls_last(), "id"), limit), "id", "document_id")
 
     def leaf_series(
         self, kind: str, measure: str, code: str | None = None,
@@ -230,7 +230,7 @@ class Ledger:
         return self._values("contracts", "anno")
 
     def contracts(
-        self, anno: int | None = None, search: str | None = None, order_by: str = "importo_aggiudicazione", limit: int = 500
+        self, anno: int | None = None, search: str | None = None, order_by: str = "importo_aggiudicazione", limit: int | None = None
     ) -> DataFrame:
         rows = facts.where_equal(self.table("contracts"), anno=anno)
         if search:
@@ -240,7 +240,7 @@ class Ledger:
     def contract_summary(self, anno: int | None = None) -> DataFrame:
         return self._out(facts.contract_summary(facts.where_equal(self.table("contracts"), anno=anno)))
 
-    def top_suppliers(self, anno: int | None = None, limit: int = 15) -> DataFrame:
+    def top_suppliers(self, anno: int | None = None, limit: int | None = None) -> DataFrame:
         return self._out(facts.top_suppliers(facts.where_equal(self.table("contracts"), anno=anno), limit))
 
     def all_contracts(self) -> DataFrame:
@@ -248,13 +248,13 @@ class Ledger:
         return self._out(self.table("contracts").orderBy(*order), "id")
 
     # -- search ----------------------------------------------------------------------------
-    def search(self, query: str, limit: int = 50) -> dict[str, DataFrame]:
+    def search(self, query: str, limit: int | None = None) -> dict[str, DataFrame]:
         """Metrics, entities and notes whose names contain the text."""
         metrics = self._sourced("metrics").where(facts.containing(F.col("metric_name"), query))
         notes = self._sourced("note_items").where(facts.containing(F.col("voce"), query))
         found = E.search_entities(self.table("entities"), self.table("entity_metrics"), query)
         return {
-            "metrics": self._out(metrics.orderBy(*_newest("metric_name")).limit(limit), "doc_year", "id", "document_id"),
-            "entities": found.orderBy(*_up("canonical_name")).limit(limit),
-            "notes": self._out(notes.orderBy(*_newest("voce")).limit(limit), "doc_year", "id", "document_id"),
+            "metrics": self._out(facts.limited(metrics.orderBy(*_newest("metric_name")), limit), "doc_year", "id", "document_id"),
+            "entities": facts.limited(found.orderBy(*_up("canonical_name")), limit),
+            "notes": self._out(facts.limited(notes.orderBy(*_newest("voce")), limit), "doc_year", "id", "document_id"),
         }

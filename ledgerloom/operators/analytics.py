@@ -83,6 +83,11 @@ def latest_years(df: DataFrame, keys: list[str], n: int = 2, year: str = "year")
     return df.join(kept, [*keys, year], "left_semi")
 
 
+def years_of(df: DataFrame, year: str = "year") -> list[int]:
+    """The distinct years of a table, ascending: the columns a pivot by year needs."""
+    return [r[year] for r in df.select(year).where(F.col(year).isNotNull()).distinct().orderBy(year).collect()]
+
+
 def pivot_years(df: DataFrame, keys: list[str], years: list[int], value: str = "value", year: str = "year") -> DataFrame:
     """One column per listed year, in the order given."""
     wide = df.groupBy(*keys).pivot(year, years).agg(F.first(value, ignorenulls=True).cast("double"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
@@ -248,7 +248,8 @@ def statement_reconcile(items: DataFrame, keys: list[str], scheme: str = "civil"
 def check_report(checks: list[DataFrame]) -> DataFrame:
     """All result rows with the verdict of the whole report on each."""
     rows = reduce(DataFrame.unionByName, checks)
-    return rows.withColumn("report_passed", rows.agg(F.bool_and("passed")).scalar())
+    # the window sees one row per check result, and the checks run once
+    return rows.withColumn("report_passed", F.bool_and("passed").over(Window.partitionBy()))
 
 
 def gate(checks: DataFrame) -> bool:

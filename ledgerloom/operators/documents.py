@@ -14,7 +14,6 @@ from ledgerloom.functions.numbers import largest_amount
 from ledgerloom.functions.text import collapse_spaces
 
 SUBJECT_LENGTH = 300
-AMOUNT_HEAD = 4000
 SCANNED_BELOW = 200
 LINES_ABOVE, LINES_BELOW = 6, 4
 
@@ -25,13 +24,13 @@ def contract_ids(text: Column) -> Column:
 
 
 def headline_amount(text: Column) -> Column:
-    """Largest of the amounts the opening part announces."""
-    return largest_amount(F.substring(text, 1, AMOUNT_HEAD), presets.DECISION_AMOUNTS)
+    """Largest of the amounts the text announces."""
+    return largest_amount(text, presets.DECISION_AMOUNTS)
 
 
 def subject(text: Column) -> Column:
     """Subject line with up to three wrapped lines in capitals after it."""
-    chunk = F.substring(F.regexp_extract(text, r"(?s)OGGETTO\s*:\s*([^\n].*)", 1), 1, 400)
+    chunk = F.regexp_extract(text, r"(?s)OGGETTO\s*:\s*([^\n].*)", 1)
     lines = F.transform(F.split(chunk, "\n"), lambda s: F.trim(s))
     first = F.element_at(lines, 1)
     more = F.slice(lines, 2, 3)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import canonical_entity
-from ledgerloom.operators.facts import containing
+from ledgerloom.operators.facts import containing, limited
 
 
 def canonicalize(df: DataFrame, raw: str, registry: list[tuple[str, str, str]]) -> DataFrame:
@@ -56,7 +56,7 @@ def search_entities(entities: DataFrame, entity_metrics: DataFrame, query: str)
     return hits.groupBy("canonical_slug", "canonical_name").agg(F.max("entity_type").alias("entity_type"))
 
 
-def search_all(metrics: DataFrame, entities: DataFrame, notes: DataFrame, limit: int = 50) -> DataFrame:
+def search_all(metrics: DataFrame, entities: DataFrame, notes: DataFrame, limit: int | None = None) -> DataFrame:
     """The three result families in one tagged table, each cut to the limit.
 
     Inputs are the already matched rows with columns ``label``, ``year`` and
@@ -65,5 +65,5 @@ def search_all(metrics: DataFrame, entities: DataFrame, notes: DataFrame, limit:
     families = []
     for tag, rows in (("metric", metrics), ("entity", entities), ("note", notes)):
         order = [F.col("year").desc_nulls_last(), F.col("label").asc_nulls_last(), F.col("value").asc_nulls_last()]
-        families.append(rows.orderBy(*order).limit(limit).select(F.lit(tag).alias("family"), "label", "year", "value"))
+        families.append(limited(rows.orderBy(*order), limit).select(F.lit(tag).alias("family"), "label", "year", "value"))
     return families[0].unionByName(families[1]).unionByName(families[2])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,14 +26,19 @@ def where_equal(df: DataFrame, **conditions) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, tests)) if tests else df
 
 
+def _plain_backslash(query: str) -> str:
+    """A backslash of the text stands for itself."""
+    return query.replace("\\", "\\\\")
+
+
 def containing(column: Column, query: str) -> Column:
     """Case-insensitive substring test; ``%`` and ``_`` keep their LIKE meaning."""
-    return F.lower(column).like(f"%{query.lower()}%")
+    return F.lower(column).like(f"%{_plain_backslash(query.lower())}%")
 
 
 def any_containing(columns: list[str], query: str) -> Column:
     """The same test over several columns, any of which may match."""
-    return reduce(lambda a, b: a | b, [F.col(c).ilike(f"%{query}%") for c in columns])
+    return reduce(lambda a, b: a | b, [F.col(c).ilike(f"%{_plain_backslash(query)}%") for c in columns])
 
 
 def with_provenance(facts: DataFrame, documents: DataFrame, key: str = "document_id") -> DataFrame:
@@ -62,8 +68,13 @@ def own_report_or_all(facts: DataFrame, year: str = "year", doc_year: str = "doc
     return marked.where(F.col("_own_year").isNull() | (F.col(doc_year) == F.col(year))).drop("_own_year")
 
 
-def page_of(df: DataFrame, order: list[Column], limit: int = 200, offset: int = 0) -> DataFrame:
-    return df.orderBy(*order).offset(offset).limit(limit)
+def page_of(df: DataFrame, order: list[Column], limit: int | None = None, offset: int = 0) -> DataFrame:
+    """Rows in order from ``offset`` on, ``limit`` of them if one is given."""
+    return limited(df.orderBy(*order).offset(offset), limit)
+
+
+def limited(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
 
 
 def domain(df: DataFrame, column: str) -> DataFrame:
@@ -71,18 +82,20 @@ def domain(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.lit(column).alias("domain"), F.col(column).cast("string").alias("member")).distinct()
 
 
-def ranked_by(df: DataFrame, column: str, allowed: list[str], limit: int) -> DataFrame:
-    """Top rows by a whitelisted column (else the first allowed), NULLs last."""
+def ranked_by(df: DataFrame, column: str, allowed: list[str], limit: int | None = None, tie: str = "id") -> DataFrame:
+    """Top rows by a whitelisted column (else the first allowed), NULLs last, equal ones by ``tie``."""
     chosen = column if column in allowed else allowed[0]
-    return df.orderBy(F.col(chosen).desc_nulls_last()).limit(limit)
+    return limited(df.orderBy(F.col(chosen).desc_nulls_last(), F.col(tie).asc_nulls_last()), limit)
 
 
 def optional_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet folder, or an empty table of the schema when it is not there."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-    return spark.read.parquet(path) if found else spark.createDataFrame([], schema)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def optional_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
@@ -124,12 +137,12 @@ def contract_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def top_suppliers(df: DataFrame, limit: int = 15) -> DataFrame:
+def top_suppliers(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Largest suppliers by amount; contracts without a supplier are a group."""
     totals = df.groupBy("aggiudicatario").agg(
         F.count("*").alias("n_contratti"), F.sum("importo_aggiudicazione").alias("importo")
     )
-    return totals.orderBy(F.col("importo").desc_nulls_last(), F.col("aggiudicatario").asc_nulls_last()).limit(limit)
+    return limited(totals.orderBy(F.col("importo").desc_nulls_last(), F.col("aggiudicatario").asc_nulls_last()), limit)
 
 
 def two_years(df: DataFrame, year: Column, prior_year: Column, current: str = "current", prior: str = "prior") -> DataFrame:

@@ -55,16 +55,16 @@ def rollup_to_parent(df: DataFrame, keys: list[str], measures: list[str], total_
     """Child rows summed to their parent code, long, plus a grand total per measure.
 
     Parents that are zero in every measure are left out; the grand total is
-    the sum of the parents.
+    the sum of all of them and stands also where it is zero.
     """
     sums = df.groupBy(*keys, "code").agg(F.max("name").alias("name"), *[F.sum(m).alias(m) for m in measures])
     some = None
     for m in measures:
         test = F.coalesce(F.col(m), F.lit(0)) != 0
         some = test if some is None else some | test
-    long = sums.where(some).unpivot([*keys, "code", "name"], measures, "measure", "value")
-    items = long.select(*keys, F.lit("voce").alias("level"), "code", "name", "measure", "value")
-    totals = items.groupBy(*keys, "measure").agg(F.sum("value").alias("value")).select(
+    long = sums.withColumn("_some", some).unpivot([*keys, "code", "name", "_some"], measures, "measure", "value")
+    items = long.where("_some").select(*keys, F.lit("voce").alias("level"), "code", "name", "measure", "value")
+    totals = long.groupBy(*keys, "measure").agg(F.sum("value").alias("value")).select(
         *keys,
         F.lit("totale").alias("level"),
         F.lit(None).cast("string").alias("code"),

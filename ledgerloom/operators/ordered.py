@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import materialize
 
-SLICE_ROWS = 1_000_000
 _SLICE = "_slice"
 
 
@@ -28,16 +27,6 @@ def _null_safe(left: DataFrame, right: DataFrame, names: list[tuple[str, str]])
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in names])
 
 
-def in_one_slice(df: DataFrame, low: str, high: str | None = None, width: int = SLICE_ROWS) -> bool:
-    """True when no position lies outside one slice.
-
-    One pass over the position column with a global minimum and maximum; only
-    the two numbers reach the driver.
-    """
-    ends = df.agg(F.min(low).alias("lo"), F.max(high or low).alias("hi")).first()
-    return ends["lo"] is None or int(ends["lo"]) // width == int(ends["hi"]) // width
-
-
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
@@ -47,8 +36,7 @@ def ordered_scan(
     last: dict[str, Column] | None = None,
     following: dict[str, Column] | None = None,
     before: tuple[str, ...] = (),
-    width: int = SLICE_ROWS,
-    one_slice: bool | None = None,
+    width: int | None = None,
 ) -> DataFrame:
     """Add running sums and carried values in position order.
 
@@ -57,13 +45,16 @@ def ordered_scan(
     ``following`` first non-null value from the row on;
     ``before``    names of outputs that leave out the row itself.
 
-    ``one_slice`` passes on what ``in_one_slice`` has already told the caller.
+    Without ``width`` this is one window per group and one shuffle. A caller
+    whose groups may be too long for a task gives a ``width``: groups are cut
+    into slices of so many positions, and slices hand their state on. The plan
+    depends on the parameter alone, never on the data.
     """
     running, last, following = running or {}, last or {}, following or {}
     src = {name: f"_src_{name}" for name in (*running, *last, *following)}
     exprs = {**running, **last, **following}
     sources = df.withColumns({src[n]: e for n, e in exprs.items()})
-    if in_one_slice(df, pos, width=width) if one_slice is None else one_slice:
+    if width is None:
         return _windowed(sources, df.columns, keys, pos, src, running, last, following, before, carried=False)
     cut = sources.withColumn(_SLICE, F.floor(F.col(pos) / F.lit(width)).cast("bigint"))
 
@@ -115,7 +106,7 @@ def _windowed(rows, columns, keys, pos, src, running, last, following, before, c
     return rows.select(*[F.col(c) for c in columns], *[e.alias(n) for n, e in outputs.items()])
 
 
-def row_index(df: DataFrame, keys: list[str], pos: str, out: str = "idx", width: int = SLICE_ROWS) -> DataFrame:
+def row_index(df: DataFrame, keys: list[str], pos: str, out: str = "idx", width: int | None = None) -> DataFrame:
     """Dense 0-based index of every row within its group."""
     return ordered_scan(df, keys, pos, running={out: F.lit(1)}, before=(out,), width=width)
 
@@ -167,7 +158,7 @@ def global_position(df: DataFrame, order: list[Column], out: str = "position", s
 
 
 def carry_headings(
-    df: DataFrame, keys: list[str], pos: str, levels: dict[str, Column], width: int = SLICE_ROWS
+    df: DataFrame, keys: list[str], pos: str, levels: dict[str, Column], width: int | None = None
 ) -> DataFrame:
     """Carry headings down; setting a level clears the ones below it.
 
@@ -199,7 +190,7 @@ def nested_headings(levels: list[str]) -> dict[str, Column]:
 
 
 def block_ids(
-    df: DataFrame, keys: list[str], pos: str, starts: Column, out: str = "block", width: int = SLICE_ROWS
+    df: DataFrame, keys: list[str], pos: str, starts: Column, out: str = "block", width: int | None = None
 ) -> DataFrame:
     """Number the blocks opened by marker rows; 0 is what lies before the first."""
     return ordered_scan(df, keys, pos, running={out: starts.cast("int")}, width=width)

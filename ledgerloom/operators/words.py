@@ -105,7 +105,6 @@ def _line_position(df: DataFrame, keys: list[str], page: str) -> DataFrame:
 
 
 # Positions run to 1e8 per page; a slice then holds about fifty pages.
-_PAGE_SLICE = 5_000_000_000
 
 
 def assemble_statement(
@@ -120,7 +119,7 @@ def assemble_statement(
     rows = materialize(_line_position(rows.where(F.col("label") != ""), keys, page), "rows")
     starts = (line_code(F.col("label")) != "") | is_total_line(F.col("label"))
     marked = rows.withColumn("_starts", starts)
-    numbered = block_ids(marked, keys, "_pos", F.col("_starts"), out="_line", width=_PAGE_SLICE)
+    numbered = block_ids(marked, keys, "_pos", F.col("_starts"), out="_line")
     has_amount = F.col("current").isNotNull() | F.col("prior").isNotNull()
     lines = (
         numbered.where(F.col("_line") > 0)
@@ -154,7 +153,7 @@ def printed_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
     """Number the lines that carry at least one amount, in printed order."""
     emitted = F.col("current").isNotNull() | F.col("prior").isNotNull()
     kept = materialize(lines.where(emitted), "lines")
-    return row_index(kept, keys, "_pos", "seq", width=_PAGE_SLICE).withColumn("seq", F.col("seq").cast("int"))
+    return row_index(kept, keys, "_pos", "seq").withColumn("seq", F.col("seq").cast("int"))
 
 
 def four_column_rows(words: DataFrame, keys: list[str], layout: dict = presets.FOUR_COLUMN_LAYOUT) -> DataFrame:
@@ -191,7 +190,7 @@ def assemble_four_columns(
     clustered = cluster_rows(words, [*keys, page], layout["row_tolerance"])
     rows = materialize(_line_position(four_column_rows(clustered, [*keys, page], layout), keys, page), "rows")
     rows = rows.withColumn("_valued", F.col("current").isNotNull() | F.col("prior").isNotNull())
-    indexed = row_index(rows, keys, "_pos", width=_PAGE_SLICE)
+    indexed = row_index(rows, keys, "_pos")
     around = neighbours(indexed, keys, "idx", ["label", "row_top", "_valued"], {"above": -1, "above2": -2, "below": 1})
     near = lambda a, b: F.abs(a - b) <= layout["label_gap"]
     label_only = lambda r: ~F.col(f"{r}._valued") & (F.col(f"{r}.label") != "")

@@ -74,7 +74,8 @@ def latest_n_years(t):
 @query("pivot_measure_by_year", f"""
 SELECT measure, {', '.join(f"max(CASE WHEN year = {y} THEN value END) AS y{y}" for y in range(1995, 2002))} FROM {SERIES_LONG} GROUP BY measure""", "series")
 def pivot_measure_by_year(t):
-    return analytics.pivot_years(series_long(t), ["measure"], list(range(1995, 2002)))
+    rows = series_long(t)
+    return analytics.pivot_years(rows, ["measure"], analytics.years_of(rows))
 
 
 @query("pivot_statement", """
@@ -195,7 +196,7 @@ WITH s AS (SELECT year, liv1_code AS code, max(liv1_name) AS name, sum(CASE WHEN
   FROM leaf GROUP BY year, liv1_code),
  items AS (SELECT year, code, name, 'impegni' AS measure, impegni AS value, impegni <> 0 OR residui <> 0 AS live FROM s UNION ALL SELECT year, code, name, 'residui', residui, impegni <> 0 OR residui <> 0 FROM s)
 SELECT year, 'voce' AS level, code, name, measure, CAST(value AS DOUBLE) AS value FROM items WHERE live UNION ALL
-SELECT year, 'totale', NULL, 'Totale generale', measure, CAST(sum(value) AS DOUBLE) FROM items WHERE live GROUP BY year, measure""", "leaf")
+SELECT year, 'totale', NULL, 'Totale generale', measure, CAST(sum(value) AS DOUBLE) FROM items GROUP BY year, measure""", "leaf")
 def rollup_with_total(t):
     spent = F.when(F.col("kind") == "spesa", F.col("value")).otherwise(F.lit(0))
     rows = t.leaf.select(
@@ -212,8 +213,8 @@ def rollup_with_total(t):
 WITH s AS (SELECT comune, CAST(CAST(code AS INT) AS VARCHAR) AS code, max(name) AS name, sum(previsioni) AS previsioni, sum(accertamenti) AS accertamenti FROM (
   SELECT n_name AS comune, '0' || substr(o_orderpriority, 1, 1) AS code, lower(substr(o_orderpriority, 3)) AS name, CAST(o_totalprice AS DECIMAL(20,2)) AS previsioni,
    CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(20,2)) ELSE 0 END AS accertamenti FROM geo) GROUP BY 1, 2),
- items AS (SELECT comune, code, name, 'previsioni' AS measure, previsioni AS value FROM s WHERE previsioni <> 0 OR accertamenti <> 0 UNION ALL SELECT comune, code, name, 'accertamenti', accertamenti FROM s WHERE previsioni <> 0 OR accertamenti <> 0)
-SELECT comune, 'voce' AS level, code, name, measure, CAST(value AS DOUBLE) AS value FROM items UNION ALL
+ items AS (SELECT comune, code, name, 'previsioni' AS measure, previsioni AS value, previsioni <> 0 OR accertamenti <> 0 AS live FROM s UNION ALL SELECT comune, code, name, 'accertamenti', accertamenti, previsioni <> 0 OR accertamenti <> 0 FROM s)
+SELECT comune, 'voce' AS level, code, name, measure, CAST(value AS DOUBLE) AS value FROM items WHERE live UNION ALL
 SELECT comune, 'totale', NULL, 'Totale generale delle entrate', measure, CAST(sum(value) AS DOUBLE) FROM items GROUP BY comune, measure""", "geo")
 def normalize_side(t):
     """Text columns of one side, as the delimited files carry them."""
@@ -261,7 +262,7 @@ def load_report(t):
 
 
 @query("display_labels", """
-SELECT domain, CASE domain WHEN 'residuo_iniziale' THEN 'Residuo debito (inizio anno)' WHEN 'debito_fine_anno' THEN 'Debito a fine anno' WHEN 'oneri_finanziari' THEN 'Oneri finanziari'
+SELECT domain, CASE domain WHEN 'residuo_iniziale' THEN 'Residuo debito a inizio anno' WHEN 'debito_fine_anno' THEN 'Debito residuo a fine anno' WHEN 'oneri_finanziari' THEN 'Oneri finanziari (interessi passivi)'
  ELSE upper(substr(replace(domain, '_', ' '), 1, 1)) || lower(substr(replace(domain, '_', ' '), 2)) END AS label
 FROM (SELECT measure AS domain FROM """ + SERIES_LONG + """ UNION ALL SELECT replace(p_name, ' ', '_') FROM part)""", "series")
 def display_labels(t):

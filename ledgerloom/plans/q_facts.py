@@ -433,10 +433,10 @@ def _contract_columns(rows):
     return rows.withColumns({c: out(F.col(c)) for c in ("importo_aggiudicazione", "importo_liquidato")})
 
 
-@query("ranked_contracts", f"SELECT {CONTRACT} FROM contract WHERE anno = 1997 ORDER BY contract.importo_liquidato DESC NULLS LAST LIMIT 50", "contract")
+@query("ranked_contracts", f"SELECT {CONTRACT} FROM contract WHERE anno = 1997 ORDER BY contract.importo_liquidato DESC NULLS LAST, contract.cig LIMIT 50", "contract")
 def ranked_contracts(t):
     allowed = ["importo_aggiudicazione", "importo_liquidato"]
-    return _contract_columns(facts.ranked_by(facts.where_equal(t.contract, anno=1997), "importo_liquidato", allowed, 50))
+    return _contract_columns(facts.ranked_by(facts.where_equal(t.contract, anno=1997), "importo_liquidato", allowed, 50, tie="cig"))
 
 
 @query("export_contracts", f"SELECT {CONTRACT} FROM contract", "contract")

@@ -76,29 +76,7 @@ LEAF_SIDE_MARKS = {"spesa": "- SPESE (anno", "entrata": "- ENTRATE (anno"}
 LEAF_LINE = r"^\s*(?:\d{1,3}\s+){2,4}(\d{9,12})\s*(.*)$"
 LEAF_CODE_LENGTH = 12
 # Repeated page headers and footers; some are column titles read backwards.
-LEAF_BOILERPLATE = [
-    r"COMUNE DI TORINO",
-    r"Data di stampa",
-    r"\.?RGGAORCAM",
-    r"OLOTIT",
-    r"ENOISSIM",
-    r"AMMARGORP",
-    r"AIGOLOPIT",
-    r"AIROGETAC",
-    r"CODICE$",
-    r"CODICE PREVISIONI",
-    r"CAPITOLO$",
-    r"DENOMINAZIONE\b",
-    r"PREVISIONI DEFINITIVE DI",
-    r"CASSA \(CS\)",
-    r"RESIDUI (ATTIVI|PASSIVI) (AL|DA)",
-    r"\(RS\) PREC\.",
-    r"RIPORT\. \(TR",
-    r"TOTALE RESIDUI (ATTIVI|PASSIVI) DA",
-]
-
-# --- fixed values: spending programme codes in printed column order -----------
-PROGRAMME_CODES = [f"{n:02d}" for n in range(1, 21)] + ["50", "60", "99"]
+LEAF_BOILERPLATE = r"COMUNE DI TORINO|Data di stampa|\.?RGGAORCAM|OLOTIT|ENOISSIM|AMMARGORP|AIGOLOPIT|AIROGETAC|CODICE$|CODICE PREVISIONI|CAPITOLO$|DENOMINAZIONE\b|PREVISIONI DEFINITIVE DI|CASSA \(CS\)|RESIDUI (ATTIVI|PASSIVI) (AL|DA)|\(RS\) PREC\.|RIPORT\. \(TR|TOTALE RESIDUI (ATTIVI|PASSIVI) DA"
 
 # --- fixed values: which measures are reconciled on each side -----------------
 RECONCILED_MEASURES = {
@@ -192,7 +170,11 @@ DECISION_CODE = r"\b(\d{9,12})\b"
 
 # --- fixed values: display labels of the debt series --------------------------
 MEASURE_LABELS = {
-    "residuo_iniziale": "Residuo debito (inizio anno)",
-    "debito_fine_anno": "Debito a fine anno",
-    "oneri_finanziari": "Oneri finanziari",
+    "residuo_iniziale": "Residuo debito a inizio anno",
+    "nuovi_prestiti": "Nuovi prestiti accesi nell'anno",
+    "prestiti_rimborsati": "Prestiti rimborsati (quota capitale)",
+    "debito_fine_anno": "Debito residuo a fine anno",
+    "oneri_finanziari": "Oneri finanziari (interessi passivi)",
+    "abitanti": "Abitanti al 31/12",
+    "debito_pro_capite": "Debito medio per abitante",
 }

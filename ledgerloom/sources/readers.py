@@ -25,7 +25,7 @@ def read_delimited(spark: SparkSession, path: str, encoding: str = "ISO-8859-1")
     Blank lines are skipped by the reader and rows shorter than the header are
     filled with NULL, so the filters of the caller drop them.
     """
-    raw = spark.read.csv(path, sep=";", header=True, encoding=encoding, mode="PERMISSIVE")
+    raw = spark.read.csv(path, sep=";", header=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE")
     return raw.toDF(*[c.strip() for c in raw.columns])
 
 

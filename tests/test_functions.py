@@ -84,7 +84,7 @@ def test_codes_headings_notes(frame):
     assert values(frame, ["ENTRATE da incassi  vincolati reintegro", "regolarizzazione cassa vincolata", "incassi vincolati"], X.technical_entry) == [
         "entrata", "spesa", None,
     ]
-    assert values(frame, ["debito_fine_anno", "ALTRO_dato"], lambda c: X.display_label(c, presets.MEASURE_LABELS)) == ["Debito a fine anno", "Altro dato"]
+    assert values(frame, ["debito_fine_anno", "ALTRO_dato"], lambda c: X.display_label(c, presets.MEASURE_LABELS)) == ["Debito residuo a fine anno", "Altro dato"]
 
 
 def test_value_tokens(frame):
