@@ -322,16 +322,24 @@ def train(texts: list[str], labels: list[int], visits: int = 28_000, batch: int
 
 
 def fitted_curve(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a weak prior at (1, 0)."""
+    """Slope and offset of a logistic curve, by damped Newton steps with a weak prior at (1, 0)."""
     beta, prior = np.array([1.0, 0.0]), np.array([1.0, 0.0])
     if not len(y):
         return 1.0, 0.0
     x = np.stack([logit.astype(float), np.ones(len(y))], axis=1)
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        return float((np.logaddexp(0, z) - y * z).sum() + ((b - prior) ** 2).sum() / 2)
+
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
         slope = x.T @ (p - y) + (beta - prior)
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2)
-        beta = beta - np.linalg.solve(curve, slope)
+        move = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.eye(2), slope)
+        size = 1.0
+        while size > 1e-6 and loss(beta - size * move) > loss(beta):
+            size /= 2  # a full step may overshoot
+        beta = beta - size * move
     return float(max(beta[0], 0.05)), float(beta[1])
 
 

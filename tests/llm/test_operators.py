@@ -308,6 +308,13 @@ def test_toxicity(spark, nothing):
     assert toxicity.toxicity(nothing, spark.createDataFrame([], "doc_id long, toxic int")).count() == 0
 
 
+def test_curve_does_not_run_away():
+    logit = np.concatenate([np.full(48, -7.0), np.linspace(-6, 3, 12)])
+    y = np.concatenate([np.zeros(50), np.ones(10)])
+    a, b = toxicity.fitted_curve(logit, y)
+    assert 1 / (1 + np.exp(-(a * -7 + b))) < 0.2 < 1 / (1 + np.exp(-(a * 3 + b)))
+
+
 def test_gradients_follow_differences():
     net = toxicity.Network()
     for k in net.w:
