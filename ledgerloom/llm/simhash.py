@@ -14,6 +14,14 @@ sets, never its pairs. A file above ``crowded`` fingerprints is cut again: its
 free bits make four parts, one of which agrees within the budget, twice at
 most, after which at most 19 bits are free.
 
+``similar_components`` serves near copies of a similarity of 0.8 over
+five-word shingles. Their 64-bit fingerprints over shingles lie about 10 bits
+apart, beyond any index, but over words, weighed by ``1 + log2(count)``, they
+lie 4 bits apart. So a document carries ``FAMILIES`` fingerprints over words,
+each of which goes through the pigeonring filter, and one of 256 bits over
+its shingles for the full Hamming check: 0.8 means 39 differing bits, and up
+to ``WIDE_REACH`` link.
+
 Inputs: null, empty and wordless texts have fingerprint zero and are linked
 like any other; fewer words than a shingle make one shingle; repeated rows
 are rows of their own; ids may be null (a component's name is the smallest
@@ -22,6 +30,7 @@ id that is not); other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +42,8 @@ from ledgerloom.llm.common import map_batches, materialize, query, table
 from ledgerloom.llm.components import components
 
 SEGMENTS, WIDTH, REACH = 4, 16, 3
+FAMILIES, WIDE_REACH = 3, 42
+WIDE = ("w0", "w1", "w2", "w3")
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -62,6 +73,46 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def digests(parts: list[bytes]) -> np.ndarray:
+    """256 bits for each part."""
+    import xxhash
+
+    raw = b"".join(xxhash.xxh3_128_digest(p, 42) + xxhash.xxh3_128_digest(p, 43) for p in parts)
+    return np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 32), axis=1)
+
+
+def wide_fingerprint(text: str | None, shingle: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of 64 bits over weighed words (``FAMILIES``), and one of 256 bits over shingles, as signed longs."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(FAMILIES, np.int64), np.zeros(len(WIDE), np.int64)
+    counts = Counter(words)
+    distinct, weight = list(counts), 1 + np.log2(np.fromiter(counts.values(), float, len(counts)))
+    heavy = np.zeros(256)
+    for at in range(0, len(distinct), 1 << 13):
+        heavy += weight[at : at + (1 << 13)] @ digests(distinct[at : at + (1 << 13)])
+    ones, n = np.zeros(256, np.int64), max(1, len(words) - shingle + 1)
+    for at in range(0, n, 1 << 13):
+        ones += digests([b" ".join(words[k : k + shingle]) for k in range(at, min(n, at + (1 << 13)))]).sum(axis=0, dtype=np.int64)
+    light, full = (np.packbits(b).view(">i8").astype(np.int64) for b in (2 * heavy > weight.sum(), 2 * ones > n))
+    return light[:FAMILIES], full
+
+
+def wide_fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """(doc_id, text_hash, node, f0.., w0..w3): ``node`` names equal fingerprints over shingles."""
+    names = [*[f"f{k}" for k in range(FAMILIES)], *WIDE]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([np.concatenate(wide_fingerprint(t.as_py(), shingle)) for t in batch.column("text")], np.int64).reshape(-1, len(names))
+            arrays = [batch.column("doc_id"), batch.column("text_hash"), *[pa.array(c, pa.int64()) for c in fps.T]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_hash", *names])
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
+    made = map_batches(rows, work, ", ".join(f"{c} long" for c in ("doc_id", "text_hash", *names)))
+    return made.withColumn("node", F.xxhash64(*WIDE))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp) with the fingerprint as a signed long."""
 
@@ -110,8 +161,13 @@ def mask_tree() -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]
     return top, children
 
 
-def file_links(rows: Iterator[pa.RecordBatch], starts: np.ndarray, reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links (a, b) of files that arrive sorted by (start mask, value): a star over each linked set of a file."""
+def file_links(rows: Iterator[pa.RecordBatch], starts: np.ndarray, reach: int, wide_reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (a, b) of files that arrive sorted by (start mask, value): a star over each linked set of a file.
+
+    Rows are (mask, val, fp) and link fingerprints; where they go on with a
+    node and its fingerprint over shingles, they link nodes, and that
+    fingerprint is checked as well.
+    """
 
     def near(x: np.ndarray, start: np.ndarray | int) -> np.ndarray:
         """Chain budgets from the file's start, then the whole distance."""
@@ -122,31 +178,37 @@ def file_links(rows: Iterator[pa.RecordBatch], starts: np.ndarray, reach: int) -
         three = np.bitwise_count(ring >> np.uint64(16)) <= 3 * reach // SEGMENTS
         return two & three & (np.bitwise_count(x) <= reach)
 
-    def one(fps: np.ndarray, start: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        left = np.unique(fps)
+    def alike(wide: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray | bool:
+        """The check over shingles between rows at ``a`` and ``b``."""
+        return not wide or sum(np.bitwise_count((w[a] ^ w[b]).view(np.uint64)).astype(np.int16) for w in wide) <= wide_reach
+
+    def one(fp: np.ndarray, name: np.ndarray, wide: list[np.ndarray], start: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        left = np.unique(name, return_index=True)[1]
         while len(left) > 1:
             seed, left = left[0], left[1:]
             edge = np.array([seed])
             while len(edge) and len(left):
-                hit = near(edge[:256, None] ^ left[None, :], start).any(axis=0)
-                edge = np.concatenate([edge[256:], left[hit]])
+                front = edge[:64, None]
+                hit = (near(fp[front] ^ fp[left], start) & alike(wide, front, left)).any(axis=0)
+                edge = np.concatenate([edge[64:], left[hit]])
                 if hit.any():
-                    yield left[hit], np.full(int(hit.sum()), seed)
+                    yield name[left[hit]], np.full(int(hit.sum()), name[seed])
                 left = left[~hit]
 
-    def files(mask: np.ndarray, val: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def files(mask: np.ndarray, val: np.ndarray, fp: np.ndarray, *rest: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        name, wide = (rest[0], list(rest[1:])) if rest else (fp, [])
         cut = np.flatnonzero((mask[1:] != mask[:-1]) | (val[1:] != val[:-1])) + 1
         begin = np.concatenate([[0], cut])
         size = np.diff(np.concatenate([begin, [len(fp)]]))
         pair = begin[size == 2]
-        ok = near(fp[pair] ^ fp[pair + 1], starts[mask[pair]]) & (fp[pair] != fp[pair + 1])
-        yield fp[pair][ok], fp[pair + 1][ok]
+        ok = near(fp[pair] ^ fp[pair + 1], starts[mask[pair]]) & (name[pair] != name[pair + 1]) & alike(wide, pair, pair + 1)
+        yield name[pair][ok], name[pair + 1][ok]
         for b, n in zip(begin[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            yield from one(fp[b : b + n], int(starts[mask[b]]))
+            yield from one(fp[b : b + n], name[b : b + n], [w[b : b + n] for w in wide], int(starts[mask[b]]))
 
     held: list[np.ndarray] | None = None
     for batch in rows:
-        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "val", "fp")]
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if held is not None:
             columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
         if not len(columns[0]):
@@ -160,9 +222,14 @@ def file_links(rows: Iterator[pa.RecordBatch], starts: np.ndarray, reach: int) -
         yield from files(*held)
 
 
-def near_links(nodes: DataFrame, crowded: int = 2000, reach: int = REACH) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) whose closure holds every pair within ``reach`` bits."""
+def near_links(nodes: DataFrame, crowded: int = 2000, reach: int = REACH, wide_reach: int = WIDE_REACH) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column fp) whose closure holds every pair within ``reach`` bits.
+
+    Nodes that also carry ``node`` and ``w0`` to ``w3`` are linked by ``node``
+    if their fingerprints over shingles lie within ``wide_reach`` bits too.
+    """
     spark = nodes.sparkSession
+    names = ["fp", "node"] if "node" in nodes.columns else ["fp"]
     top, children = mask_tree()
     starts = np.zeros(max(c[1] for c in children) + 1, np.int64)
     for k, s, _ in top:
@@ -176,7 +243,7 @@ def near_links(nodes: DataFrame, crowded: int = 2000, reach: int = REACH) -> Dat
         return materialize(counted.filter("n > 1"), "simhash-files")
 
     filed = F.array(*[F.struct(F.lit(k).alias("mask"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("val")) for k, _, m in top])
-    level = crowding(nodes.select("fp", F.explode(filed).alias("f")).select("f.mask", "f.val", "fp"))
+    level = crowding(nodes.select(*names, F.explode(filed).alias("f")).select("f.mask", "f.val", *names))
     levels = []
     for _ in range(2):
         levels.append(level.filter(F.col("n") <= crowded))
@@ -185,7 +252,7 @@ def near_links(nodes: DataFrame, crowded: int = 2000, reach: int = REACH) -> Dat
             dense = None
             break
         finer = dense.join(F.broadcast(below), "mask")  # a fixed list of masks
-        level = crowding(finer.select(F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("bits")).alias("val"), "fp"))
+        level = crowding(finer.select(F.col("child").alias("mask"), F.col("fp").bitwiseAND(F.col("bits")).alias("val"), *names))
     else:
         levels.append(level)
     rows = levels[0]
@@ -193,11 +260,14 @@ def near_links(nodes: DataFrame, crowded: int = 2000, reach: int = REACH) -> Dat
         rows = rows.unionByName(more)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, b in file_links(batches, starts, reach):
+        for a, b in file_links(batches, starts, reach, wide_reach):
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    sorted_files = rows.select("mask", "val", "fp").repartition("mask", "val").sortWithinPartitions("mask", "val", "fp")
+    rows = rows.select("mask", "val", *names)
+    if len(names) > 1:
+        rows = rows.join(nodes.select("node", *WIDE), "node").select("mask", "val", *names, *WIDE)
+    sorted_files = rows.repartition("mask", "val").sortWithinPartitions("mask", "val", "fp")
     return map_batches(sorted_files, link, "a long, b long")
 
 
@@ -212,14 +282,45 @@ def simhash_components(docs: DataFrame, shingle: int = 3, crowded: int = 2000) -
     return named.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
+def similar_components(docs: DataFrame, shingle: int = 5, crowded: int = 2000, wide_reach: int = WIDE_REACH) -> DataFrame:
+    """(doc_id, text_hash, root, component_id): components of documents of a similarity of about 0.8 and more.
+
+    ``root`` tells components apart also where they share their smallest id. Two different fingerprints over shingles share a node's name by chance
+    once in 2**64 pairs.
+    """
+    named = materialize(wide_fingerprints(docs, shingle), "wide-fingerprints")
+    seen = named.groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct(*[c for c in named.columns if c[0] in "fw"])).alias("fps"))
+    nodes = materialize(seen.select("node", "least", "fps.*"), "wide-nodes")
+    links = None
+    for k in range(FAMILIES):
+        found = near_links(nodes.select("node", F.col(f"f{k}").alias("fp"), *WIDE), crowded, REACH, wide_reach)
+        links = found if links is None else links.unionByName(found)
+    roots = materialize(components(links), "wide-roots")
+    rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = materialize(rooted.join(names, "root").select("node", "root", "component_id"), "wide-components")
+    return named.select("doc_id", "text_hash", "node").join(known, "node").select("doc_id", "text_hash", "root", "component_id")
+
+
 def near_dedup(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """Documents less those whose component has a smaller id; of equal ids the row order decides nothing, one stays.
+    """One document of each component of near copies: the one of the smallest id.
 
-    Rows with a null id are kept: nothing names them as copies.
+    Of texts that share the smallest id the one of the smallest hash stays, of
+    repeated rows one. Rows with a null id are kept: nothing names them as
+    copies.
     """
-    found = simhash_components(docs.select("doc_id", "text"), shingle)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    key = ["doc_id", "_text_hash"]
+    found = materialize(similar_components(docs.select("doc_id", "text"), shingle).withColumnRenamed("text_hash", "_text_hash"), "wide-found")
+    found = found.filter("doc_id IS NOT NULL")
+    kept = found.filter("doc_id = component_id").groupBy("root").agg(F.min("_text_hash").alias("kept"))
+    copy = (F.col("doc_id") != F.col("component_id")) | (F.col("_text_hash") != F.col("kept"))
+    gone = found.join(kept, "root").groupBy(*key).agg(F.bool_or(copy).alias("copy"), F.count(F.lit(1)).alias("rows"))
+    marked = materialize(gone.filter("copy OR rows > 1"), "wide-copies")
+    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    single = hashed.join(marked, key, "left_anti").select(*docs.columns)
+    again = hashed.join(marked.filter("NOT copy").select(*key), key, "left_semi")
+    again = again.groupBy(*key).agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("row"))
+    return single.unionByName(again.select("row.*"))
 
 
 @query("op8_simhash")

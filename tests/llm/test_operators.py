@@ -167,7 +167,36 @@ def test_simhash(docs, nothing):
     least = {g: min((rows[k][0] for k in range(len(rows)) if group[k] == g and rows[k][0] is not None), default=None) for g in group}
     assert got == {(d, f, least[group[k]]) for k, (d, f) in enumerate(rows)}
     assert simhash.simhash_components(nothing).count() == 0
+
+
+def test_near_dedup(spark, docs, nothing):
+    """Copies of a similarity of 0.8 and more go, the others stay; repeated rows and shared ids are told apart."""
+    rng = random.Random(3)
+
+    def text(n=200):
+        return [f"w{rng.randrange(3000)}" for _ in range(n)]
+
+    rows, clean, copies = [], [], []
+    for k in range(60):
+        base = text()
+        rows.append((10 * k, base))
+        clean.append(10 * k)
+        for c in range(1, 4):
+            some = list(base)
+            for at in rng.sample(range(200), c):
+                some[at] = "changed" + str(rng.randrange(10**6))
+            rows.append((10 * k + c, some))
+            copies.append(10 * k + c)
+    rows = [(k, " ".join(t)) for k, t in rows]
+    rows += [rows[0], rows[1], (5001, "one text"), (5001, "quite another text of the same id"), (None, rows[0][1]), (5002, "one text"), (5003, ""), (5004, None)]
+    table = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, kept int, rank string").repartition(5)
+    out = simhash.near_dedup(table)
+    assert out.columns == table.columns
+    got = sorted((r["doc_id"] for r in out.collect()), key=lambda d: -1 if d is None else d)
+    assert [d for d in got if d not in copies] == [None, *clean, 5001, 5001, 5003]
+    assert len(set(got) & set(copies)) <= len(copies) * 0.05
     assert simhash.near_dedup(docs).columns == docs.columns
+    assert simhash.near_dedup(nothing).count() == 0
 
 
 @pytest.mark.parametrize("crowded", [3, 2000])
