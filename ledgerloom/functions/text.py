@@ -132,6 +132,11 @@ def pad_code(code: Column, width: int = 2) -> Column:
     return F.when(F.length(bare) >= width, bare).otherwise(F.lpad(bare, width, "0"))
 
 
+def by_number(code: str) -> list[Column]:
+    """Sort keys that put string codes in numeric order; codes that are no number, then NULL, come last."""
+    return [F.col(code).isNull(), F.col(code).try_cast("long").asc_nulls_last(), F.col(code)]
+
+
 def unpad_code(code: Column) -> Column:
     """``01`` to ``1``; codes that are no whole number stay as they are."""
     bare = F.trim(code)

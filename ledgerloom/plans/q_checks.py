@@ -46,6 +46,62 @@ def statement_reconcile(t):
     return rows.select("entity_slug", "year", out(F.col("assets")).alias("assets"), out(F.col("liabilities")).alias("liabilities"), "balanced")
 
 
+# How each scheme's lines are printed - assets, liabilities, result in the income statement and in equity.
+SCHEME_LINES = {
+    "civil": ("TOTALE ATTIVO", "TOTALE PASSIVO E NETTO", "21) UTILE (PERDITA) DELL'ESERCIZIO", "IX - Utile (perdita) dell'esercizio"),
+    "four_column": ("Totale attività", "Totale patrimonio netto e passività", "Risultato netto del periodo", "Risultato netto del periodo"),
+    "consolidated": ("Totale attività", "Totale patrimonio netto e passività", "Risultato attribuibile agli azionisti", "Risultato netto del periodo"),
+    "form": ("Totale attivo", "Totale passivo", None, None),
+}
+
+
+def _scheme_lines(t, scheme: str):
+    """Lines of each nation and year: totals and results that agree, differ or are absent, by the length and sound of names."""
+    assets, liabilities, income, equity = SCHEME_LINES[scheme]
+    price = F.col("o_totalprice").cast("decimal(20,2)")
+    sums = t.order_geo.groupBy(F.col("n_name").alias("entity_slug"), "year", F.col("n_nationkey").alias("k")).agg(
+        F.sum(price).alias("total"), F.sum(F.when(F.col("o_orderstatus") == "F", price).otherwise(0)).alias("result")
+    )
+
+    def line(seq: int, category: str, name: str | None, value):
+        return F.struct(F.lit(seq).alias("seq"), F.lit(category).alias("category"), F.lit(name).alias("name"), value.cast("decimal(20,2)").alias("value"))
+
+    def off(by: int):
+        return F.when(F.col("k") % by == 0, 1).otherwise(0)
+
+    printed = F.array(
+        line(1, presets.ASSETS, "Crediti", F.col("total") / 2),
+        line(2, presets.ASSETS, assets, F.col("total")),
+        line(3, presets.LIABILITIES, equity, F.when(F.col("k") % 5 != 0, F.col("result") + off(4))),
+        line(4, presets.LIABILITIES, liabilities, F.col("total") + off(3)),
+        line(5, presets.INCOME, income, F.col("result")),
+    )
+    rows = sums.select("entity_slug", "year", F.inline(printed))
+    return rows.where("name IS NOT NULL AND value IS NOT NULL").withColumn("related_party", F.lit(None).cast("string"))
+
+
+def _results_sql(scheme: str) -> str:
+    shown = SCHEME_LINES[scheme][2] is not None
+    income, equity = ("r", "CASE WHEN k % 5 <> 0 THEN r + CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END END") if shown else ("NULL", "NULL")
+    return f"""
+WITH s AS (SELECT n_name AS entity_slug, year, n_nationkey AS k, sum(CAST(o_totalprice AS DECIMAL(20,2))) AS t, sum(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(20,2)) ELSE 0 END) AS r FROM geo GROUP BY ALL),
+ v AS (SELECT entity_slug, year, t AS assets, t + CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS liabilities, {income} AS income_result, {equity} AS equity_result FROM s)
+SELECT entity_slug, year, CAST(assets AS DOUBLE) AS assets, CAST(liabilities AS DOUBLE) AS liabilities, CAST(income_result AS DOUBLE) AS income_result, CAST(equity_result AS DOUBLE) AS equity_result,
+ assets = liabilities AS totals_match, coalesce(income_result = equity_result, TRUE) AS results_match, assets = liabilities AND coalesce(income_result = equity_result, TRUE) AS balanced FROM v"""
+
+
+def _register_results(scheme: str) -> None:
+    @query(f"statement_results_{scheme}", _results_sql(scheme), "geo")
+    def results(t):
+        rows = checks.statement_reconcile(_scheme_lines(t, scheme), ["entity_slug", "year"], scheme)
+        amounts = [out(F.col(c)).alias(c) for c in ("assets", "liabilities", "income_result", "equity_result")]
+        return rows.select("entity_slug", "year", *amounts, "totals_match", "results_match", "balanced")
+
+
+for _scheme in SCHEME_LINES:
+    _register_results(_scheme)
+
+
 NOT_NULL_SQL = _verdict("no_malformed_metric_values", "importo_liquidato IS NULL", "contract WHERE n_partecipanti > 1")
 
 

@@ -101,6 +101,34 @@ def src_xml_records(t):
     )
 
 
+@query("normalize_revenue_csv", """
+WITH s AS (SELECT n_name AS comune, 5 * strpos('ABFHM', substr(c_mktsegment, 1, 1)) AS number, max(c_mktsegment) AS name,
+  sum(CASE WHEN o_orderstatus <> 'P' THEN CAST(o_totalprice AS DECIMAL(20,2)) END) AS a, sum(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(20,2)) ELSE 0 END) AS r
+  FROM geo WHERE o_orderstatus <> 'P' GROUP BY 1, 2),
+ i AS (SELECT comune, number, name, 'accertamenti' AS measure, a AS value FROM s UNION ALL SELECT comune, number, name, 'riscossioni_totali', r FROM s),
+ u AS (SELECT comune, 'voce' AS level, number, name, measure, value FROM i UNION ALL SELECT comune, 'totale', NULL, 'Totale generale delle entrate', measure, sum(value) FROM i GROUP BY 1, 5)
+SELECT comune, level, CAST(number AS VARCHAR) AS code, name, measure, CAST(value AS DOUBLE) AS value, CAST(row_number() OVER (PARTITION BY comune, measure ORDER BY number NULLS LAST) AS INT) AS position FROM u""", "geo")
+def normalize_revenue_csv(t):
+    """Latin-1 files with a line per kind of revenue, two column orders, amounts with a decimal comma."""
+    text = F.translate(F.format_number(F.col("o_totalprice").cast(MONEY), 2), ",.", ".,")
+    number = F.expr("5 * instr('ABFHM', substr(c_mktsegment, 1, 1))").cast("string")
+    lines = t.order_geo.select(
+        F.concat(number, F.lit(" - "), "c_mktsegment").alias(" Titolo"),
+        F.when(F.col("o_orderstatus") == "P", "Fondo pluriennale").otherwise("Tipologia 101: altro").alias("Tipologia "),
+        text.alias("Accertamenti"),
+        F.when(F.col("o_orderstatus") == "F", text).alias("Riscossioni"),
+        F.col("n_name").alias("Comune"),
+    )
+    path = scratch_path(t.spark, "revenue")
+    even = F.pmod(F.xxhash64("Comune", "Accertamenti"), F.lit(2)) == 0
+    lines.where(even).write.csv(path, sep=";", header=True, encoding="ISO-8859-1")
+    lines.where(~even).select("Riscossioni", "Comune", "Accertamenti", "Tipologia ", " Titolo").write.mode("append").csv(path, sep=";", header=True, encoding="ISO-8859-1")
+    rows = readers.read_delimited(t.spark, path).withColumnRenamed("Comune", "comune")
+    measures = {"Accertamenti": "accertamenti", "Riscossioni": "riscossioni_totali"}
+    items = readers.normalize_revenue(rows, ["comune"], "Titolo", "Tipologia", measures, "Totale generale delle entrate")
+    return items.select("comune", "level", "code", "name", "measure", out(F.col("value")).alias("value"), "position")
+
+
 @query("src_file_year", "SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS anno FROM orders WHERE o_orderstatus <> 'P' AND year(o_orderdate) IN (1996, 1997)")
 def src_file_year(t):
     stem = F.when(F.col("o_orderstatus") == "P", "bozza").otherwise(F.col("year").cast("string"))

@@ -7,26 +7,69 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.functions.numbers import parse_dot_decimal, parse_form_integer
-from ledgerloom.functions.text import first_rule, unpad_code
+from ledgerloom.functions.numbers import parse_dot_decimal, parse_form_integer, parse_simple_locale
+from ledgerloom.functions.text import by_number, first_rule, unpad_code
 from ledgerloom.operators.facts import select_member
 from ledgerloom.operators.hierarchy import rollup_to_parent
 
 
 def read_delimited(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Semicolon files as text columns with trimmed names.
+    """Semicolon files as text columns with trimmed names; each file's own titles tell its columns.
 
     Blank lines are skipped by the reader and rows shorter than the header are
     filled with NULL, so the filters of the caller drop them.
     """
-    raw = spark.read.csv(path, sep=";", header=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE")
-    return raw.toDF(*[c.strip() for c in raw.columns])
+    parts = []
+    for paths in header_groups(spark, path):
+        raw = spark.read.csv(paths, sep=";", header=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE")
+        parts.append(raw.toDF(*[c.strip() for c in raw.columns]))
+    if not parts:
+        return spark.createDataFrame([], "struct<>")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def header_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a folder by their title line, which names the columns of each file.
+
+    A file's titles are the first line of its first block. What reaches the
+    driver are file names, which Spark's own listing holds there as well.
+    """
+    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at"), "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.where((F.col("file_block_start") == 0) & (F.trim("value") != "")).groupBy("file_path").agg(F.min_by("value", "at").alias("titles"))
+    titles = F.transform(F.split("titles", ";"), lambda c: F.trim(c))
+    groups = first.groupBy(titles.alias("titles")).agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    return [[unquote(f) for f in row["files"]] for row in groups.orderBy("titles").collect()]
+
+
+CATEGORY = r"^(\d+)\s*-\s*(.+)$"
+CATEGORY_ROW = "TIPOLOGIA"
+
+
+def normalize_revenue(rows: DataFrame, keys: list[str], category: str, kind: str, measures: dict[str, str], total_name: str) -> DataFrame:
+    """Lines per kind of revenue to items per category, in numeric order of the codes, and grand totals.
+
+    A line counts if its category reads ``N - name`` and its kind begins with
+    the fixed word; amounts have a decimal comma, and blank ones are zero.
+    """
+    text = F.trim(F.col(f"`{category}`"))
+    used = rows.where(text.rlike(CATEGORY) & F.startswith(F.upper(F.trim(F.col(f"`{kind}`"))), F.lit(CATEGORY_ROW)))
+    typed = used.select(
+        *keys,
+        F.regexp_extract(text, CATEGORY, 1).alias("code"),
+        F.trim(F.regexp_extract(text, CATEGORY, 2)).alias("name"),
+        *[F.coalesce(parse_simple_locale(F.col(f"`{c}`")), F.lit(0)).cast("decimal(30,2)").alias(m) for c, m in measures.items()],
+    )
+    items = rollup_to_parent(typed, keys, list(measures.values()), total_name)
+    # the window sees one row per category of a key and measure
+    return items.withColumn("position", F.row_number().over(Window.partitionBy(*keys, "measure").orderBy(*by_number("code"))))
 
 
 def normalize_side(
@@ -169,6 +212,15 @@ def with_file_year(df: DataFrame, name: str, years: list[int] | None = None) ->
     return dated.where(F.col("anno").isin(*years)) if years else dated
 
 
+def read_year_lines(spark: SparkSession, path: str, years: list[int] | None = None) -> DataFrame:
+    """Lines of the files named ``..._YYYY.ext``, of the given years only, as ``value``, ``file_name`` and ``anno``.
+
+    The year is a condition on the file's metadata, so other files are not opened.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+    return with_file_year(lines, "file_name", years)
+
+
 def unpivot_seed(wide: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Curated wide table to one row per measure; missing cells drop."""
     return wide.unpivot(keys, measures, "measure", "value").where(F.col("value").isNotNull())

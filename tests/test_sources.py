@@ -38,6 +38,32 @@ def test_delimited_city(spark, tmp_path):
     }
 
 
+def test_each_file_is_read_by_its_own_titles(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('Ente;Impegni \n"Ente ""X"" sud";1\n'.encode("latin-1"))
+    (tmp_path / "b uno.csv").write_bytes(" Impegni;Ente;Nota\n2;Città;n\n".encode("latin-1"))
+    got = readers.read_delimited(spark, str(tmp_path)).select("Ente", "Impegni", "Nota")
+    assert sorted(map(tuple, got.collect())) == [("Città", "2", "n"), ('Ente "X" sud', "1", None)]
+
+
+def test_revenue_categories(spark):
+    lines = [
+        ("10 - Dieci", "Tipologia 100", "1.000,50", "1"), ("9 - Nove", " tipologia 2", "2,5", ""), ("9 - Nove", "TIPOLOGIA 3", None, "4"),
+        ("8 - Zero", "Tipologia 1", "0,00", " "), ("TOTALE", "Tipologia 1", "9", "9"), ("7 - Altro", "Fondo", "9", "9"), ("6 - Corta", None, None, None),
+    ]
+    table = spark.createDataFrame(lines, "Titolo string, Tipologia string, A string, R string")
+    got = readers.normalize_revenue(table, [], "Titolo", "Tipologia", {"A": "acc", "R": "risc"}, "Tutto").where("measure = 'acc'").orderBy("position")
+    assert [(r["code"], r["name"], r["value"]) for r in got.collect()] == [("9", "Nove", D("2.50")), ("10", "Dieci", D("1000.50")), (None, "Tutto", D("1003.00"))]
+    zero = readers.normalize_revenue(table.where("Titolo LIKE '8%'"), [], "Titolo", "Tipologia", {"A": "acc", "R": "risc"}, "Tutto")
+    assert [(r["level"], r["value"]) for r in zero.collect()] == [("totale", D("0.00"))] * 2
+
+
+def test_year_files(spark, tmp_path):
+    for name in ("anac_2020.txt", "anac_2021.txt", "anac_bozza.txt", "note.txt"):
+        (tmp_path / name).write_text(name)
+    assert rows(readers.read_year_lines(spark, str(tmp_path), [2021])) == [("anac_2021.txt", "anac_2021.txt", 2021)]
+    assert readers.read_year_lines(spark, str(tmp_path)).count() == 2
+
+
 def test_archive_picks_the_shortest_matching_member(spark, tmp_path):
     for name, members in {
         "2020_Lazio.zip": {"Spese_lungo.csv": "x", "Spese.csv": "a; b \n1;2\n\n3\n", "Spese_Province.csv": "a;b\n9;9\n", "Spese.txt": "no"},
