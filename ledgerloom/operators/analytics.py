@@ -26,6 +26,17 @@ def share_of_total(
     return shared.withColumn("share", F.when(F.coalesce("year_total", F.lit(0.0)) == 0, 0.0).otherwise(ratio))
 
 
+def shares_of_totals(df: DataFrame, code: str, exclude: list[str], value: str = "value", year: str = "year") -> DataFrame:
+    """Both shares of ``share_of_total``, ``gross_share`` and ``net_share``, from one grouping."""
+    counted = ~F.col(code).isin(*exclude)
+    totals = df.groupBy(F.col(year).alias("_year")).agg(
+        F.sum(value).cast("double").alias("gross_share"), F.sum(F.when(counted, F.col(value))).cast("double").alias("net_share")
+    )
+    shared = df.where(counted).join(totals, F.col(year) == totals["_year"]).drop("_year")
+    ratio = lambda total: F.when(F.coalesce(F.col(total), F.lit(0.0)) == 0, 0.0).otherwise(F.col(value).cast("double") / F.col(total) * 100)
+    return shared.withColumns({c: ratio(c) for c in ("gross_share", "net_share")})
+
+
 def yoy_delta(df: DataFrame, keys: list[str], value: str = "value", year: str = "year") -> DataFrame:
     """Percent change on the previous calendar year, by the previous magnitude.
 

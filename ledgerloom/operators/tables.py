@@ -172,9 +172,11 @@ def valuation_metrics(
 ) -> DataFrame:
     """Valuation table: an entity's name row and value rows folded into one.
 
-    The column positions depend on how many columns the folded row has.
+    The column positions depend on how many columns the folded row has; rows
+    blank in every cell belong to no entity and add no columns.
     """
-    blocks = coalesce_block_cells(rows, keys, pos, is_entity_row(F.col(cells)), cells, carried=(page,))
+    filled = rows.where(F.exists(cells, lambda c: F.trim(c) != ""))
+    blocks = coalesce_block_cells(filled, keys, pos, is_entity_row(F.col(cells)), cells, carried=(page,))
     named = blocks.withColumns(
         {
             "entity_name": C.cell(F.col(cells), 0),

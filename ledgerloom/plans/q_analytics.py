@@ -26,9 +26,8 @@ FROM (SELECT *, sum(value) OVER (PARTITION BY year) AS gross, sum(CASE WHEN code
  FROM (SELECT year, liv1_code AS code, sum(value) AS value FROM leaf WHERE kind = 'spesa' GROUP BY ALL)) WHERE code NOT IN ('04', '00')""", "leaf")
 def share_of_total(t):
     rows = facts.where_equal(_level1(t), kind="spesa").drop("kind")
-    gross = analytics.share_of_total(rows, "code", exclude=["04", "00"]).select("year", "code", "value", F.col("share").alias("gross_share"))
-    net = analytics.share_of_total(rows, "code", exclude=["04", "00"], net_base=True).select("year", "code", F.col("share").alias("net_share"))
-    return gross.join(net, ["year", "code"]).withColumn("value", out(F.col("value")))
+    shares = analytics.shares_of_totals(rows, "code", exclude=["04", "00"])
+    return shares.select("year", "code", out(F.col("value")).alias("value"), "gross_share", "net_share")
 
 
 @query("yoy_delta", """

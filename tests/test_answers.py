@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.operators import analytics, checks, documents, facts, hierarchy, ordered
+from ledgerloom.operators import analytics, checks, documents, facts, hierarchy, ordered, tables
 from ledgerloom.sources import readers
 from conftest import rows
 
@@ -73,3 +73,24 @@ def test_one_plan_whatever_the_positions(frame):
 
 def test_labels():
     assert presets.MEASURE_LABELS["oneri_finanziari"] == "Oneri finanziari (interessi passivi)"
+
+
+def test_blank_rows_add_no_columns_to_a_valuation(spark):
+    blank = [""] * 7
+    record = [(1, ["ACME SPA", *blank]), (2, ["", "12,50%", "1.000,00", "", "2.000,00", "3,00", "-", "EP 12"])]
+    schema = "pos int, cells array<string>"
+
+    def metrics(lines):
+        table = spark.createDataFrame(lines, schema).selectExpr("1 AS doc", "pos", "6 AS page", "cells")
+        found = tables.valuation_metrics(table, ["doc"], "pos", "page", indirect_pages=[])
+        return sorted((r["metric_name"], r["value"]) for r in found.collect())
+
+    want = metrics(record)
+    assert len(want) == 4
+    assert metrics([*record, (3, [" "] * 12)]) == want
+
+
+def test_both_shares_from_one_grouping(spark):
+    table = spark.createDataFrame([(1, "01", 30.0), (1, "02", 10.0), (1, "04", 60.0), (2, "04", 5.0), (3, "01", 0.0)], "year int, code string, value double")
+    got = {(r["year"], r["code"]): (r["gross_share"], r["net_share"]) for r in analytics.shares_of_totals(table, "code", ["04", "00"]).collect()}
+    assert got == {(1, "01"): (30.0, 75.0), (1, "02"): (10.0, 25.0), (3, "01"): (0.0, 0.0)}
