@@ -10,8 +10,11 @@ probability by a logistic curve fitted on documents kept out of training.
 
 Training is on the driver, over a bounded sample of labelled rows: at most
 ``per_class`` rows of each class (picked by a hash of the id, which is no
-input) with texts up to ``longest`` characters. As a label holds for the
-document and not for each window, an epoch learns from each document's
+input) with texts up to ``longest`` characters. A class that is capped is
+rarer in the sample than in the table, so the learnable labels of each class
+are counted over the whole table and the curve's offset is moved by the
+difference in log odds: a score is a chance in the table, whatever its size.
+As a label holds for the document and not for each window, an epoch learns from each document's
 currently highest window, after two epochs of random ones. Scoring is one
 pass over Arrow batches with the fixed-size model; nothing is shuffled.
 
@@ -247,11 +250,12 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(a * logit.astype(float) + b, -500, 500)))
 
 
-def train(texts: list[str], labels: list[int], visits: int = 28_000, batch: int = 64, rate: float = 0.01) -> Network:
+def train(texts: list[str], labels: list[int], visits: int = 28_000, batch: int = 64, rate: float = 0.01, shift: float = 0.0) -> Network:
     """Fit the network to documents and their 0/1 labels; the same rows give the same network.
 
     A small sample is gone through more often: about ``visits`` documents in
-    all, 7 to 40 times.
+    all, 7 to 40 times. ``shift`` is what the table's log odds have over those
+    of the sample.
     """
     net = Network()
     y = np.array(labels, np.float32)
@@ -317,7 +321,8 @@ def train(texts: list[str], labels: list[int], visits: int = 28_000, batch: int
                 weights[touched] -= np.float32(pace * 10) * total / np.sqrt(seen[touched])[:, None] * np.float32(0.5)
 
     logit = net.highest(net.inputs(words), docs)[0][kept] if kept.any() else np.zeros(0)
-    net.curve = fitted_curve(logit, y[kept])
+    slope, offset = fitted_curve(logit, y[kept])
+    net.curve = slope, offset + shift
     return net
 
 
@@ -343,9 +348,25 @@ def fitted_curve(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(beta[0], 0.05)), float(beta[1])
 
 
+def learnable(labels: DataFrame) -> DataFrame:
+    """The distinct labels that may be learned from."""
+    return labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out()).select("doc_id", "toxic").distinct()
+
+
+def sample_shift(labels: DataFrame, per_class: int = 2000) -> float:
+    """Log odds of the learnable labels of the whole table, less those of a sample of ``per_class`` of each class.
+
+    Rows are drawn before their texts are looked up, so texts that are too
+    long or missing thin out a class alike in table and sample.
+    """
+    counts = {int(r["toxic"]): r["count"] for r in learnable(labels).groupBy("toxic").count().collect()}
+    over = {k: max(1.0, counts.get(k, 0) / per_class) for k in (0, 1)}
+    return float(np.log(over[1] / over[0]))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = 2000, longest: int = 20_000) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``per_class`` learnable rows of each class."""
-    usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out()).select("doc_id", "toxic").distinct()
+    usable = learnable(labels)
     picked = None
     for value in (0, 1):
         one = usable.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
@@ -379,7 +400,7 @@ def toxicity_scores(docs: DataFrame, model: Network, threshold: float = 0.3, nam
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, names: tuple[str, str, str] = NAMES) -> DataFrame:
     """Learn from the labelled documents and score all of them."""
-    return toxicity_scores(docs, train(*labelled_sample(docs, labels)), threshold, names)
+    return toxicity_scores(docs, train(*labelled_sample(docs, labels), shift=sample_shift(labels)), threshold, names)
 
 
 @query("op1_toxicity")

@@ -337,6 +337,19 @@ def test_toxicity(spark, nothing):
     assert toxicity.toxicity(nothing, spark.createDataFrame([], "doc_id long, toxic int")).count() == 0
 
 
+def test_scores_are_chances_in_the_whole_table(spark):
+    """A capped class does not raise the score: words tell nothing here, so each document has the table's chance."""
+    rng = random.Random(8)
+    rows = [(k, f"w{rng.randrange(5)} w{rng.randrange(5)}", int(k % 12 == 0)) for k in range(24_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4).cache()
+    scores = [r["score"] for r in toxicity.toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic")).collect()]
+    assert abs(np.mean(scores) - 1 / 12) < 0.04  # the sample has 1500 toxic of 3500
+    learned = toxicity.learnable(table.select("doc_id", "toxic"))
+    clean, toxic = learned.filter("toxic = 0").count(), learned.filter("toxic = 1").count()
+    assert toxicity.sample_shift(table, 1000) == pytest.approx(np.log(toxic / clean))
+    assert toxicity.sample_shift(table, 10**6) == toxicity.sample_shift(table.limit(0)) == 0
+
+
 def test_curve_does_not_run_away():
     logit = np.concatenate([np.full(48, -7.0), np.linspace(-6, 3, 12)])
     y = np.concatenate([np.zeros(50), np.ones(10)])
