@@ -21,9 +21,9 @@ from ledgerloom.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network, learned from the labels, does not call toxic."""
+    """Documents that the network, learned from the labels, does not call toxic; the cut is the operator's own."""
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
-    scored = toxicity(docs, labels, threshold=0.5, names=("_held_out", "_toxicity", "_toxic"))
+    scored = toxicity(docs, labels, names=("_held_out", "_toxicity", "_toxic"))
     return scored.filter("_toxic = 0").select(*docs.columns)
 
 

@@ -396,3 +396,20 @@ def test_pipeline_stages(spark):
         assert out.columns == docs.columns
         assert 0 < out.count() <= 2 * docs.count()
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_pipeline_drops_what_op1_calls_toxic(spark):
+    """Documents scored from 0.3 to 0.5 go as well: of some words two in five documents are toxic."""
+    import corpus_pipeline
+
+    rows = [(k, "mild words" if k % 2 else "plain text", int(k % 10 in (1, 3))) for k in range(1500)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3).cache()
+    scored = toxicity.toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic")).collect()
+    assert any(0.3 <= r["score"] < 0.5 for r in scored)
+    real = corpus_pipeline.table
+    corpus_pipeline.table = lambda spark, folder, name, *columns: table.select(*columns)
+    try:
+        kept = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, table.select("doc_id", "text"), "").collect()}
+    finally:
+        corpus_pipeline.table = real
+    assert kept == {r["doc_id"] for r in scored if not r["predicted"]}
