@@ -19,8 +19,12 @@ five-word shingles. Their 64-bit fingerprints over shingles lie about 10 bits
 apart, beyond any index, but over words, weighed by ``1 + log2(count)``, they
 lie 4 bits apart. So a document carries ``FAMILIES`` fingerprints over words,
 each of which goes through the pigeonring filter, and one of 256 bits over
-its shingles for the full Hamming check: 0.8 means 39 differing bits, and up
-to ``WIDE_REACH`` link.
+its distinct shingles: 0.8 means about 39 differing bits, and sets within
+``WIDE_REACH`` bits are candidates. Linked sets of candidates are then checked
+against their whole shingle sets: only a Jaccard similarity of 0.8 and more
+links. A node is a distinct shingle set, so its shingles travel once for each
+candidate set it is in; candidate components up to ``GATHERED`` nodes are one
+such set, larger ones keep the sets of their files.
 
 Inputs: null, empty and wordless texts have fingerprint zero and are linked
 like any other; fewer words than a shingle make one shingle; repeated rows
@@ -42,7 +46,8 @@ from ledgerloom.llm.common import map_batches, materialize, query, table
 from ledgerloom.llm.components import components
 
 SEGMENTS, WIDTH, REACH = 4, 16, 3
-FAMILIES, WIDE_REACH = 3, 42
+FAMILIES, WIDE_REACH = 4, 60
+GATHERED = 256
 WIDE = ("w0", "w1", "w2", "w3")
 
 
@@ -81,8 +86,17 @@ def digests(parts: list[bytes]) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 32), axis=1)
 
 
+def shingle_set(text: str | None, shingle: int = 5) -> np.ndarray:
+    """The sorted hashes of a text's distinct shingles."""
+    import xxhash
+
+    words = (text or "").encode().lower().split()
+    n = max(1, len(words) - shingle + 1) if words else 0
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(words[k : k + shingle]), 42) for k in range(n)), np.uint64, n))
+
+
 def wide_fingerprint(text: str | None, shingle: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of 64 bits over weighed words (``FAMILIES``), and one of 256 bits over shingles, as signed longs."""
+    """Fingerprints of 64 bits over weighed words (``FAMILIES``), and one of 256 bits over distinct shingles, as signed longs."""
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(FAMILIES, np.int64), np.zeros(len(WIDE), np.int64)
@@ -91,26 +105,32 @@ def wide_fingerprint(text: str | None, shingle: int = 5) -> tuple[np.ndarray, np
     heavy = np.zeros(256)
     for at in range(0, len(distinct), 1 << 13):
         heavy += weight[at : at + (1 << 13)] @ digests(distinct[at : at + (1 << 13)])
-    ones, n = np.zeros(256, np.int64), max(1, len(words) - shingle + 1)
+    parts = list({b" ".join(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))})
+    ones, n = np.zeros(256, np.int64), len(parts)
     for at in range(0, n, 1 << 13):
-        ones += digests([b" ".join(words[k : k + shingle]) for k in range(at, min(n, at + (1 << 13)))]).sum(axis=0, dtype=np.int64)
+        ones += digests(parts[at : at + (1 << 13)]).sum(axis=0, dtype=np.int64)
     light, full = (np.packbits(b).view(">i8").astype(np.int64) for b in (2 * heavy > weight.sum(), 2 * ones > n))
     return light[:FAMILIES], full
 
 
 def wide_fingerprints(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """(doc_id, text_hash, node, f0.., w0..w3): ``node`` names equal fingerprints over shingles."""
-    names = [*[f"f{k}" for k in range(FAMILIES)], *WIDE]
+    """(doc_id, text_hash, node, f0.., w0..w3): ``node`` names equal sets of shingles."""
+    import xxhash
+
+    names = ["node", *[f"f{k}" for k in range(FAMILIES)], *WIDE]
+
+    def one(text: str | None) -> np.ndarray:
+        node = signed(xxhash.xxh3_64_intdigest(shingle_set(text, shingle).tobytes(), 42))
+        return np.concatenate([[node], *wide_fingerprint(text, shingle)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([np.concatenate(wide_fingerprint(t.as_py(), shingle)) for t in batch.column("text")], np.int64).reshape(-1, len(names))
+            fps = np.array([one(t.as_py()) for t in batch.column("text")], np.int64).reshape(-1, len(names))
             arrays = [batch.column("doc_id"), batch.column("text_hash"), *[pa.array(c, pa.int64()) for c in fps.T]]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_hash", *names])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    made = map_batches(rows, work, ", ".join(f"{c} long" for c in ("doc_id", "text_hash", *names)))
-    return made.withColumn("node", F.xxhash64(*WIDE))
+    return map_batches(rows, work, ", ".join(f"{c} long" for c in ("doc_id", "text_hash", *names)))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -161,12 +181,21 @@ def mask_tree() -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]
     return top, children
 
 
-def file_links(rows: Iterator[pa.RecordBatch], starts: np.ndarray, reach: int, wide_reach: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Longs scattered over all 64 bits; the sum over a set names the set."""
+    x = x.view(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def file_links(rows: Iterator[pa.RecordBatch], starts: np.ndarray, reach: int, wide_reach: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Links (a, b) of files that arrive sorted by (start mask, value): a star over each linked set of a file.
 
     Rows are (mask, val, fp) and link fingerprints; where they go on with a
-    node and its fingerprint over shingles, they link nodes, and that
-    fingerprint is checked as well.
+    node and its fingerprint over shingles, they link nodes, that fingerprint
+    is checked as well, and a third array names the linked set; the set's
+    seed then is linked to itself, too.
     """
 
     def near(x: np.ndarray, start: np.ndarray | int) -> np.ndarray:
@@ -182,27 +211,36 @@ def file_links(rows: Iterator[pa.RecordBatch], starts: np.ndarray, reach: int, w
         """The check over shingles between rows at ``a`` and ``b``."""
         return not wide or sum(np.bitwise_count((w[a] ^ w[b]).view(np.uint64)).astype(np.int16) for w in wide) <= wide_reach
 
-    def one(fp: np.ndarray, name: np.ndarray, wide: list[np.ndarray], start: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def one(fp: np.ndarray, name: np.ndarray, wide: list[np.ndarray], start: int) -> Iterator[tuple[np.ndarray, ...]]:
         left = np.unique(name, return_index=True)[1]
         while len(left) > 1:
             seed, left = left[0], left[1:]
-            edge = np.array([seed])
+            edge, linked = np.array([seed]), [np.array([seed])]
             while len(edge) and len(left):
                 front = edge[:64, None]
                 hit = (near(fp[front] ^ fp[left], start) & alike(wide, front, left)).any(axis=0)
                 edge = np.concatenate([edge[64:], left[hit]])
                 if hit.any():
-                    yield name[left[hit]], np.full(int(hit.sum()), name[seed])
+                    linked.append(left[hit])
                 left = left[~hit]
+            if len(linked) > 1:
+                some = name[np.concatenate(linked if wide else linked[1:])]
+                stars = some, np.full(len(some), name[seed])
+                yield (*stars, np.full(len(some), mixed(some).sum().view(np.int64))) if wide else stars
 
-    def files(mask: np.ndarray, val: np.ndarray, fp: np.ndarray, *rest: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def files(mask: np.ndarray, val: np.ndarray, fp: np.ndarray, *rest: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         name, wide = (rest[0], list(rest[1:])) if rest else (fp, [])
         cut = np.flatnonzero((mask[1:] != mask[:-1]) | (val[1:] != val[:-1])) + 1
         begin = np.concatenate([[0], cut])
         size = np.diff(np.concatenate([begin, [len(fp)]]))
         pair = begin[size == 2]
         ok = near(fp[pair] ^ fp[pair + 1], starts[mask[pair]]) & (name[pair] != name[pair + 1]) & alike(wide, pair, pair + 1)
-        yield name[pair][ok], name[pair + 1][ok]
+        a, b = name[pair][ok], name[pair + 1][ok]
+        if wide:
+            key = (mixed(a) + mixed(b)).view(np.int64)
+            yield np.concatenate([a, b]), np.concatenate([a, a]), np.concatenate([key, key])
+        else:
+            yield a, b
         for b, n in zip(begin[size > 2].tolist(), size[size > 2].tolist(), strict=True):
             yield from one(fp[b : b + n], name[b : b + n], [w[b : b + n] for w in wide], int(starts[mask[b]]))
 
@@ -226,7 +264,8 @@ def near_links(nodes: DataFrame, crowded: int = 2000, reach: int = REACH, wide_r
     """Links (a, b) between distinct fingerprints (column fp) whose closure holds every pair within ``reach`` bits.
 
     Nodes that also carry ``node`` and ``w0`` to ``w3`` are linked by ``node``
-    if their fingerprints over shingles lie within ``wide_reach`` bits too.
+    if their fingerprints over shingles lie within ``wide_reach`` bits too; a
+    third column ``linked`` names the set that a link is of.
     """
     spark = nodes.sparkSession
     names = ["fp", "node"] if "node" in nodes.columns else ["fp"]
@@ -259,16 +298,81 @@ def near_links(nodes: DataFrame, crowded: int = 2000, reach: int = REACH, wide_r
     for more in levels[1:]:
         rows = rows.unionByName(more)
 
+    out = ["a", "b", "linked"] if len(names) > 1 else ["a", "b"]
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for a, b in file_links(batches, starts, reach, wide_reach):
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        for found in file_links(batches, starts, reach, wide_reach):
+            if len(found[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=out)
 
     rows = rows.select("mask", "val", *names)
     if len(names) > 1:
         rows = rows.join(nodes.select("node", *WIDE), "node").select("mask", "val", *names, *WIDE)
     sorted_files = rows.repartition("mask", "val").sortWithinPartitions("mask", "val", "fp")
-    return map_batches(sorted_files, link, "a long, b long")
+    return map_batches(sorted_files, link, ", ".join(f"{c} long" for c in out))
+
+
+def set_links(nodes: list[int], sets: list[np.ndarray], tenths: int = 8) -> list[tuple[int, int]]:
+    """Links whose closure holds every pair of sets with a Jaccard similarity of ``tenths`` tenths and more, and no other."""
+    sizes = np.array([len(s) for s in sets])
+    order = np.argsort(sizes, kind="stable")
+    known, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    has, left, links = np.zeros(len(known) + 1, np.int32), order[sizes[order] > 0], []
+    while len(left) > 1:
+        edge, left = [left[0]], left[1:]
+        while edge and len(left):
+            at = edge.pop()
+            mine = flat[begin[at] : begin[at + 1]]
+            has[mine] = 1
+            fit = np.flatnonzero((10 * sizes[left] >= tenths * sizes[at]) & (10 * sizes[at] >= tenths * sizes[left]))
+            shared = np.array([has[flat[begin[k] : begin[k + 1]]].sum() for k in left[fit]], np.int64)
+            has[mine] = 0
+            hit = fit[10 * shared >= tenths * (sizes[left[fit]] + sizes[at] - shared)]
+            links += [(nodes[k], nodes[at]) for k in left[hit]]
+            edge += left[hit].tolist()
+            left = np.delete(left, hit)
+    return links
+
+
+def exact_links(docs: DataFrame, named: DataFrame, found: DataFrame, shingle: int, gathered: int = GATHERED) -> DataFrame:
+    """Links (a, b) between nodes of the candidate sets ``found`` whose whole shingle sets are similar."""
+    roots = components(found.filter("a <> b").select("a", "b").distinct())
+    roots = materialize(roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct(), "wide-candidates")
+    small = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= gathered).select("root")
+    one_set = roots.join(small, "root").select("node", F.col("root").alias("linked"))
+    sets = found.select(F.col("a").alias("node"), "linked").join(one_set.select("node"), "node", "left_anti").distinct().unionByName(one_set)
+    # a node's text: of its rows, those of the smallest hash, once
+    texts = named.join(roots.select("node"), "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
+    texts = materialize(texts, "wide-texts")
+    whole = docs.select("text", F.xxhash64("text").alias("text_hash")).join(texts.select("text_hash"), "text_hash", "left_semi")
+    whole = whole.groupBy("text_hash").agg(F.min("text").alias("text")).join(texts, "text_hash").select("node", "text")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_set(t.as_py(), shingle).view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, held = None, [], []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(nodes) > 1 and (links := set_links(nodes, held)):
+                a, b = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for k, node, shingles in zip(batch.column("linked").to_pylist(), batch.column("node").to_pylist(), batch.column("shingles"), strict=True):
+                if k != key:
+                    yield from done()
+                    key, nodes, held = k, [], []
+                nodes.append(node)
+                held.append(shingles.values.to_numpy())
+        yield from done()
+
+    full = materialize(map_batches(whole, read, "node long, shingles array<long>"), "wide-sets")
+    dealt = sets.join(full, "node").select("linked", "node", "shingles").repartition("linked").sortWithinPartitions("linked", "node")
+    return map_batches(dealt, check, "a long, b long")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, crowded: int = 2000) -> DataFrame:
@@ -283,9 +387,9 @@ def simhash_components(docs: DataFrame, shingle: int = 3, crowded: int = 2000) -
 
 
 def similar_components(docs: DataFrame, shingle: int = 5, crowded: int = 2000, wide_reach: int = WIDE_REACH) -> DataFrame:
-    """(doc_id, text_hash, root, component_id): components of documents of a similarity of about 0.8 and more.
+    """(doc_id, text_hash, root, component_id): components of documents of a similarity of 0.8 and more.
 
-    ``root`` tells components apart also where they share their smallest id. Two different fingerprints over shingles share a node's name by chance
+    ``root`` tells components apart also where they share their smallest id. Two different sets of shingles share a node's name by chance
     once in 2**64 pairs.
     """
     named = materialize(wide_fingerprints(docs, shingle), "wide-fingerprints")
@@ -295,7 +399,8 @@ def similar_components(docs: DataFrame, shingle: int = 5, crowded: int = 2000, w
     for k in range(FAMILIES):
         found = near_links(nodes.select("node", F.col(f"f{k}").alias("fp"), *WIDE), crowded, REACH, wide_reach)
         links = found if links is None else links.unionByName(found)
-    roots = materialize(components(links), "wide-roots")
+    links = materialize(links.distinct(), "wide-links")
+    roots = materialize(components(exact_links(docs, named, links, shingle)), "wide-roots")
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     known = materialize(rooted.join(names, "root").select("node", "root", "component_id"), "wide-components")

@@ -199,6 +199,51 @@ def test_near_dedup(spark, docs, nothing):
     assert simhash.near_dedup(nothing).count() == 0
 
 
+def test_near_dedup_decides_at_the_similarity(spark):
+    """Pairs just under 0.8 all stay, of pairs just above hardly one is missed; a repeated shingle does not hide the others."""
+    rng = random.Random(31)
+
+    def similarity(a, b):
+        a, b = ({tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (a, b))
+        return len(a & b) / len(a | b)
+
+    rows, over, under = [], [], []
+    for k in range(300):
+        base = [f"v{int(rng.paretovariate(0.6)) % 4000}" for _ in range(400)]
+        some = list(base)
+        for at in rng.sample(range(400), rng.randrange(8, 14)):
+            some[at] = f"n{rng.randrange(10**6)}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(some))]
+        if 0.75 <= (s := similarity(base, some)) < 0.86:
+            (over if s >= 0.8 else under).append(2 * k + 1)
+    rows += [(9000 + k, "same " * 300 + " ".join(f"{k}t{i}" for i in range(40))) for k in range(4)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = {r["doc_id"] for r in simhash.near_dedup(table).collect()}
+    assert len(over) > 50 and len(under) > 20
+    assert set(under) <= kept and {9000, 9001, 9002, 9003} <= kept
+    assert len(kept & set(over)) <= 0.05 * len(over), (len(kept & set(over)), len(over))
+
+
+def test_set_links_are_exact():
+    rng = np.random.default_rng(6)
+    base = [rng.permutation(60)[:50] for _ in range(3)]
+    sets = [np.unique(np.concatenate([b[rng.integers(0, 8) :], rng.integers(100, 10**6, rng.integers(0, 6))])).astype(np.int64) for b in base for _ in range(15)] + [np.zeros(0, np.int64)] * 2
+    group = {k: {k} for k in range(len(sets))}
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = set(sets[a].tolist()), set(sets[b].tolist())
+            if x | y and 10 * len(x & y) >= 8 * len(x | y):
+                whole = group[a] | group[b]
+                for k in whole:
+                    group[k] = whole
+    found = {k: {k} for k in range(len(sets))}
+    for a, b in simhash.set_links(list(range(len(sets))), sets):
+        whole = found[a] | found[b]
+        for k in whole:
+            found[k] = whole
+    assert found == group
+
+
 @pytest.mark.parametrize("crowded", [3, 2000])
 def test_near_links_lose_nothing(spark, crowded):
     rng = random.Random(9)
