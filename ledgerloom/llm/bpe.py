@@ -26,15 +26,18 @@ import json
 import re
 from array import array
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice, pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import map_batches, query, table
-from ledgerloom.llm.tokens import SOLID, vocabulary_path
+from ledgerloom.llm.tokens import PIECE, SOLID, lower_latin, vocabulary_path
 
 BLOCK_CHARACTERS = 4_000_000  # texts whose new words share one index
 
@@ -42,9 +45,10 @@ BLOCK_CHARACTERS = 4_000_000  # texts whose new words share one index
 class PairIndex:
     """Merges many words at once; ``merge(words)`` takes lists of symbol ids and returns lists of ids."""
 
-    def __init__(self, ranks: dict[tuple[int, int], tuple[int, int]]):
-        self.ranks = ranks
-        self.pairs = {rank: pair for pair, (rank, _) in ranks.items()}
+    def __init__(self, merges: list[tuple[int, int, int]]):
+        """``merges`` are (left, right, made) in the order of their ranks."""
+        self.merges = merges
+        self.ranks = {left << 32 | right: rank for rank, (left, right, _) in enumerate(merges)}
 
     def merge(self, words: list[list[int]]) -> list[list[int]]:
         symbols: list[int] = []
@@ -55,18 +59,16 @@ class PairIndex:
             symbols.append(-1)  # ends a word; it is in no pair
         after = list(range(1, len(symbols) + 1))
         before = list(range(-1, len(symbols) - 1))
-        ranks, places = self.ranks, {}
-        for at in range(len(symbols) - 1):
-            known = ranks.get((symbols[at], symbols[at + 1]))
-            if known:
-                places.setdefault(known[0], []).append(at)
+        merges, rank_of, places = self.merges, self.ranks.get, defaultdict(list)
+        for at, (left, right) in enumerate(pairwise(symbols)):
+            if right >= 0 and (rank := rank_of(left << 32 | right)) is not None:
+                places[rank].append(at)
         heap = list(places)
         heapq.heapify(heap)
         while heap:
             rank = heapq.heappop(heap)
-            todo = sorted(places.pop(rank, ()))
-            left, right = self.pairs[rank]
-            made = ranks[left, right][1]
+            todo = sorted(places.pop(rank))
+            left, right, made = merges[rank]
             for k, at in enumerate(todo):
                 then = after[at]
                 if symbols[at] != left or symbols[then] != right:
@@ -75,18 +77,23 @@ class PairIndex:
                 after[at] = end = after[then]
                 before[end] = at
                 lower = False
-                for a, b in ((before[at], at), (at, end)):
-                    known = ranks.get((symbols[a], symbols[b])) if a >= 0 else None
-                    if known:
-                        if known[0] not in places:
-                            places[known[0]] = []
-                            heapq.heappush(heap, known[0])
-                        places[known[0]].append(a)
-                        lower |= known[0] < rank
+                found = symbols[end]
+                if found >= 0 and (new := rank_of(made << 32 | found)) is not None:
+                    if new not in places:
+                        heapq.heappush(heap, new)
+                    places[new].append(at)
+                    lower = new < rank
+                first = before[at]
+                found = symbols[first] if first >= 0 else -1
+                if found >= 0 and (new := rank_of(found << 32 | made)) is not None:
+                    if new not in places:
+                        heapq.heappush(heap, new)
+                    places[new].append(first)
+                    lower |= new < rank
                 if lower:
                     if rank not in places:
                         heapq.heappush(heap, rank)
-                    places.setdefault(rank, []).extend(todo[k + 1 :])
+                    places[rank] += todo[k + 1 :]
                     break
         out = []
         for at in starts:
@@ -109,22 +116,27 @@ class BpeCoder:
             cls.open[path] = cls(path)
         return cls.open[path]
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 800_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, plain = spec["model"], Tokenizer.from_file(path)
-        self.normalize = plain.normalizer.normalize_str
+        self.normalize = plain.normalizer.normalize_str if plain.normalizer else str
         self.cut = plain.pre_tokenizer.pre_tokenize_str
+        self.solid = not plain.encode(" ", add_special_tokens=False).ids  # white space has no ids
+        self.pieces = (SOLID if self.solid else PIECE).findall
+        self.fold = lower_latin if self.normalize("A\xc9") == "a\xe9" else str
+        self.decoder = plain.decoder
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
         merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         ids = self.vocab
-        self.index = PairIndex({(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(merges)})
+        self.index = PairIndex([(ids[a], ids[b], ids[a + b]) for a, b in merges])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
-        self.names = {i: t for t, i in (*self.vocab.items(), *self.added.items())}
+        names = {i: t for t, i in (*self.vocab.items(), *self.added.items())}
+        self.names = pa.array([names.get(i) for i in range(max(names) + 1)], pa.string())
         self.keep, self.known = keep, {}
 
     def symbols(self, word: str) -> list[int]:
@@ -133,7 +145,9 @@ class BpeCoder:
         return [self.vocab[p] for p in parts if p in self.vocab]
 
     def words(self, pieces: list[str]) -> list[list[str]]:
-        """The words of each piece; pieces hold no white space, so many are normalized and cut in one call."""
+        """The words of each piece; pieces without white space are normalized and cut many in one call."""
+        if not self.solid:
+            return [[w for w, _ in self.cut(self.normalize(p)) if w] for p in pieces]
         joined = self.normalize(" ".join(pieces))
         lengths = [len(p) + 1 for p in joined.split(" ")]
         if len(lengths) != len(pieces):  # a normalizer made or took a space: one by one
@@ -164,9 +178,10 @@ class BpeCoder:
                 size += len(text)
                 at += 1
             if len(self.known) > self.keep:
-                self.known.clear()
+                for piece in list(islice(reversed(self.known), self.keep // 2)):  # frequent pieces are met early
+                    del self.known[piece]
             known = self.known
-            pieces = [[SOLID.findall(part) for part in parts[::2]] for parts in block]
+            pieces = [[self.pieces(self.fold(part)) for part in parts[::2]] for parts in block]
             fresh = {p for parts in pieces for part in parts for p in part if p not in known}
             if fresh:
                 self.learn(list(fresh))
@@ -178,9 +193,19 @@ class BpeCoder:
                         out.append(array("i", [self.added[parts[2 * k + 1]]]).tobytes())
                 yield b"".join(out)
 
-    def decode(self, ids: list[int | None]) -> str:
-        """The tokens of ids, special ones included, with a space between; the vocabulary has no decoder of its own."""
-        return " ".join([self.names[i] for i in ids if i in self.names])
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The tokens of each list of ids, special ones included, joined by the vocabulary's decoder; by spaces where it has none."""
+        ids = lists.flatten()
+        known = pc.fill_null(pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(self.names))), False)
+        names = self.names.take(pc.if_else(known, ids, None))
+        if names.null_count or lists.null_count:  # rows are counted anew without what names no token
+            held = np.concatenate([[0], np.cumsum(names.is_valid().to_numpy(zero_copy_only=False))])
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            offsets, names = held[np.concatenate([[0], ends])], names.drop_null()
+        else:
+            offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), names)
+        return pa.array([self.decoder.decode(t) for t in tokens.to_pylist()], pa.string()) if self.decoder else pc.binary_join(tokens, " ")
 
 
 def _with(df: DataFrame, column: str, kind: pa.DataType, ddl: str, source: str, work) -> DataFrame:
@@ -190,8 +215,8 @@ def _with(df: DataFrame, column: str, kind: pa.DataType, ddl: str, source: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, 256):
+                some = batch.slice(start, 256)
                 made = work(some.column(source))
                 yield pa.RecordBatch.from_arrays([*some.columns, made], names=[*some.schema.names, column])
 
@@ -217,8 +242,7 @@ def decode_documents(rows: DataFrame, vocabulary: str, decoded: str = "decoded",
     """All columns of ``rows`` and the text that the ids stand for; a null array stands for an empty text."""
 
     def work(lists: pa.Array) -> pa.Array:
-        coder = BpeCoder.of(vocabulary)
-        return pa.array([coder.decode(one) if one else "" for one in lists.to_pylist()], pa.string())
+        return BpeCoder.of(vocabulary).decode(lists)
 
     return _with(rows, decoded, pa.string(), "string", ids, work)
 
