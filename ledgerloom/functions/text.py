@@ -183,11 +183,34 @@ def page_heading(text: Column) -> Column:
     return F.coalesce(F.trim(F.try_element_at(hits, F.lit(1))), F.lit(""))
 
 
-def value_token_pattern(labels: list[str] = presets.VALUE_LABELS, no_digit_before: bool = True) -> str:
-    """Pattern of ``LABEL value`` tokens; longer labels are tried first."""
-    ordered = sorted(labels, key=len, reverse=True)
+def _labels(labels: list[str], no_digit_before: bool) -> str:
+    """Pattern of one label; longer ones are tried first."""
     guard = "A-Za-z0-9" if no_digit_before else "A-Za-z"
-    return rf"(?<![{guard}])({'|'.join(ordered)})\s*(-?[\d.]+,\d{{2}})"
+    return rf"(?<![{guard}])({'|'.join(sorted(labels, key=len, reverse=True))})"
+
+
+def value_token_pattern(labels: list[str] = presets.VALUE_LABELS, no_digit_before: bool = True) -> str:
+    """Pattern of ``LABEL value`` tokens."""
+    return _labels(labels, no_digit_before) + rf"\s*({TOKEN_VALUE})"
+
+
+# Fixed value: a printed amount that may follow a label.
+TOKEN_VALUE = r"-?[\d.]+,\d{2}"
+
+
+def open_label(text: Column, labels: list[str] = presets.VALUE_LABELS, no_digit_before: bool = True) -> Column:
+    """The label that ends a text without its value, empty when none does."""
+    return F.regexp_extract(text, _labels(labels, no_digit_before) + r"\s*$", 1)
+
+
+def leading_value(text: Column) -> Column:
+    """The printed amount at the front of a text, empty when there is none."""
+    return F.regexp_extract(text, rf"^\s*({TOKEN_VALUE})", 1)
+
+
+def value_of(amount: Column) -> Column:
+    """A printed amount as a decimal."""
+    return F.translate(amount, ",.", ".").try_cast("decimal(20,2)")
 
 
 def value_tokens(text: Column, pattern: str) -> Column:
@@ -201,7 +224,7 @@ def value_tokens(text: Column, pattern: str) -> Column:
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda t: F.struct(
             F.translate(t, f"0123456789.,-{spaces}", "").alias("label"),
-            F.translate(t, f",.{ascii_letters}{spaces}", ".").try_cast("decimal(20,2)").alias("value"),
+            value_of(F.translate(t, f"{ascii_letters}{spaces}", "")).alias("value"),
         ),
     )
 

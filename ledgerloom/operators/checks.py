@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import presets
 from ledgerloom.operators.lookups import detail_against_totals, next_year_pairs
-from ledgerloom.operators.ordered import ordered_scan
+from ledgerloom.operators.ordered import SLICE, ordered_scan
 
 MONEY = "decimal(30,2)"
 
@@ -65,7 +65,9 @@ def check_present(rows: DataFrame, required: Column, value: str, name: str = "no
     return summarize(rows.where(required), name, F.col(value).isNull(), need_cases=False)
 
 
-def subtotal_groups(lines: DataFrame, keys: list[str], pos: str, code: str, name: str, value: str) -> DataFrame:
+def subtotal_groups(
+    lines: DataFrame, keys: list[str], pos: str, code: str, name: str, value: str, width: int = SLICE
+) -> DataFrame:
     """Lettered children with the valued line above them that they break down.
 
     Rows with neither a value nor a letter are page headers and are skipped;
@@ -75,7 +77,7 @@ def subtotal_groups(lines: DataFrame, keys: list[str], pos: str, code: str, name
     letter = F.coalesce(F.col(code).rlike(r"^[a-z]$"), F.lit(False))
     child = letter & ~F.lower(F.col(name)).startswith("di cui")
     kept = lines.where(letter | F.col(value).isNotNull()).withColumn("_child", child)
-    grouped = ordered_scan(kept, keys, pos, running={"_group": (~F.col("_child")).cast("int")})
+    grouped = ordered_scan(kept, keys, pos, running={"_group": (~F.col("_child")).cast("int")}, width=width)
     kids = F.col("_child")
     return (
         grouped.where(F.col("_group") > 0)
@@ -97,7 +99,9 @@ def check_subtotals(groups: DataFrame, name: str = "statement_subtotals") -> Dat
     return summarize(groups, name, F.abs("delta") > _tolerance("0.05"), need_cases=False)
 
 
-def section_totals(lines: DataFrame, keys: list[str], pos: str, code: str, name: str, value: str) -> DataFrame:
+def section_totals(
+    lines: DataFrame, keys: list[str], pos: str, code: str, name: str, value: str, width: int = SLICE
+) -> DataFrame:
     """Printed totals of sections A and B with the sum of their numbered lines.
 
     A marker row opens a section and the next "totale … gestione" row closes
@@ -114,6 +118,7 @@ def section_totals(lines: DataFrame, keys: list[str], pos: str, code: str, name:
         running={"_section": F.col("_mark").cast("int")},
         last={"_opened": F.when(F.col("_mark"), F.col(pos)), "_closed": F.when(F.col("_close"), F.col(pos))},
         before=("_closed",),
+        width=width,
     )
     # A row counts while no closing row lies between it and its section's mark.
     rows = scanned.where((F.col("_section") > 0) & (F.coalesce("_closed", F.col("_opened") - 1) < F.col("_opened")))

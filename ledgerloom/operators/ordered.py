@@ -1,12 +1,12 @@
 """Order-dependent operators that stay parallel inside one huge group.
 
-A window over ``partitionBy(document)`` puts a whole document in one task. When
-positions run past one slice, the scan here cuts every group into slices by
-position, works out what each slice hands on to the next from one small row per
-slice, and runs the real window inside slices only. The result is the same as
-the plain window; a group with a third of all rows is spread over as many tasks
-as it has slices. Tables whose positions all lie in one slice - every group is
-then smaller than a slice - take the plain window and its single shuffle.
+A window over ``partitionBy(document)`` puts a whole document in one task. The
+scan here always cuts groups into slices by position. One small row per slice
+says what the slice hands on; a window over those rows alone gives what each
+slice starts with, and that enters the slice as a row of its own before the
+first (or after the last) position. The window over the lines themselves then
+stays within a slice, so a group with a third of all rows is spread over as
+many tasks as it has slices. Groups within one slice get no such rows.
 
 ``pos`` is an integer position that is unique within the group.
 """
@@ -20,11 +20,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import materialize
 
-_SLICE = "_slice"
-
-
-def _null_safe(left: DataFrame, right: DataFrame, names: list[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in names])
+_SLICE, _EDGE = "_slice", "_edge"
+SLICE = 1 << 18  # positions per slice
 
 
 def ordered_scan(
@@ -36,7 +33,7 @@ def ordered_scan(
     last: dict[str, Column] | None = None,
     following: dict[str, Column] | None = None,
     before: tuple[str, ...] = (),
-    width: int | None = None,
+    width: int = SLICE,
 ) -> DataFrame:
     """Add running sums and carried values in position order.
 
@@ -45,46 +42,16 @@ def ordered_scan(
     ``following`` first non-null value from the row on;
     ``before``    names of outputs that leave out the row itself.
 
-    Without ``width`` this is one window per group and one shuffle. A caller
-    whose groups may be too long for a task gives a ``width``: groups are cut
-    into slices of so many positions, and slices hand their state on. The plan
-    depends on the parameter alone, never on the data.
+    Slices span ``width`` positions. The plan is the same for all data; the
+    input is read once for the slices' rows and once for the scan.
     """
     running, last, following = running or {}, last or {}, following or {}
     src = {name: f"_src_{name}" for name in (*running, *last, *following)}
-    exprs = {**running, **last, **following}
-    sources = df.withColumns({src[n]: e for n, e in exprs.items()})
-    if width is None:
-        return _windowed(sources, df.columns, keys, pos, src, running, last, following, before, carried=False)
-    cut = sources.withColumn(_SLICE, F.floor(F.col(pos) / F.lit(width)).cast("bigint"))
-
-    def present(name: str) -> Column:
-        return F.when(F.col(src[name]).isNotNull(), F.col(pos))
-
-    sums = [
-        *[F.sum(src[n]).alias(f"_out_{n}") for n in running],
-        *[F.max_by(F.col(src[n]), present(n)).alias(f"_out_{n}") for n in last],
-        *[F.min_by(F.col(src[n]), present(n)).alias(f"_out_{n}") for n in following],
-    ]
-    slices = cut.groupBy(*keys, _SLICE).agg(*sums)
-    chain = Window.partitionBy(*keys).orderBy(_SLICE)
-    earlier = chain.rowsBetween(Window.unboundedPreceding, -1)
-    later = chain.rowsBetween(1, Window.unboundedFollowing)
-    handed = slices.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.col(_SLICE).alias("_key_slice"),
-        *[F.sum(f"_out_{n}").over(earlier).alias(f"_in_{n}") for n in running],
-        *[F.last(f"_out_{n}", ignorenulls=True).over(earlier).alias(f"_in_{n}") for n in last],
-        *[F.first(f"_out_{n}", ignorenulls=True).over(later).alias(f"_in_{n}") for n in following],
-    )
-    pairs = [(k, f"_key_{k}") for k in keys] + [(_SLICE, "_key_slice")]
-    joined = cut.join(handed, _null_safe(cut, handed, pairs))
-    return _windowed(joined, df.columns, [*keys, _SLICE], pos, src, running, last, following, before, carried=True)
-
-
-def _windowed(rows, columns, keys, pos, src, running, last, following, before, carried: bool) -> DataFrame:
-    """The window itself, added to what earlier or later slices hand on."""
-    inside = Window.partitionBy(*keys).orderBy(pos)
+    sources = df.withColumns({src[n]: e for n, e in {**running, **last, **following}.items()})
+    cut = sources.withColumns({_SLICE: F.floor(F.col(pos) / F.lit(width)).cast("bigint"), _EDGE: F.lit(0)})
+    handed = _handed_on(cut, keys, pos, src, running, last, following)
+    rows = cut.unionByName(handed, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, _SLICE).orderBy(_EDGE, pos)
 
     def up_to(name: str):
         return inside.rowsBetween(Window.unboundedPreceding, -1 if name in before else Window.currentRow)
@@ -92,21 +59,47 @@ def _windowed(rows, columns, keys, pos, src, running, last, following, before, c
     def onward(name: str):
         return inside.rowsBetween(1 if name in before else Window.currentRow, Window.unboundedFollowing)
 
-    def handed_on(name: str, default: Column) -> Column:
-        return F.coalesce(F.col(f"_in_{name}"), default) if carried else default
-
-    def first_known(value: Column, name: str) -> Column:
-        return F.coalesce(value, F.col(f"_in_{name}")) if carried else value
-
     outputs = {
-        **{n: handed_on(n, F.lit(0)) + F.coalesce(F.sum(src[n]).over(up_to(n)), F.lit(0)) for n in running},
-        **{n: first_known(F.last(src[n], ignorenulls=True).over(up_to(n)), n) for n in last},
-        **{n: first_known(F.first(src[n], ignorenulls=True).over(onward(n)), n) for n in following},
+        **{n: F.coalesce(F.sum(src[n]).over(up_to(n)), F.lit(0)) for n in running},
+        **{n: F.last(src[n], ignorenulls=True).over(up_to(n)) for n in last},
+        **{n: F.first(src[n], ignorenulls=True).over(onward(n)) for n in following},
     }
-    return rows.select(*[F.col(c) for c in columns], *[e.alias(n) for n, e in outputs.items()])
+    kept = [F.col(c) for c in df.columns if c not in outputs]
+    scanned = rows.select(*kept, _EDGE, *[e.alias(n) for n, e in outputs.items()])
+    return scanned.where(F.col(_EDGE) == 0).drop(_EDGE)
 
 
-def row_index(df: DataFrame, keys: list[str], pos: str, out: str = "idx", width: int | None = None) -> DataFrame:
+def _handed_on(cut: DataFrame, keys: list[str], pos: str, src: dict[str, str], running, last, following) -> DataFrame:
+    """The rows that carry sums and values into a slice: before its first position, or after its last for ``following``."""
+
+    def present(name: str) -> Column:
+        return F.when(F.col(src[name]).isNotNull(), F.col(pos))
+
+    slices = cut.groupBy(*keys, _SLICE).agg(
+        *[F.sum(src[n]).alias(src[n]) for n in running],
+        *[F.max_by(F.col(src[n]), present(n)).alias(src[n]) for n in last],
+        *[F.min_by(F.col(src[n]), present(n)).alias(src[n]) for n in following],
+    )
+    chain = Window.partitionBy(*keys).orderBy(_SLICE)
+    earlier = chain.rowsBetween(Window.unboundedPreceding, -1)
+    later = chain.rowsBetween(1, Window.unboundedFollowing)
+    sides = [F.when(F.lag(_SLICE).over(chain).isNotNull(), F.lit(-1))]
+    if following:
+        sides.append(F.when(F.lead(_SLICE).over(chain).isNotNull(), F.lit(1)))
+    carried = slices.select(
+        *keys,
+        _SLICE,
+        F.array_compact(F.array(*sides)).alias("_sides"),
+        *[F.sum(src[n]).over(earlier).alias(src[n]) for n in running],
+        *[F.last(src[n], ignorenulls=True).over(earlier).alias(src[n]) for n in last],
+        *[F.first(src[n], ignorenulls=True).over(later).alias(src[n]) for n in following],
+    )
+    rows = carried.withColumn(_EDGE, F.explode("_sides")).drop("_sides")
+    own = {src[n]: F.when(F.col(_EDGE) == (1 if n in following else -1), F.col(src[n])) for n in src}
+    return rows.withColumns(own)
+
+
+def row_index(df: DataFrame, keys: list[str], pos: str, out: str = "idx", width: int = SLICE) -> DataFrame:
     """Dense 0-based index of every row within its group."""
     return ordered_scan(df, keys, pos, running={out: F.lit(1)}, before=(out,), width=width)
 
@@ -158,7 +151,7 @@ def global_position(df: DataFrame, order: list[Column], out: str = "position", s
 
 
 def carry_headings(
-    df: DataFrame, keys: list[str], pos: str, levels: dict[str, Column], width: int | None = None
+    df: DataFrame, keys: list[str], pos: str, levels: dict[str, Column], width: int = SLICE
 ) -> DataFrame:
     """Carry headings down; setting a level clears the ones below it.
 
@@ -190,7 +183,7 @@ def nested_headings(levels: list[str]) -> dict[str, Column]:
 
 
 def block_ids(
-    df: DataFrame, keys: list[str], pos: str, starts: Column, out: str = "block", width: int | None = None
+    df: DataFrame, keys: list[str], pos: str, starts: Column, out: str = "block", width: int = SLICE
 ) -> DataFrame:
     """Number the blocks opened by marker rows; 0 is what lies before the first."""
     return ordered_scan(df, keys, pos, running={out: starts.cast("int")}, width=width)
@@ -208,13 +201,13 @@ def first_value(value: Column, pos: str, where: Column) -> Column:
 
 
 def segment_blocks(
-    df: DataFrame, keys: list[str], pos: str, text: str, page: str, marker: str, sep: str = "\n"
+    df: DataFrame, keys: list[str], pos: str, text: str, page: str, marker: str, sep: str = "\n", width: int = SLICE
 ) -> DataFrame:
     """Blocks of lines opened by a marker pattern, with the page they start on.
 
     Lines before the first marker belong to no block.
     """
-    marked = block_ids(df, keys, pos, F.trim(F.col(text)).rlike(marker))
+    marked = block_ids(df, keys, pos, F.trim(F.col(text)).rlike(marker), width=width)
     return (
         marked.where(F.col("block") > 0)
         .groupBy(*keys, "block")
@@ -223,10 +216,10 @@ def segment_blocks(
 
 
 def merge_continuations(
-    df: DataFrame, keys: list[str], pos: str, starts: Column, text: str, carried: list[str], sep: str = " "
+    df: DataFrame, keys: list[str], pos: str, starts: Column, text: str, carried: list[str], sep: str = " ", width: int = SLICE
 ) -> DataFrame:
     """Rows without a key are appended to the keyed row above them."""
-    numbered = block_ids(df, keys, pos, starts, out="_item")
+    numbered = block_ids(df, keys, pos, starts, out="_item", width=width)
     return (
         numbered.where(F.col("_item") > 0)
         .groupBy(*keys, "_item")
@@ -240,13 +233,13 @@ def merge_continuations(
 
 
 def coalesce_block_cells(
-    df: DataFrame, keys: list[str], pos: str, starts: Column, cells: str, carried: tuple[str, ...] = ()
+    df: DataFrame, keys: list[str], pos: str, starts: Column, cells: str, carried: tuple[str, ...] = (), width: int = SLICE
 ) -> DataFrame:
     """One row of cells per block: the first filled cell of every column.
 
     ``carried`` columns are taken from the row that opens the block.
     """
-    numbered = block_ids(df, keys, pos, starts)
+    numbered = block_ids(df, keys, pos, starts, width=width)
     opening = F.struct(pos, *carried).alias("_opening")
     long = numbered.where(F.col("block") > 0).select(*keys, "block", pos, opening, F.posexplode(cells).alias("col", "cell"))
     firsts = long.groupBy(*keys, "block", "col").agg(
@@ -263,7 +256,7 @@ def coalesce_block_cells(
 
 
 def pair_rows(
-    df: DataFrame, keys: list[str], pos: str, name: Column, is_value: Column, out: str = "paired_name"
+    df: DataFrame, keys: list[str], pos: str, name: Column, is_value: Column, out: str = "paired_name", width: int = SLICE
 ) -> DataFrame:
     """Value rows with the latest name row above that no value row used up."""
     scanned = ordered_scan(
@@ -275,28 +268,33 @@ def pair_rows(
             "_used": F.when(is_value, F.col(pos)),
         },
         before=("_used",),
+        width=width,
     )
     fresh = F.col("_name").isNotNull() & (F.col("_name.p") > F.coalesce(F.col("_used"), F.lit(-1)))
     return scanned.where(is_value & fresh).withColumn(out, F.col("_name.v")).drop("_name", "_used")
 
 
-def backfill_sections(df: DataFrame, keys: list[str], pos: str, closing: Column, result: str, out: str = "section"):
+def backfill_sections(
+    df: DataFrame, keys: list[str], pos: str, closing: Column, result: str, out: str = "section", width: int = SLICE
+) -> DataFrame:
     """Label rows with the section that the next closing row names.
 
     Rows after the last closing row are the result block; a group without any
     closing row stays unlabelled.
     """
-    scanned = ordered_scan(df, keys, pos, following={"_next": closing}, last={"_seen": closing})
+    scanned = ordered_scan(df, keys, pos, following={"_next": closing}, last={"_seen": closing}, width=width)
     found = F.col("_next").isNotNull() | F.col("_seen").isNotNull()
     return scanned.withColumn(out, F.when(found, F.coalesce("_next", F.lit(result))).otherwise("")).drop(
         "_next", "_seen"
     )
 
 
-def printed_sequence(df: DataFrame, keys: list[str], pos: str, emitted: Column, out: str = "seq") -> DataFrame:
+def printed_sequence(
+    df: DataFrame, keys: list[str], pos: str, emitted: Column, out: str = "seq", width: int = SLICE
+) -> DataFrame:
     """0-based printed number; rows that are not emitted do not advance it."""
     kept = df.where(emitted)
-    return row_index(kept, keys, pos, out).withColumn(out, F.col(out).cast("int"))
+    return row_index(kept, keys, pos, out, width).withColumn(out, F.col(out).cast("int"))
 
 
 def ordered_dedup(df: DataFrame, keys: list[str], pos: str) -> DataFrame:

@@ -190,7 +190,7 @@ def search_all(t):
     noted = t.note.where(facts.containing(F.col("event_type"), "sign")).select(
         F.col("event_type").alias("label"), F.col("user_id").cast("int").alias("year"), out(F.col("value")).alias("value")
     )
-    return entities.search_all(found, named.withColumn("value", F.lit(None).cast("double")), noted)
+    return entities.search_all(found, named.withColumn("value", F.lit(None).cast("double")), noted, limit=50)
 
 
 ENTITY = "year, name, canonical_slug, canonical_name, CAST(ownership_percentage AS DOUBLE) AS ownership_percentage, entity_type, source_page, filename AS source_document"
