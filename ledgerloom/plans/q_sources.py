@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
@@ -14,7 +11,7 @@ from ledgerloom.operators.facts import two_years
 from ledgerloom.plans.q_text import whole
 from ledgerloom.plans.registry import query
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import load, readers
+from ledgerloom.sources import archives, load, readers
 
 MONEY = "decimal(20,2)"
 
@@ -46,31 +43,22 @@ def src_delimited(t):
     return items.select("comune", "level", "code", "measure", out(F.col("value")).alias("value"))
 
 
-def zip_members(texts: pd.Series, years: pd.Series) -> pd.Series:
-    """Archive with the wanted member, an excluded one and a note."""
-    packed = []
-    for text, year in zip(texts, years):
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr(f"Riepilogo_Spese_{year}.csv", text.encode("latin-1"))
-            archive.writestr(f"Riepilogo_Spese_Province_{year}.csv", b"comune;code;value\nX;Y;1\n")
-            archive.writestr("leggimi.txt", b"note")
-        packed.append(buffer.getvalue())
-    return pd.Series(packed)
-
-
 @query("src_archive", "SELECT region, year, comune, code, CAST(value AS DOUBLE) AS value FROM member", "member")
 def src_archive(t):
-    """One archive per region and year, as the portal publishes them."""
-    line = F.concat_ws(";", "comune", "code", F.col("value").cast("string"))
-    pack = F.pandas_udf(zip_members, "binary")
-    texts = t.member.groupBy("region", "year").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("body"))
-    archives = texts.select(
-        F.concat(F.lit("/archives/"), F.col("year").cast("string"), F.lit("_"), "region", F.lit(".zip")).alias("path"),
-        pack(F.concat(F.lit("comune; code ;value\n"), "body"), F.col("year")).alias("content"),
+    """Archives per region and year, as the portal publishes them, written and read as files."""
+    number = F.row_number().over(Window.partitionBy("region", "year").orderBy("comune", "code"))
+    rows = t.member.withColumn("line_no", number)
+    title = rows.select("region", "year").distinct().select("region", "year", F.lit(0).alias("line_no"), F.lit("comune; code ;value").alias("line"))
+    body = rows.select("region", "year", "line_no", F.concat_ws(";", F.concat(F.lit('"'), "comune", F.lit('"')), "code", F.col("value").cast("string")).alias("line"))
+    name = lambda text: F.concat(F.lit(text), F.col("year").cast("string"), F.lit(".csv"))
+    wanted = title.unionByName(body).withColumn("member", name("Riepilogo_Spese_"))
+    other = title.withColumn("member", name("Riepilogo_Spese_Province_")).unionByName(
+        title.withColumns({"member": name("Riepilogo_Spese_Province_"), "line_no": F.lit(1), "line": F.lit("X;Y;1")})
     )
-    rows = readers.archive_members(archives, "Riepilogo_Spese", "Province", ["comune", "code", "value"])
-    return rows.select("region", "year", "comune", "code", F.col("value").cast("double").alias("value"))
+    path = scratch_path(t.spark, "archives")
+    archives.write_archives(wanted.unionByName(other), path, "line_no")
+    read = archives.read_members(t.spark, path, ["Riepilogo_Spese"], ["comune", "code", "value"], exclude="Province")
+    return read.select("region", "year", "comune", "code", F.col("value").cast("double").alias("value"))
 
 
 @query("src_xml_records", """

@@ -1,16 +1,10 @@
-"""Sources: delimited files, archives, XML records, forms and seed tables."""
+"""Sources: delimited files, XML records, year files, forms and seed tables."""
 
 from __future__ import annotations
 
-import csv
-import io
-import re
-import zipfile
-from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -108,57 +102,6 @@ def city_rows(rows: DataFrame, city: str) -> DataFrame:
     return select_member(rows, f"`{SUMMARY_MEMBER}`", f"`{SUMMARY_TYPE}`", city, SUMMARY_CITY_TYPE)
 
 
-ARCHIVE_NAME = r"(\d{4})_([^/]+)\.zip$"
-
-
-def archive_members(archives: DataFrame, needle: str, exclude: str | None, columns: list[str], encoding: str = "latin-1") -> DataFrame:
-    """Rows of the matching CSV member of every archive, one task per archive.
-
-    ``archives`` has ``path`` and ``content``. Of the members whose name holds
-    the needle and not the excluded text, the shortest name is read; region and
-    year come from the archive's file name. Lines are handed on in batches.
-    """
-    text_columns = ", ".join(f"`{c}` string" for c in columns)
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                named = re.search(ARCHIVE_NAME, path)
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    fits = [
-                        n for n in archive.namelist()
-                        if needle in n and n.endswith(".csv") and not (exclude and exclude in n)
-                    ]
-                    if not fits or named is None:
-                        continue
-                    member = min(fits, key=lambda n: (len(n), n))
-                    with archive.open(member) as handle:
-                        lines = csv.reader(io.TextIOWrapper(handle, encoding=encoding, newline=""), delimiter=";")
-                        header = [h.strip() for h in next(lines, [])]
-                        places = [header.index(c) if c in header else -1 for c in columns]
-                        yield from _batches(lines, places, columns, named.group(2), int(named.group(1)), member)
-
-    return archives.select("path", "content").mapInPandas(read, f"region string, year int, member string, {text_columns}")
-
-
-def _batches(lines, places, columns, region, year, member, size: int = 10_000) -> Iterator[pd.DataFrame]:
-    held: list[list] = []
-    for line in lines:
-        if not line:
-            continue
-        held.append([region, year, member, *[line[p] if 0 <= p < len(line) else None for p in places]])
-        if len(held) == size:
-            yield pd.DataFrame(held, columns=["region", "year", "member", *columns])
-            held = []
-    if held:
-        yield pd.DataFrame(held, columns=["region", "year", "member", *columns])
-
-
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Archive files of a folder as ``path`` and ``content``."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-
-
 CONTRACT_RECORD = (
     "cig string, strutturaProponente struct<denominazione:string>, oggetto string, sceltaContraente string, "
     "partecipanti struct<partecipante:array<struct<codiceFiscale:string,ragioneSociale:string>>>, "

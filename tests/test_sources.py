@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from conftest import rows
 from ledgerloom import presets, schemas
 from ledgerloom.operators import analytics, documents, facts, tables, words
-from ledgerloom.sources import export, load, readers
+from ledgerloom.sources import archives, export, load, readers
 from ledgerloom.streaming.incremental import append_new_stream, file_stream
 
 HEADER = " Descrizione Tipologia Soggetto;Descrizione Comune ;Codice Missione;Descrizione Missione;Impegni;Totale Pagamenti"
@@ -66,14 +66,38 @@ def test_year_files(spark, tmp_path):
 
 def test_archive_picks_the_shortest_matching_member(spark, tmp_path):
     for name, members in {
-        "2020_Lazio.zip": {"Spese_lungo.csv": "x", "Spese.csv": "a; b \n1;2\n\n3\n", "Spese_Province.csv": "a;b\n9;9\n", "Spese.txt": "no"},
+        "2020_Lazio.zip": {"Spese_lungo.csv": "x", "Spese.csv": 'a; b \r\n1;"2 ""due""; e\naltro"\n\n3\n4;5" x;6\n', "Spese_Province.csv": "a;b\n9;9\n", "Spese.txt": "no"},
         "2021_Lazio.zip": {"Entrate.csv": "a;b\n1;1\n"},
+        "2022_Lazio.zip": {"Spese.csv": "b;c;a\n2;c;Città\n"},
+        "2022_EMILIA-ROMAGNA.zip": {"Spese.CSV": "a\n7\n", "Entrate.csv": "b;a\n1;8\n"},
+        "altro.zip": {"Spese.csv": "a;b\n0;0\n"},
     }.items():
         with zipfile.ZipFile(tmp_path / name, "w") as z:
             for member, text in members.items():
-                z.writestr(member, text)
-    got = readers.archive_members(readers.read_archives(spark, str(tmp_path)), "Spese", "Province", ["a", "b"])
-    assert rows(got.fillna("-")) == [("Lazio", 2020, "Spese.csv", "1", "2"), ("Lazio", 2020, "Spese.csv", "3", "-")]
+                z.writestr(member, text.encode("latin-1"))
+    got = archives.read_members(spark, str(tmp_path), ["Spese"], ["a", "b"], exclude="Province")
+    want = [
+        ("EMILIA-ROMAGNA", 2022, "Spese.CSV", "7", "-"),
+        ("Lazio", 2020, "Spese.csv", "1", '2 "due"; e\naltro'), ("Lazio", 2020, "Spese.csv", "3", "-"), ("Lazio", 2020, "Spese.csv", "4", '5" x'),
+        ("Lazio", 2022, "Spese.csv", "Città", "2"),
+    ]
+    assert rows(got.fillna("-"), "region", "year", "member", "a", "b") == sorted(want)
+    both = archives.read_members(spark, str(tmp_path), ["Spese", "Entrate"], ["a"], scopes=[("emilia-romagna", None), ("Lazio", 2021)])
+    assert rows(both, "region", "year", "needle", "a") == [("EMILIA-ROMAGNA", 2022, "Entrate", "8"), ("EMILIA-ROMAGNA", 2022, "Spese", "7"), ("Lazio", 2021, "Entrate", "1")]
+    assert both.rdd.getNumPartitions() == 4
+    (tmp_path / "leer").mkdir()
+    assert archives.read_members(spark, str(tmp_path / "leer"), ["Spese"], ["a"]).count() == 0
+
+
+def test_archives_are_written_line_by_line(spark, tmp_path):
+    made = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "A").otherwise("B").alias("region"), F.lit(2020).alias("year"),
+        F.concat(F.lit("Spese_"), (F.col("id") % 2).cast("string"), F.lit(".csv")).alias("member"), "id", F.concat(F.lit("x;"), F.col("id").cast("string")).alias("line"),
+    )
+    assert archives.write_archives(made, str(tmp_path), "id") == 2
+    got = archives.read_members(spark, str(tmp_path), ["Spese_0", "Spese_1"], ["x"])
+    assert got.count() == 30_000 - 4  # each member's first line is its titles
+    assert not list(tmp_path.glob("*.part"))
 
 
 XML = """<?xml version="1.0"?><n:pubblicazione xmlns:n="urn:x"><data>
