@@ -54,6 +54,42 @@ def identity_cases(
     return lines.groupBy(*keys).agg(left.alias("assets"), right.alias("liabilities"))
 
 
+def check_identities(
+    lines: DataFrame, keys: list[str], pos: str, name: str, family: str, current: str, prior: str
+) -> DataFrame:
+    """The balance identities of a report: the consolidated sheet in both years, the aggregate in one.
+
+    One row ``(check, checked, failed, passed)`` each. The consolidated sheet
+    is due in every document; the aggregate only where a document prints any of
+    its rows, so its check may have nothing to compare and then passes.
+    """
+    text = F.lower(F.trim(F.col(name)))
+    left = text.startswith("totale dell'attivo")
+    right = text.startswith("totale del") & ~F.contains(text, F.lit("attivo"))
+    parts = {
+        "balance_sheet_identity_current": (presets.CONSOLIDATED_SHEET, current),
+        "balance_sheet_identity_prior": (presets.CONSOLIDATED_SHEET, prior),
+        "aggregate_balance_sheet_identity": (presets.AGGREGATE_SHEET, current),
+    }
+    totals = lines.groupBy(*keys).agg(
+        F.max(F.col(family).isin(*presets.AGGREGATE_SHEET)).alias("_aggregate"),
+        *[
+            first_total(pos, F.col(value), F.col(family).isin(*families) & where).alias(f"{check}/{side}")
+            for check, (families, value) in parts.items()
+            for side, where in (("left", left), ("right", right))
+        ],
+    )
+    cases = F.array(
+        *[F.struct(F.lit(c).alias("check"), F.col(f"{c}/left").alias("assets"), F.col(f"{c}/right").alias("liabilities")) for c in parts]
+    )
+    due = lambda c: (c["check"] != "aggregate_balance_sheet_identity") | F.col("_aggregate")
+    long = totals.select(F.inline(F.filter(cases, due)))
+    differs = ~F.coalesce(F.col("assets") == F.col("liabilities"), F.lit(False))
+    return long.groupBy("check").agg(F.count("*").alias("checked"), F.count_if(differs).alias("failed")).withColumn(
+        "passed", F.col("failed") == 0
+    )
+
+
 def check_identity(cases: DataFrame, name: str = "balance_sheet_identity") -> DataFrame:
     """Assets equal liabilities exactly; a missing total fails."""
     same = F.coalesce(F.col("assets") == F.col("liabilities"), F.lit(False))

@@ -51,13 +51,15 @@ def hierarchy_items(leaves: DataFrame, level: str = "capitolo") -> DataFrame:
     return picked.groupBy(F.col(code).alias("code")).agg(F.max(name).alias("name"))
 
 
-def rollup_to_parent(df: DataFrame, keys: list[str], measures: list[str], total_name: str) -> DataFrame:
+def rollup_to_parent(df: DataFrame, keys: list[str], measures: list[str], total_name: str, order: str | None = None) -> DataFrame:
     """Child rows summed to their parent code, long, plus a grand total per measure.
 
     Parents that are zero in every measure are left out; the grand total is
-    the sum of all of them and stands also where it is zero.
+    the sum of all of them and stands also where it is zero. A parent's name is
+    that of its first row in ``order``; without one, the largest.
     """
-    sums = df.groupBy(*keys, "code").agg(F.max("name").alias("name"), *[F.sum(m).alias(m) for m in measures])
+    label = F.min_by("name", order) if order else F.max("name")
+    sums = df.groupBy(*keys, "code").agg(label.alias("name"), *[F.sum(m).alias(m) for m in measures])
     some = None
     for m in measures:
         test = F.coalesce(F.col(m), F.lit(0)) != 0

@@ -38,6 +38,20 @@ def check_balance_identity(t):
     return _identity(t)
 
 
+@query("check_identities", """
+WITH p AS (SELECT entity_slug, year, max(CASE WHEN name = 'TOTALE ATTIVO' THEN value END) AS assets, max(CASE WHEN name = 'TOTALE PASSIVO' THEN value END) AS owed FROM statement GROUP BY 1, 2)
+SELECT 'balance_sheet_identity_current' AS "check", count(*) AS checked, count(*) FILTER (assets IS NULL OR owed IS NULL OR assets <> owed) AS failed, count(*) FILTER (assets IS NULL OR owed IS NULL OR assets <> owed) = 0 AS passed FROM p
+UNION ALL SELECT 'balance_sheet_identity_prior', count(*), count(*) FILTER (assets IS NULL OR owed IS NULL), count(*) FILTER (assets IS NULL OR owed IS NULL) = 0 FROM p
+UNION ALL SELECT 'aggregate_balance_sheet_identity', count(*), count(*) FILTER (assets IS NULL OR owed IS NULL), count(*) FILTER (assets IS NULL OR owed IS NULL) = 0 FROM p WHERE year = 1997""", "statement")
+def check_identities(t):
+    """Consolidated sheets of two years, and aggregates that only the reports of one year print."""
+    name = F.when(F.col("name") == "TOTALE ATTIVO", "Totale dell'attivo").when(F.col("name") == "TOTALE PASSIVO", "TOTALE DEL").otherwise(F.col("name"))
+    family = F.when(F.col("category") == presets.ASSETS, "balance_sheet_assets").when(F.col("category") == presets.LIABILITIES, "balance_sheet_liabilities").otherwise("income_statement")
+    lines = t.statement.select("entity_slug", "year", "seq", name.alias("name"), family.alias("family"), F.col("value").alias("current"), F.when(F.col("is_total"), 5).otherwise(F.col("seq")).cast("decimal(30,2)").alias("prior"))
+    aggregate = lines.where(F.col("year") == 1997).select("entity_slug", "year", "seq", "name", F.concat(F.lit("aggregate_"), "family").alias("family"), F.col("prior").alias("current"), F.lit(None).cast("decimal(30,2)").alias("prior"))
+    return checks.check_identities(lines.unionByName(aggregate), ["entity_slug", "year"], "seq", "name", "family", "current", "prior")
+
+
 @query("statement_reconcile", """
 SELECT entity_slug, year, CAST(assets AS DOUBLE) AS assets, CAST(liabilities AS DOUBLE) AS liabilities, coalesce(assets = liabilities, FALSE) AS balanced FROM (
  SELECT entity_slug, year, max(CASE WHEN name = 'TOTALE ATTIVO' THEN value END) AS assets, max(CASE WHEN name = 'TOTALE PASSIVO' THEN value END) AS liabilities FROM statement GROUP BY 1, 2)""", "statement")

@@ -119,9 +119,91 @@ def normalize_revenue_csv(t):
 
 @query("src_file_year", "SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS anno FROM orders WHERE o_orderstatus <> 'P' AND year(o_orderdate) IN (1996, 1997)")
 def src_file_year(t):
+    """Files named after their year, and drafts without one, of which two years are opened."""
     stem = F.when(F.col("o_orderstatus") == "P", "bozza").otherwise(F.col("year").cast("string"))
-    files = t.orders.select("o_orderkey", F.concat(F.lit("anac_"), stem, F.lit(".xml")).alias("file_name"))
-    return readers.with_file_year(files, "file_name", [1996, 1997]).select("o_orderkey", "anno")
+    lines = t.orders.select(F.concat(F.lit("anac_"), stem, F.lit(".txt")).alias("file_name"), "o_orderkey", F.col("o_orderkey").cast("string").alias("line"))
+    path = scratch_path(t.spark, "year-files")
+    archives.write_texts(lines, path, "o_orderkey")
+    read = readers.read_year_lines(t.spark, path, [1996, 1997])
+    return read.select(F.col("value").cast("long").alias("o_orderkey"), "anno")
+
+
+@query("normalize_spending_csv", """
+WITH c AS (SELECT DISTINCT comune FROM member),
+ v AS (SELECT comune, '0' || strpos('ABFHM', substr(code, 1, 1)) AS code, CASE WHEN year = 1997 THEN 'pagamenti_totali' ELSE 'impegni' END AS measure, value FROM member WHERE year IN (1997, 1998)),
+ i AS (SELECT comune, code, m.measure, coalesce((SELECT sum(value) FROM v WHERE v.comune = k.comune AND v.code = k.code AND v.measure = m.measure), 0) AS value
+  FROM (SELECT DISTINCT comune, code FROM v WHERE value <> 0) k, (VALUES ('impegni'), ('pagamenti_totali')) m(measure))
+SELECT comune, 'voce' AS level, code, CASE code WHEN '01' THEN 'Servizi' ELSE 'Missione ' || CAST(CAST(code AS INT) AS VARCHAR) END AS name, measure, CAST(value AS DOUBLE) AS value FROM i
+UNION ALL SELECT c.comune, 'totale', NULL, 'Totale generale delle spese', m.measure, CAST(coalesce((SELECT sum(value) FROM v WHERE v.comune = c.comune AND v.measure = m.measure), 0) AS DOUBLE)
+FROM c, (VALUES ('impegni'), ('pagamenti_totali')) m(measure)""", "member")
+def normalize_spending_csv(t):
+    """Matrix files of every city: titles, body lines, the printed total row, and a later row that begins like it."""
+    euro = lambda c: F.replace(F.replace(F.replace(F.format_number(c, 2), F.lit(","), F.lit("_")), F.lit("."), F.lit(",")), F.lit("_"), F.lit("."))
+    place = F.expr("instr('ABFHM', substr(code, 1, 1))")
+    zero = F.lit(0).cast("decimal(30,2)")
+    at = lambda n, year: F.coalesce(F.sum(F.when((place == n) & (F.col("year") == year), F.col("value"))), zero)
+    whole_year = lambda year: F.coalesce(F.sum(F.when(F.col("year") == year, F.col("value"))), zero)
+    cells = [c for n in range(1, 24) for c in (at(n, 1998), F.lit(7).cast("decimal(30,2)"), at(n, 1997))]
+    sums = t.member.groupBy("comune").agg(F.array(*[euro(c) for c in (*cells, zero, whole_year(1998), zero, whole_year(1997))]).alias("cells"))
+    label = lambda text: F.lit(f"{text};;")
+    blank = ";".join([""] * 73)
+    lines = F.array(
+        F.lit("Titolo;Macroaggregato;" + ";".join(f"c{i}" for i in range(73))),
+        F.lit(f'"1 - Spese; ""correnti""";101 - Redditi;{blank}'),
+        F.concat(label(" TOTALE MISSIONI - TOTALE GENERALE DELLE SPESE"), F.array_join("cells", ";")),
+        F.lit(f"TOTALE MISSIONI;;{blank}"),
+    )
+    files = sums.select(F.concat(F.col("comune"), F.lit(".csv")).alias("file_name"), F.posexplode(lines).alias("n", "line"))
+    path = scratch_path(t.spark, "matrix")
+    archives.write_texts(files, path, "n")
+    rows = readers.read_positional(t.spark, path, 75)
+    items = readers.normalize_spending_matrix(rows, ["source_file"], "pos", "cells", {"01": "Servizi"})
+    return items.select(F.replace("source_file", F.lit(".csv"), F.lit("")).alias("comune"), "level", "code", "name", "measure", out(F.col("value")).alias("value"))
+
+
+@query("city_comparison", """
+WITH m AS (SELECT comune, region, year, strpos('ABFHM', substr(code, 1, 1)) AS n, code, value FROM member WHERE comune NOT IN ('NATION_3', 'NATION_4') AND NOT (region = 'AFRICA' AND year = 1996)),
+ e AS (SELECT comune, region, year, n, code, value FROM m WHERE comune <> 'NATION_5' OR year <> 1997),
+ both_sides AS (SELECT DISTINCT comune, year FROM e),
+ i AS (SELECT comune, region, year, 'spesa' AS kind, '0' || n AS code, CASE n WHEN 1 THEN 'Servizi' ELSE code END AS name, u.measure, CASE u.measure WHEN 'previsioni' THEN value WHEN 'impegni' THEN value - 1 ELSE 0 END AS value
+   FROM m SEMI JOIN both_sides USING (comune, year), (VALUES ('previsioni'), ('impegni'), ('pagamenti_totali')) u(measure)
+  UNION ALL SELECT comune, region, year, 'entrata', CAST(n AS VARCHAR), code, u.measure, CASE u.measure WHEN 'previsioni' THEN value WHEN 'accertamenti' THEN 2 ELSE 0 END
+   FROM e, (VALUES ('previsioni'), ('accertamenti'), ('riscossioni_totali')) u(measure))
+SELECT comune, region, year, kind, 'voce' AS level, code, name, measure, CAST(value AS DOUBLE) AS value, 'EUR' AS unit, 'BDAP Rendiconto SDB ' || year || ' (RGS/MEF) — N' || lower(substr(comune, 2)) AS source FROM i
+UNION ALL SELECT comune, region, year, kind, 'totale', NULL, CASE kind WHEN 'spesa' THEN 'Totale generale delle spese' ELSE 'Totale generale delle entrate' END, measure, CAST(sum(value) AS DOUBLE), 'EUR',
+ 'BDAP Rendiconto SDB ' || year || ' (RGS/MEF) — N' || lower(substr(comune, 2)) FROM i GROUP BY comune, region, year, kind, measure""", "member")
+def city_comparison(t):
+    """Archives of regions and years with both sides, a year that lacks one, bodies that share a city's name, cities not asked for."""
+    col, text = F.col, lambda c: c.cast("string")
+    rows = t.member.withColumn("n", F.expr("instr('ABFHM', substr(code, 1, 1))"))
+    head = "Descrizione Tipologia Soggetto; Descrizione Comune ;Codice %s;Descrizione %s;Previsioni Definitive di Competenza;%s"
+    line = lambda kind, *parts: F.concat_ws(";", F.lit(kind), F.lower("comune"), F.concat(F.lit("0"), text(col("n"))), *parts)
+    # A code stands in two lines; its first one names it. The body of another type shares the name.
+    spending = F.array(
+        line("COMUNI", col("code"), text(col("value") - 1), text(col("value") - 1), F.lit("n.d.")),
+        line("comuni ", F.lit("Zeta"), F.lit("1"), F.lit(""), F.lit("")),
+        line("Province", F.lit("Altro"), F.lit("99"), F.lit("99"), F.lit("99")),
+    )
+    revenue = F.array(line("Comuni", F.concat(F.lit('"'), col("code"), F.lit('"')), text(col("value")), F.lit("2.00"), F.lit("")))
+    has_revenue = ~((col("region") == "AFRICA") & (col("year") == 1996)) & ~((col("comune") == "NATION_5") & (col("year") == 1997))
+
+    def member(found, needle, title, body):
+        scopes = t.member.select("region", "year").distinct().where(~((col("region") == "AFRICA") & (col("year") == 1996)) | F.lit("Spese" in needle))
+        top = scopes.select("region", "year", F.lit(0).alias("line_no"), F.lit(title).alias("line"))
+        lines = found.select("region", "year", F.posexplode(body).alias("k", "line"), "comune", "n")
+        numbered = lines.select("region", "year", (F.hash("comune", "n").cast("long") * 4 + 20_000_000_000 + col("k")).alias("line_no"), "line")
+        return top.withColumn("line_no", F.lit(0).cast("long")).unionByName(numbered).withColumn("member", F.lit(f"2020 {needle}.csv"))
+
+    wanted = member(rows, "Spese Riepilogo Missioni", head % ("Missione", "Missione", "Impegni;Totale Pagamenti"), spending).unionByName(
+        member(rows.where(has_revenue), "Entrate Riepilogo Titoli", head % ("Titolo", "Titolo", "Accertamenti;Totale Riscossioni"), revenue)
+    )
+    other = member(rows.limit(0), "Spese Riepilogo Missioni - Voce di Riepilogo", "x;y", spending)
+    path = scratch_path(t.spark, "city-archives")
+    archives.write_archives(wanted.unionByName(other), path, "line_no")
+    names = t.spark.createDataFrame([("spesa", "01", "Servizi"), ("entrata", "9", "Altro")], "kind string, code string, name string")
+    cities = {r["comune"]: r["region"] for r in t.order_geo.select(col("n_name").alias("comune"), col("r_name").alias("region")).distinct().collect()}
+    asked = {c: r for c, r in cities.items() if c not in ("NATION_3", "NATION_4")}
+    return readers.city_comparison(t.spark, path, asked, names).withColumn("value", out(col("value")))
 
 
 @query("src_unpivot_seed", """
@@ -216,6 +298,21 @@ def raw_audit_json(t):
     return load.audit_rows(rows, ["doc"], "pos", "page", "cells")
 
 
+@query("normalized_audit_csv", """
+SELECT doc, pos, name, CASE WHEN flag = 'A' THEN CAST(amount AS VARCHAR) ELSE '' END AS amount, flag || ', "' || name || '"' AS note FROM line""", "line")
+def normalized_audit_csv(t):
+    """Normalized rows as CSV, one folder per group of documents; what is NULL stands as an empty field."""
+    rows = t.line.select(
+        (F.col("doc") % 4).alias("part"), "doc", "pos", "name", F.when(F.col("flag") == "A", F.col("amount")).alias("amount"),
+        F.concat(F.col("flag"), F.lit(', "'), F.col("name"), F.lit('"')).alias("note"),
+    )
+    path = scratch_path(t.spark, "normalized")
+    load.write_normalized(rows, path, ["part"], ["doc", "pos", "name", "amount", "note"])
+    read = t.spark.read.csv(path, header=True, escape='"')
+    amount = F.coalesce("amount", F.lit("")).alias("amount")
+    return read.select(F.col("doc").cast("long").alias("doc"), F.col("pos").cast("int").alias("pos"), "name", amount, "note")
+
+
 @query("availability_by_group", "SELECT region, string_agg(DISTINCT CAST(year AS VARCHAR), ',' ORDER BY CAST(year AS VARCHAR)) AS years FROM member GROUP BY region", "member")
 def availability_by_group(t):
     return load.availability(t.member, "region").select("region", F.array_join(F.transform("years", lambda y: y.cast("string")), ",").alias("years"))

@@ -178,3 +178,13 @@ MEASURE_LABELS = {
     "abitanti": "Abitanti al 31/12",
     "debito_pro_capite": "Debito medio per abitante",
 }
+
+# --- fixed values: programme codes in the column order of the spending matrix --
+PROGRAMME_COLUMNS = [
+    "01", "02", "03", "04", "05", "06", "07", "08", "09", "10", "11", "12",
+    "13", "14", "15", "16", "17", "18", "19", "20", "50", "60", "99",
+]
+
+# --- fixed values: statement families of the two balance sheets of a report ----
+CONSOLIDATED_SHEET = ["balance_sheet_assets", "balance_sheet_liabilities"]
+AGGREGATE_SHEET = ["aggregate_balance_sheet_assets", "aggregate_balance_sheet_liabilities"]

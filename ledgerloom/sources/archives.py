@@ -133,11 +133,23 @@ class ArchiveMembers(DataSource):
         return MemberReader(dict(self.options))
 
 
-def cells_of(line: Column, most: int = 256) -> Column:
-    """The fields of a semicolon line; lines with quotes go through the CSV parser, for ``most`` fields."""
-    names = [f"c{i}" for i in range(most)]
-    parsed = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"sep": ";", "quote": '"', "escape": '"', "nullValue": "\u0000"})
-    return F.when(F.contains(line, F.lit('"')), F.array(*[parsed[n] for n in names])).otherwise(F.split(line, ";", -1))
+# A field after its semicolon: a quoted part, if it begins with one, and what follows up to the next semicolon.
+FIELD = r';((?:"[^"]*+(?:""[^"]*+)*+")?[^;]*+)'
+QUOTED = r'(?s)^"([^"]*+(?:""[^"]*+)*+)"(.*)$'
+
+
+def cells_of(line: Column) -> Column:
+    """The fields of a semicolon line; quotes at the start of a field hold semicolons and doubled quotes."""
+    quote = F.lit('"')
+    fields = F.regexp_extract_all(F.concat(F.lit(";"), line), F.lit(FIELD), F.lit(1))
+    bare = F.transform(
+        fields,
+        lambda c: F.when(
+            c.startswith('"') & c.rlike(QUOTED),
+            F.concat(F.replace(F.regexp_extract(c, QUOTED, 1), F.lit('""'), quote), F.regexp_extract(c, QUOTED, 2)),
+        ).otherwise(c),
+    )
+    return F.when(F.contains(line, quote), bare).otherwise(F.split(line, ";", -1))
 
 
 def read_members(
@@ -210,3 +222,32 @@ def write_archives(rows: DataFrame, path: str, order: str) -> int:
 
     placed = rows.repartition("region", "year").sortWithinPartitions("region", "year", "member", order)
     return placed.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def write_texts(rows: DataFrame, path: str, order: str) -> int:
+    """Write (file_name, line) rows as UTF-8 text files of those names, lines in the given order; returns how many files."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, folder = opened(path)
+        system.create_dir(folder, recursive=True)
+        name, file, done = None, None, 0
+
+        def close() -> None:
+            nonlocal done
+            if file is not None:
+                file.close()
+                system.move(f"{folder}/_{name}.part", f"{folder}/{name}")
+                done += 1
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["file_name"] != name:
+                    close()
+                    name = row["file_name"]
+                    file = system.open_output_stream(f"{folder}/_{name}.part")
+                file.write((row["line"] + "\n").encode())
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["n"])
+
+    placed = rows.select("file_name", order, "line").repartition("file_name").sortWithinPartitions("file_name", order)
+    return placed.mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0

@@ -88,6 +88,13 @@ def audit_rows(rows: DataFrame, keys: list[str], pos: str, page: str, cells: str
     return rows.select(*keys, pos, F.to_json(F.struct(F.col(page).alias("page"), F.col(cells).alias("cells"))).alias("raw_json"))
 
 
+def write_normalized(rows: DataFrame, path: str, document: list[str], columns: list[str]) -> None:
+    """Normalized rows as CSV with titles, one folder per document; NULL is an empty field."""
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]
+    placed = rows.select(*[F.col(d).alias(f"_{d}") for d in document], *texts)
+    placed.write.mode("overwrite").partitionBy(*[f"_{d}" for d in document]).csv(path, header=True, emptyValue="", escape='"')
+
+
 def write_audit(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 

@@ -12,18 +12,22 @@ from ledgerloom import presets
 from ledgerloom.functions.numbers import parse_dot_decimal, parse_form_integer, parse_simple_locale
 from ledgerloom.functions.text import by_number, first_rule, unpad_code
 from ledgerloom.operators.facts import select_member
-from ledgerloom.operators.hierarchy import rollup_to_parent
+from ledgerloom.operators.hierarchy import rollup_to_parent, unfold_matrix_row
+from ledgerloom.operators.lookups import borrow_labels
+from ledgerloom.session import materialize
+from ledgerloom.sources.archives import cells_of, read_members
 
 
-def read_delimited(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multi_line: bool = False) -> DataFrame:
     """Semicolon files as text columns with trimmed names; each file's own titles tell its columns.
 
     Blank lines are skipped by the reader and rows shorter than the header are
-    filled with NULL, so the filters of the caller drop them.
+    filled with NULL, so the filters of the caller drop them. Fields that run
+    over line ends need ``multi_line``, and a file is then read by one task.
     """
     parts = []
     for paths in header_groups(spark, path):
-        raw = spark.read.csv(paths, sep=";", header=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE")
+        raw = spark.read.csv(paths, sep=";", header=True, encoding=encoding, quote='"', escape='"', mode="PERMISSIVE", multiLine=multi_line)
         parts.append(raw.toDF(*[c.strip() for c in raw.columns]))
     if not parts:
         return spark.createDataFrame([], "struct<>")
@@ -38,7 +42,7 @@ def header_groups(spark: SparkSession, path: str) -> list[list[str]]:
     """
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at"), "_metadata.file_path", "_metadata.file_block_start")
     first = lines.where((F.col("file_block_start") == 0) & (F.trim("value") != "")).groupBy("file_path").agg(F.min_by("value", "at").alias("titles"))
-    titles = F.transform(F.split("titles", ";"), lambda c: F.trim(c))
+    titles = F.transform(cells_of(F.col("titles")), lambda c: F.trim(c))
     groups = first.groupBy(titles.alias("titles")).agg(F.sort_array(F.collect_list("file_path")).alias("files"))
     return [[unquote(f) for f in row["files"]] for row in groups.orderBy("titles").collect()]
 
@@ -67,20 +71,68 @@ def normalize_revenue(rows: DataFrame, keys: list[str], category: str, kind: str
 
 
 def normalize_side(
-    rows: DataFrame, keys: list[str], code_col: str, name_col: str, measures: dict[str, str], total_name: str, unpad: bool = False
+    rows: DataFrame,
+    keys: list[str],
+    code_col: str,
+    name_col: str,
+    measures: dict[str, str],
+    total_name: str,
+    unpad: bool = False,
+    order: str | None = None,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """One side of a delimited summary to long items and grand totals.
 
-    Amounts use a decimal point; what does not read as one counts as zero.
+    Amounts use a decimal point; what does not read as one counts as zero. An
+    item is named by ``names`` (code, name) where they know its code, else by
+    its first line in ``order``.
     """
     bare = F.trim(F.col(f"`{code_col}`"))
     typed = rows.select(
         *keys,
+        *([F.col(order).alias("_order")] if order else []),
         (unpad_code(bare) if unpad else bare).alias("code"),
         F.trim(F.col(f"`{name_col}`")).alias("name"),
         *[parse_dot_decimal(F.col(f"`{c}`")).cast("decimal(30,2)").alias(m) for c, m in measures.items()],
     )
-    return rollup_to_parent(typed, keys, list(measures.values()), total_name)
+    items = rollup_to_parent(typed, keys, list(measures.values()), total_name, "_order" if order else None)
+    return borrow_labels(items, names).select(*items.columns) if names is not None else items
+
+
+MATRIX_TOTAL = "TOTALE MISSIONI"
+
+
+def read_positional(spark: SparkSession, path: str, width: int, encoding: str = "ISO-8859-1") -> DataFrame:
+    """Semicolon files without regard to titles: ``source_file``, ``pos`` in reading order, and ``width`` cells."""
+    names = [f"_c{i}" for i in range(width)]
+    raw = spark.read.csv(path, schema=", ".join(f"{n} string" for n in names), sep=";", encoding=encoding, quote='"', escape='"')
+    return raw.select(F.col("_metadata.file_name").alias("source_file"), F.monotonically_increasing_id().alias("pos"), F.array(*names).alias("cells"))
+
+
+def normalize_spending_matrix(
+    rows: DataFrame, keys: list[str], pos: str, cells: str, names: dict[str, str], codes: list[str] = presets.PROGRAMME_COLUMNS
+) -> DataFrame:
+    """A matrix of programmes by kind of spending to items per programme and grand totals.
+
+    The first row that begins with the fixed words holds the printed column
+    totals: after two label columns three columns per code (committed, reserved,
+    paid), one that is skipped, and the three grand totals. A key without such
+    a row, or with one too short, raises an error when the plan runs. Amounts
+    have a decimal comma; codes zero in both measures are left out.
+    """
+    width = 2 + 3 * len(codes) + 4
+    printed = F.startswith(F.trim(F.coalesce(F.element_at(cells, 1), F.lit(""))), F.lit(MATRIX_TOTAL))
+    chosen = rows.groupBy(*keys).agg(F.min_by(cells, F.when(printed, F.col(pos))).alias("_row"))
+    amounts = F.transform(F.slice("_row", 3, width - 2), lambda c: F.coalesce(parse_simple_locale(F.coalesce(c, F.lit(""))), F.lit(0)).cast("decimal(30,2)"))
+    absent = F.raise_error(F.concat_ws(" ", F.lit(f"no row '{MATRIX_TOTAL}' in"), *[F.col(k).cast("string") for k in keys])).cast("array<decimal(30,2)>")
+    short = F.raise_error(F.lit(f"row '{MATRIX_TOTAL}' has fewer than {width} cells")).cast("array<decimal(30,2)>")
+    checked = F.when(F.col("_row").isNull(), absent).when(F.size("_row") < width, short).otherwise(amounts)
+    # The marker keeps the check in the plan whatever columns a caller asks for.
+    wide = chosen.select(*keys, checked.alias("_cells")).where(F.size("_cells") > 0)
+    long = unfold_matrix_row(wide, keys, "_cells", codes, 3, {0: "impegni", 2: "pagamenti_totali"})
+    own = F.concat(F.lit("Missione "), F.col("code").cast("int").cast("string"))
+    label = F.coalesce(*[F.when(F.col("code") == c, F.lit(n)) for c, n in names.items()], own, F.lit("Totale generale delle spese"))
+    return long.withColumn("name", label).select(*keys, "level", "code", "name", "measure", "value")
 
 
 # Column titles of the open-data summaries and their measures.
@@ -97,11 +149,58 @@ SUMMARY_REVENUE = {
 SUMMARY_MEMBER, SUMMARY_TYPE, SUMMARY_CITY_TYPE = "Descrizione Comune", "Descrizione Tipologia Soggetto", "COMUNI"
 
 
+SUMMARY_SIDES = {
+    "spesa": ("Spese Riepilogo Missioni", "Codice Missione", "Descrizione Missione", SUMMARY_SPENDING, False, "Totale generale delle spese"),
+    "entrata": ("Entrate Riepilogo Titoli", "Codice Titolo", "Descrizione Titolo", SUMMARY_REVENUE, True, "Totale generale delle entrate"),
+}
+SUMMARY_EXCLUDED = "Voce di Riepilogo"
+
+
 def city_rows(rows: DataFrame, city: str) -> DataFrame:
     """Rows of one city; other bodies that share its name stay out."""
     return select_member(rows, f"`{SUMMARY_MEMBER}`", f"`{SUMMARY_TYPE}`", city, SUMMARY_CITY_TYPE)
 
 
+def city_comparison(spark: SparkSession, path: str, cities: dict[str, str], names: DataFrame | None = None) -> DataFrame:
+    """Summary items of many cities from the archives of their regions, all in one job.
+
+    ``cities`` maps a city to its region, whose archives of any year are read.
+    A city counts in a year only with rows on both sides; other bodies that
+    share its name stay out. ``names`` (kind, code, name) gives the labels of
+    codes it knows. Columns: comune, region, year, kind, level, code, name,
+    measure, value, unit, source.
+    """
+    columns = sorted({SUMMARY_MEMBER, SUMMARY_TYPE} | {c for side in SUMMARY_SIDES.values() for c in (side[1], side[2], *side[3])})
+    scopes = [(region, None) for region in sorted(set(cities.values()))]
+    rows = read_members(spark, path, [s[0] for s in SUMMARY_SIDES.values()], columns, exclude=SUMMARY_EXCLUDED, scopes=scopes)
+    place = F.create_map(*[F.lit(v) for city, region in cities.items() for v in (city.strip().upper(), region.strip().upper())])
+    upper = lambda c: F.upper(F.trim(F.col(f"`{c}`")))
+    ours = rows.withColumns({"comune": upper(SUMMARY_MEMBER), "region": F.upper("region")}).where(
+        (upper(SUMMARY_TYPE) == SUMMARY_CITY_TYPE) & (F.try_element_at(place, F.col("comune")) == F.col("region"))
+    )
+    # Written once: both sides and their totals read it.
+    ours = materialize(ours, "city-rows")
+    keys = ["comune", "region", "year"]
+    sides = []
+    for kind, (needle, code, name, measures, unpad, total) in SUMMARY_SIDES.items():
+        labels = names.where(F.col("kind") == kind).select("code", "name") if names is not None else None
+        side = normalize_side(ours.where(F.col("needle") == needle), keys, code, name, measures, total, unpad, "line_no", labels)
+        sides.append(side.withColumn("kind", F.lit(kind)))
+    items = sides[0].unionByName(sides[1])
+    # A total stands for every side that has rows, so two kinds of totals mean both sides.
+    both = items.where(F.col("level") == "totale").groupBy(*keys).agg(F.countDistinct("kind").alias("_kinds")).where("_kinds = 2")
+    source = F.concat(F.lit("BDAP Rendiconto SDB "), F.col("year").cast("string"), F.lit(" (RGS/MEF) — "), F.initcap("comune"))
+    return items.join(both.drop("_kinds"), keys, "left_semi").select(
+        *keys, "kind", "level", "code", "name", "measure", "value", F.lit("EUR").alias("unit"), source.alias("source")
+    )
+
+
+def load_city_comparison(spark: SparkSession, path: str, cities: dict[str, str], target: str, names: DataFrame | None = None) -> None:
+    """Rebuild the comparison table under ``target``; it then holds exactly what the archives hold."""
+    rows = city_comparison(spark, path, cities, names)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("region", "year").parquet(target)
+
+
 CONTRACT_RECORD = (
     "cig string, strutturaProponente struct<denominazione:string>, oggetto string, sceltaContraente string, "
     "partecipanti struct<partecipante:array<struct<codiceFiscale:string,ragioneSociale:string>>>, "

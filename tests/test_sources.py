@@ -4,12 +4,13 @@ import io
 import zipfile
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
 from ledgerloom import presets, schemas
-from ledgerloom.operators import analytics, documents, facts, tables, words
+from ledgerloom.operators import analytics, checks, documents, facts, tables, words
 from ledgerloom.sources import archives, export, load, readers
 from ledgerloom.streaming.incremental import append_new_stream, file_stream
 
@@ -294,3 +295,90 @@ def test_note_tables(spark):
         (1, "movimenti", "Crediti", "fine", D("3.00")), (1, "movimenti", "Crediti", "inizio", D("1.00")), (1, "movimenti", "Crediti", "variazione", D("2.00")),
         (2, "dettaglio", "Debiti", "2024", D("5.00")), (2, "dettaglio", "Debiti", "v2", D("6.00")),
     ]
+
+
+def test_spending_matrix_takes_the_first_total_row(spark, tmp_path):
+    cells = ["0,00"] * 69
+    cells[0], cells[2], cells[27], cells[29], cells[4] = "300.000,00", "290.000,00", "88.000,00", "", "5,00"
+    head = "Titolo;Macro;" + ";".join(f"c{i}" for i in range(73))
+    total = "TOTALE MISSIONI - TOTALE GENERALE;;" + ";".join([*cells, "0,00", "388.000,00", "5,00", "290.000,00"])
+    (tmp_path / "a.csv").write_bytes("\n".join([head, "1 - Spese;101;" + ";".join(["9,00"] * 73), " " + total, total.replace("300", "900")]).encode("latin-1"))
+    read = readers.read_positional(spark, str(tmp_path), 75)
+    got = readers.normalize_spending_matrix(read, ["source_file"], "pos", "cells", {"01": "Servizi"})
+    assert {(r["level"], r["code"], r["name"], r["measure"], r["value"]) for r in got.collect()} == {
+        ("voce", "01", "Servizi", "impegni", D("300000.00")), ("voce", "01", "Servizi", "pagamenti_totali", D("290000.00")),
+        ("voce", "10", "Missione 10", "impegni", D("88000.00")), ("voce", "10", "Missione 10", "pagamenti_totali", D("0.00")),
+        ("totale", None, "Totale generale delle spese", "impegni", D("388000.00")), ("totale", None, "Totale generale delle spese", "pagamenti_totali", D("290000.00")),
+    }
+    (tmp_path / "b.csv").write_text(head + "\nTOTALE GENERALE;;" + ";" * 72)
+    for bad, message in (("b.csv", "no row 'TOTALE MISSIONI' in b.csv"), ("c.csv", "fewer than 75 cells")):
+        (tmp_path / "c.csv").write_text("TOTALE MISSIONI;;1,00")
+        wrong = readers.read_positional(spark, str(tmp_path / bad), 75)
+        if bad == "c.csv":
+            wrong = wrong.withColumn("cells", F.slice("cells", 1, 3))
+        with pytest.raises(Exception, match=message):
+            readers.normalize_spending_matrix(wrong, ["source_file"], "pos", "cells", {}).collect()
+
+
+def test_city_comparison(spark, tmp_path):
+    spese = "Descrizione Tipologia Soggetto;Descrizione Comune;Codice Missione;Descrizione Missione;Previsioni Definitive di Competenza;Impegni;Totale Pagamenti"
+    entrate = "Totale Riscossioni;Descrizione Comune;Descrizione Tipologia Soggetto;Codice Titolo;Descrizione Titolo;Previsioni Definitive di Competenza;Accertamenti"
+    both = {
+        "2020 Spese Riepilogo Missioni.csv": [spese, "COMUNI;TORINO;01;Primo;10.00;4;1", "COMUNI;Torino ;01;Dopo;1.50;n.d.;", "PROVINCE;TORINO;02;Altro;9;9;9", "COMUNI;ALBA;01;X;7;7;7", "COMUNI;TORINO;03;Zero;0;;0"],
+        "2020 Entrate Riepilogo Titoli.csv": [entrate, "3;TORINO;COMUNI;01;Tributi;5;2"],
+        "2020 Spese Riepilogo Missioni - Voce di Riepilogo.csv": ["a;b"],
+    }
+    archives_ = {
+        "2020_PIEMONTE.zip": both,
+        "2021_PIEMONTE.zip": {k: v for k, v in both.items() if "Entrate" not in k},
+        "2020_LAZIO.zip": both,
+        "2020_LOMBARDIA.zip": both,
+    }
+    for name, members in archives_.items():
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            for member, lines in members.items():
+                z.writestr(member, "\n".join(lines).encode("latin-1"))
+    names = spark.createDataFrame([("entrata", "1", "Entrate correnti"), ("spesa", "9", "?")], "kind string, code string, name string")
+    cities = {"Torino": "Piemonte", "Roma": "LAZIO"}
+    target = str(tmp_path / "out")
+    spark.range(1).selectExpr("1 AS region", "2 AS year", "id").write.partitionBy("region", "year").parquet(target)  # an older build
+    readers.load_city_comparison(spark, str(tmp_path), cities, target, names)
+    got = rows(spark.read.parquet(target).fillna("-"), "comune", "region", "year", "kind", "level", "code", "name", "measure", "value")
+    want = [
+        ("TORINO", "PIEMONTE", 2020, kind, *rest, measure, D(value))
+        for kind, measures in (
+            ("spesa", {"previsioni": "11.50", "impegni": "4.00", "pagamenti_totali": "1.00"}),
+            ("entrata", {"previsioni": "5.00", "accertamenti": "2.00", "riscossioni_totali": "3.00"}),
+        )
+        for rest in (
+            (("voce", "01", "Primo"), ("totale", "-", "Totale generale delle spese"))
+            if kind == "spesa"
+            else (("voce", "1", "Entrate correnti"), ("totale", "-", "Totale generale delle entrate"))
+        )
+        for measure, value in measures.items()
+    ]
+    assert got == sorted(want)
+
+
+def test_identities_of_two_sheets_and_years(spark):
+    lines = [
+        ("d", 1, "Totale dell'attivo", "balance_sheet_assets", D(5), D(4)), ("d", 2, "Totale del passivo", "balance_sheet_liabilities", D(5), D(3)),
+        ("d", 3, "Totale del", "balance_sheet_liabilities", D(9), D(9)),
+        ("e", 1, "totale dell'attivo", "balance_sheet_assets", D(1), D(1)), ("e", 2, "TOTALE DEL PASSIVO", "balance_sheet_liabilities", D(1), D(1)),
+        ("e", 3, "Totale dell'attivo", "aggregate_balance_sheet_assets", D(2), None),
+    ]
+    df = spark.createDataFrame(lines, "doc string, pos int, name string, family string, cur decimal(20,2), pri decimal(20,2)")
+    got = checks.check_identities(df, ["doc"], "pos", "name", "family", "cur", "pri")
+    assert rows(got) == [
+        ("aggregate_balance_sheet_identity", 1, 1, False), ("balance_sheet_identity_current", 2, 0, True), ("balance_sheet_identity_prior", 2, 1, False),
+    ]
+    assert [r["check"] for r in checks.check_identities(df.limit(0), ["doc"], "pos", "name", "family", "cur", "pri").collect()] == []
+
+
+def test_empty_dataset_has_its_titles(spark, tmp_path):
+    empty = spark.createDataFrame([], "a int, b string")
+    for frame_, name in ((empty, "x"), (empty.repartition(3), "y")):
+        assert export.export_dataset(frame_, str(tmp_path), name, ["csv", "json"]) == [f"{tmp_path}/{name}.csv", f"{tmp_path}/{name}.json"]
+        assert spark.read.csv(f"{tmp_path}/{name}.csv", header=True).columns == ["a", "b"]
+        assert spark.read.schema("a int").json(f"{tmp_path}/{name}.json").count() == 0
+    assert export.export_dataset(empty, str(tmp_path), "z", ["csv"], only_if_rows=True) == []
