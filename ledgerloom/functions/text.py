@@ -146,7 +146,7 @@ def unpad_code(code: Column) -> Column:
 def display_label(key: Column, labels: dict[str, str]) -> Column:
     """Known label, else the key as words with the first letter capitalised."""
     words = F.lower(F.replace(key, F.lit("_"), F.lit(" ")))
-    fallback = F.concat(F.upper(F.substring(words, 1, 1)), F.substring(words, 2, 1 << 20))
+    fallback = F.concat(F.upper(F.substring(words, 1, 1)), F.substr(words, F.lit(2)))
     out = None
     for name, text in labels.items():
         out = F.when(key == name, text) if out is None else out.when(key == name, text)
@@ -184,9 +184,10 @@ def page_heading(text: Column) -> Column:
 
 
 def _labels(labels: list[str], no_digit_before: bool) -> str:
-    """Pattern of one label; longer ones are tried first."""
+    """Pattern of one label; longer ones are tried first, and only where a label's first letter stands."""
     guard = "A-Za-z0-9" if no_digit_before else "A-Za-z"
-    return rf"(?<![{guard}])({'|'.join(sorted(labels, key=len, reverse=True))})"
+    first = "".join(sorted({label[0] for label in labels}))
+    return rf"(?=[{first}])(?<![{guard}])({'|'.join(sorted(labels, key=len, reverse=True))})"
 
 
 def value_token_pattern(labels: list[str] = presets.VALUE_LABELS, no_digit_before: bool = True) -> str:
@@ -200,12 +201,16 @@ TOKEN_VALUE = r"-?[\d.]+,\d{2}"
 
 def open_label(text: Column, labels: list[str] = presets.VALUE_LABELS, no_digit_before: bool = True) -> Column:
     """The label that ends a text without its value, empty when none does."""
-    return F.regexp_extract(text, _labels(labels, no_digit_before) + r"\s*$", 1)
+    end = F.right(F.rtrim(text), F.lit(1))
+    found = F.regexp_extract(text, _labels(labels, no_digit_before) + r"\s*$", 1)
+    return F.when(end.between("A", "Z") | (end < " "), found).otherwise("")  # most texts end otherwise, and no pattern runs
 
 
 def leading_value(text: Column) -> Column:
     """The printed amount at the front of a text, empty when there is none."""
-    return F.regexp_extract(text, rf"^\s*({TOKEN_VALUE})", 1)
+    front = F.left(F.ltrim(text), F.lit(1))
+    found = F.regexp_extract(text, rf"^\s*({TOKEN_VALUE})", 1)
+    return F.when(front.between("-", "9") | (front < " "), found).otherwise("")
 
 
 def value_of(amount: Column) -> Column:
@@ -220,13 +225,15 @@ def value_tokens(text: Column, pattern: str) -> Column:
     its two parts are told apart by character translation.
     """
     spaces = " \t\n\r\f\u000b"
-    return F.transform(
+    found = F.transform(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda t: F.struct(
             F.translate(t, f"0123456789.,-{spaces}", "").alias("label"),
             value_of(F.translate(t, f"{ascii_letters}{spaces}", "")).alias("value"),
         ),
     )
+    none = F.array().cast("array<struct<label:string,value:decimal(20,2)>>")
+    return F.when(F.contains(text, F.lit(",")), found).otherwise(none)  # every amount has a comma
 
 
 def without_tokens(text: Column, pattern: str) -> Column:

@@ -230,28 +230,36 @@ def check_cross_source(left: DataFrame, right: DataFrame, keys: list[str], name:
     return summarize(joined, name, F.abs(F.col("_a") - F.col("_b")) > _tolerance("0.01"), need_cases=True)
 
 
-# --- fixed values: how totals and results are worded in each statement scheme --
-STATEMENT_SCHEMES = {
-    "civil": {
-        "assets": r"^TOTALEATTIVO$|^TOTALEDELL'ATTIVO",
-        "liabilities": r"^TOTALEPASSIVOENET|^TOTALEPASSIVO$|^TOTALEDELPASSIVO",
-        "income_result": r"^21\)UTILE|UTILE\(PERDITA\)DELL'ESER|RISULTATODELL'ESER",
-        "equity_result": r"UTILE\(PERDITA\)D'ESERCIZIO|UTILE\(PERDITA\)DELL'ESERCIZIO|RISULTATOECONOMICODELL'ESER",
-    },
-    "four_column": {
-        "assets": r"^TOTALEATTIV(?!.*CORRENTI)",
-        "liabilities": r"^(?=.*PATRIMONIO).*PASSIVIT",
-        "income_result": r"^(?!.*ATTIVITA)(?=.*RISULTATONETTO).*PERIODO",
-        "equity_result": r"^(?=.*RISULTATONETTO).*PERIODO",
-    },
-    "consolidated": {
-        "assets": r"^TOTALEATTIV(?!.*CORRENTI)",
-        "liabilities": r"^(?=.*PATRIMONIO).*PASSIVIT",
-        "income_result": r"^(?=.*ATTRIBUIBILEAGLI).*AZIONISTI",
-        "equity_result": r"^(?=.*RISULTATONETTO).*PERIODO",
-    },
-    "form": {"assets": r"^TOTALEATTIVO$", "liabilities": r"^TOTALEPASSIVO$", "income_result": None, "equity_result": None},
-}
+def scheme_line(text: Column, scheme: str, which: str) -> Column | None:
+    """Whether a label (upper case, without spaces) is the scheme's line for a total or a result; None where it has none.
+
+    The words are fixed values: how the statements of each scheme are printed.
+    """
+    begins = text.startswith
+    has = lambda words: F.contains(text, F.lit(words))
+    period_result = has("RISULTATONETTO") & has("PERIODO")
+    lines = {
+        "civil": {
+            "assets": (text == "TOTALEATTIVO") | begins("TOTALEDELL'ATTIVO"),
+            "liabilities": (text == "TOTALEPASSIVO") | begins("TOTALEPASSIVOENET") | begins("TOTALEDELPASSIVO"),
+            "income_result": begins("21)UTILE") | has("UTILE(PERDITA)DELL'ESER") | has("RISULTATODELL'ESER"),
+            "equity_result": has("UTILE(PERDITA)D'ESERCIZIO") | has("UTILE(PERDITA)DELL'ESERCIZIO") | has("RISULTATOECONOMICODELL'ESER"),
+        },
+        "four_column": {
+            "assets": begins("TOTALEATTIV") & ~has("CORRENTI"),
+            "liabilities": has("PATRIMONIO") & has("PASSIVIT"),
+            "income_result": period_result & ~has("ATTIVITA"),
+            "equity_result": period_result,
+        },
+        "consolidated": {
+            "assets": begins("TOTALEATTIV") & ~has("CORRENTI"),
+            "liabilities": has("PATRIMONIO") & has("PASSIVIT"),
+            "income_result": has("ATTRIBUIBILEAGLI") & has("AZIONISTI"),
+            "equity_result": period_result,
+        },
+        "form": {"assets": text == "TOTALEATTIVO", "liabilities": text == "TOTALEPASSIVO"},
+    }
+    return lines[scheme].get(which)
 
 
 def statement_reconcile(items: DataFrame, keys: list[str], scheme: str = "civil", pos: str = "seq") -> DataFrame:
@@ -260,16 +268,15 @@ def statement_reconcile(items: DataFrame, keys: list[str], scheme: str = "civil"
     ``balanced`` needs both totals and equality; a result present on one side
     only is not compared. Lines toward related parties never count as totals.
     """
-    words = STATEMENT_SCHEMES[scheme]
     # The form's scheme looks in every category, the others in the right one.
     anywhere = scheme == "form"
     text = F.upper(F.replace(F.col("name"), F.lit(" "), F.lit("")))
 
     def pick(which: str, category: str) -> Column:
-        pattern = words[which]
-        if pattern is None:
+        line = scheme_line(text, scheme, which)
+        if line is None:
             return F.lit(None).cast("decimal(20,2)")
-        hit = F.col("related_party").isNull() & text.rlike(pattern)
+        hit = F.col("related_party").isNull() & line
         if not anywhere:
             hit = hit & (F.col("category") == category)
         order = F.struct(F.col("category"), F.col(pos)) if anywhere else F.col(pos)

@@ -6,7 +6,9 @@ a statement. Pages are independent until the lines are put in order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
@@ -31,33 +33,39 @@ def _row_starts(tops: Column, tolerance: float) -> Column:
     return F.aggregate(tops, F.array().cast("array<double>"), step)
 
 
-def cluster_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> DataFrame:
-    """Add ``row_top``, the baseline that names the visual row of a word.
+def visual_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> DataFrame:
+    """The visual rows of every page: ``row_top`` and ``_words``, the row's words from left to right.
 
-    Only distinct baselines of a page are gathered - a page has at most its
-    height's worth of them however many words it holds - and the words are
-    joined back to their row.
+    Sorted by baseline, a gap wider than the tolerance always ends a row, so a
+    page falls into runs of near baselines, and the rule of ``_row_starts`` is
+    folded over one run at a time. The words are shuffled once, by page; what
+    is gathered is a run, which is rarely more than one printed line.
     """
-    lines = words.select(*keys, "top").distinct().groupBy(*keys).agg(F.sort_array(F.collect_list("top")).alias("_tops"))
-    # A row ends where the next begins, so each start owns the baselines up to it.
-    starts = lines.withColumn("_starts", _row_starts(F.col("_tops"), tolerance)).select(
-        *keys,
-        "_tops",
-        F.posexplode("_starts").alias("_i", "row_top"),
-        F.try_element_at("_starts", F.col("_i") + 2).alias("_next"),
+    above = F.lag("top").over(Window.partitionBy(*keys).orderBy("top"))
+    far = F.coalesce((F.col("top") - above > tolerance).cast("int"), F.lit(0))
+    order = Window.partitionBy(*keys).orderBy("top").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = ["x0", "top", *[c for c in words.columns if c not in (*keys, "x0", "top")]]
+    marked = words.withColumn("_far", far).withColumn("_run", F.sum("_far").over(order))
+    runs = marked.groupBy(*keys, "_run").agg(
+        F.array_sort(F.collect_list(F.struct(*own))).alias("_all"), F.sort_array(F.collect_set("top")).alias("_tops")
+    )
+    one = F.element_at("_tops", -1) - F.element_at("_tops", 1) <= tolerance
+    starts = F.when(one, F.slice("_tops", 1, 1)).otherwise(_row_starts(F.col("_tops"), tolerance))
+    rows = runs.withColumn("_starts", starts).select(
+        *keys, "_all", F.size("_starts").alias("_n"), F.posexplode("_starts").alias("_i", "row_top"), F.try_element_at("_starts", F.col("_i") + 2).alias("_next")
     )
-    inside = F.filter("_tops", lambda t: (t >= F.col("row_top")) & (F.col("_next").isNull() | (t < F.col("_next"))))
-    return words.join(starts.select(*keys, "row_top", F.explode(inside).alias("top")), [*keys, "top"])
+    inside = F.filter("_all", lambda w: (w["top"] >= F.col("row_top")) & (F.col("_next").isNull() | (w["top"] < F.col("_next"))))
+    return rows.select(*keys, "row_top", F.when(F.col("_n") == 1, F.col("_all")).otherwise(inside).alias("_words"))
 
 
-def printed_rows(words: DataFrame, keys: list[str]) -> DataFrame:
-    """Visual rows with their words from left to right, numbers already read.
+def cluster_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> DataFrame:
+    """Words with ``row_top``, the baseline that names their visual row."""
+    return visual_rows(words, keys, tolerance).select(*keys, "row_top", F.inline("_words")).select(*words.columns, "row_top")
 
-    A row is gathered whole because its label is one text; it is never wider
-    than a printed line.
-    """
-    word = F.struct("x0", "top", "x1", "text", "n")
-    return with_noisy_integer(words, "text", "n").groupBy(*keys, "row_top").agg(F.array_sort(F.collect_list(word)).alias("_words"))
+
+def printed_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> DataFrame:
+    """Visual rows with their words from left to right, numbers already read."""
+    return visual_rows(with_noisy_integer(words.select(*keys, "x0", "top", "x1", "text"), "text", "n"), keys, tolerance)
 
 
 def _texts(words: Column) -> Column:
@@ -70,13 +78,13 @@ def _right_most(words: Column) -> Column:
 
 
 def assign_columns(words: DataFrame, keys: list[str], layout: dict = presets.CIVIL_LAYOUT) -> DataFrame:
-    """Visual rows as ``label, current, prior`` in the civil-code layout.
+    """Words to visual rows as ``label, current, prior`` in the civil-code layout.
 
     Far-right numbers are the prior year and the right-most remaining one the
     current year; "12 mesi" is a heading, not a number. The current year keeps
     the first of two equally placed numbers and the prior year the last.
     """
-    rows = printed_rows(words, keys)
+    rows = printed_rows(words, keys, layout["row_tolerance"])
 
     def placed(w: Column, i: Column) -> Column:
         heading = F.coalesce(F.lower(F.try_element_at(F.col("_words"), i + 2)["text"]) == "mesi", F.lit(False))
@@ -104,9 +112,6 @@ def _line_position(df: DataFrame, keys: list[str], page: str) -> DataFrame:
     )
 
 
-# Positions run to 1e8 per page; a slice then holds about fifty pages.
-
-
 def assemble_statement(
     words: DataFrame, keys: list[str], page: str, year: Column, prior_year: Column, layout: dict = presets.CIVIL_LAYOUT
 ) -> DataFrame:
@@ -115,7 +120,8 @@ def assemble_statement(
     A row that opens with a code or is a total starts a line; other rows extend
     its label and lend it their amounts when it has none yet.
     """
-    rows = assign_columns(cluster_rows(words, [*keys, page], layout["row_tolerance"]), [*keys, page], layout)
+    rows = assign_columns(words, [*keys, page], layout)
+    # Written once: the scan below reads it twice.
     rows = materialize(_line_position(rows.where(F.col("label") != ""), keys, page), "rows")
     starts = (line_code(F.col("label")) != "") | is_total_line(F.col("label"))
     marked = rows.withColumn("_starts", starts)
@@ -157,8 +163,8 @@ def printed_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def four_column_rows(words: DataFrame, keys: list[str], layout: dict = presets.FOUR_COLUMN_LAYOUT) -> DataFrame:
-    """Visual rows of the layout current | party | prior | party."""
-    rows = printed_rows(words.where(F.col("row_top") >= layout["skip_top"]), keys).withColumn(
+    """Words to visual rows of the layout current | party | prior | party."""
+    rows = printed_rows(words, keys, layout["row_tolerance"]).where(F.col("row_top") >= layout["skip_top"]).withColumn(
         "_words", F.filter("_words", lambda w: ~w["text"].rlike(presets.FOUR_COLUMN_NOTE))
     )
     is_current = lambda w: w["x1"] <= layout["current_x1_max"]
@@ -187,8 +193,7 @@ def assemble_four_columns(
     A label-only row within the gap below a value row completes its label; one
     above does too, unless the value row before it has already taken it.
     """
-    clustered = cluster_rows(words, [*keys, page], layout["row_tolerance"])
-    rows = materialize(_line_position(four_column_rows(clustered, [*keys, page], layout), keys, page), "rows")
+    rows = materialize(_line_position(four_column_rows(words, [*keys, page], layout), keys, page), "rows")
     rows = rows.withColumn("_valued", F.col("current").isNotNull() | F.col("prior").isNotNull())
     indexed = row_index(rows, keys, "_pos")
     around = neighbours(indexed, keys, "idx", ["label", "row_top", "_valued"], {"above": -1, "above2": -2, "below": 1})
@@ -230,8 +235,7 @@ def counterparty_rows(
     A number belongs to the first column whose right bound is not exceeded;
     beyond the last bound it belongs to the last column.
     """
-    clustered = cluster_rows(words, [*keys, page], layout["row_tolerance"]).where(F.col("row_top") >= layout["skip_top"])
-    rows = printed_rows(clustered, [*keys, page])
+    rows = printed_rows(words, [*keys, page], layout["row_tolerance"]).where(F.col("row_top") >= layout["skip_top"])
     label = _texts(F.filter("_words", lambda w: w["x0"] < label_x0_max))
     wanted = rows.where(F.lower(label).startswith(entity.lower()))
     cells = wanted.select(*keys, page, "row_top", F.inline(F.filter("_words", lambda w: w["x0"] >= label_x0_max)))
@@ -254,3 +258,21 @@ def counterparty_rows(
             F.lit(entity).alias("related_party"),
         )
     )
+
+
+def counterparty_items(
+    words: DataFrame, keys: list[str], page: str, entity: str, sides: dict[int, list[tuple[str, str]]], **layout
+) -> DataFrame:
+    """One counterparty's amounts over the pages of a table, numbered in printed order.
+
+    ``sides`` gives the columns printed on each page, in the order in which the
+    pages count; ``layout`` goes to ``counterparty_rows``.
+    """
+    parts = [
+        counterparty_rows(words.where(F.col(page) == number), keys, page, entity, columns, **layout).withColumn("_side", F.lit(i))
+        for i, (number, columns) in enumerate(sides.items())
+    ]
+    # the window sees the cells of one counterparty: as many as the table has columns
+    order = Window.partitionBy(*keys).orderBy("_side", "row_top", "x0")
+    items = reduce(DataFrame.unionByName, parts).withColumn("seq", F.row_number().over(order) - 1)
+    return items.select(*keys, "page", "seq", "category", "name", "value", "related_party")

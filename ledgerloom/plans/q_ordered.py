@@ -24,21 +24,21 @@ def carry_headings(t):
         "l2": set_when((F.col("flag") == "N") & (F.col("status") == "O")),
         "l3": set_when((F.col("flag") == "R") & (F.col("status") == "F")),
     }
-    return ordered.carry_headings(t.line, ["doc"], "pos", levels).select("doc", "pos", "l1", "l2", "l3")
+    return ordered.carry_headings(t.stored_line, ["doc"], "pos", levels).select("doc", "pos", "l1", "l2", "l3")
 
 
 @query("segment_blocks", """
 SELECT doc, CAST(block AS BIGINT) AS block, CAST(min(pos) AS INT) AS page, string_agg(name, chr(10) ORDER BY pos) AS block_text
 FROM (SELECT *, sum(CASE WHEN name LIKE 'old%' OR name LIKE 'new%' THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY pos) AS block FROM line) WHERE block > 0 GROUP BY doc, block""", "line")
 def segment_blocks(t):
-    return ordered.segment_blocks(t.line.withColumn("page", F.col("pos")), ["doc"], "pos", "name", "page", "^(old|new)")
+    return ordered.segment_blocks(t.stored_line.withColumn("page", F.col("pos")), ["doc"], "pos", "name", "page", "^(old|new)")
 
 
 @query("merge_continuations", """
 SELECT doc, CAST(min(pos) AS INT) AS pos, CAST(arg_min(part, pos) AS BIGINT) AS part, string_agg(name, ' ' ORDER BY pos) AS name
 FROM (SELECT *, sum(CASE WHEN flag <> 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY pos) AS item FROM line) WHERE item > 0 GROUP BY doc, item""", "line")
 def merge_continuations(t):
-    return ordered.merge_continuations(t.line, ["doc"], "pos", F.col("flag") != "R", "name", ["part"]).select("doc", "pos", "part", "name")
+    return ordered.merge_continuations(t.stored_line, ["doc"], "pos", F.col("flag") != "R", "name", ["part"]).select("doc", "pos", "part", "name")
 
 
 @query("coalesce_block_cells", """
@@ -49,7 +49,7 @@ def coalesce_block_cells(t):
     cells = F.array(
         F.when(F.col("flag") == "A", F.col("name")).otherwise(""), F.when(F.col("status") == "F", F.col("name")).otherwise(""), F.col("flag")
     )
-    rows = t.line.select("doc", "pos", "flag", cells.alias("cells"))
+    rows = t.stored_line.select("doc", "pos", "flag", cells.alias("cells"))
     merged = ordered.coalesce_block_cells(rows, ["doc"], "pos", F.col("flag") == "A", "cells")
     return merged.select("doc", "block", *[F.col("cells")[i].alias(f"c{i + 1}") for i in range(3)])
 
@@ -60,7 +60,7 @@ WITH e AS (SELECT *, coalesce(sum(CASE WHEN flag = 'R' THEN 1 ELSE 0 END) OVER (
 SELECT doc, pos, paired_name, CAST(amount AS DOUBLE) AS amount FROM n WHERE flag = 'R' AND paired_name IS NOT NULL""", "line")
 def pair_rows(t):
     named = F.when(F.col("flag") == "A", F.col("name"))
-    rows = ordered.pair_rows(t.line, ["doc"], "pos", named, F.col("flag") == "R")
+    rows = ordered.pair_rows(t.stored_line, ["doc"], "pos", named, F.col("flag") == "R")
     return rows.select("doc", "pos", "paired_name", out(F.col("amount")).alias("amount"))
 
 
@@ -69,13 +69,13 @@ SELECT doc, pos, CASE WHEN max(c) OVER (PARTITION BY doc) IS NULL THEN '' ELSE c
 FROM (SELECT *, CASE WHEN flag = 'A' AND status = 'F' THEN name END AS c FROM line)""", "line")
 def backfill_sections(t):
     closing = F.when((F.col("flag") == "A") & (F.col("status") == "F"), F.col("name"))
-    return ordered.backfill_sections(t.line, ["doc"], "pos", closing, "result").select("doc", "pos", "section")
+    return ordered.backfill_sections(t.stored_line, ["doc"], "pos", closing, "result").select("doc", "pos", "section")
 
 
 @query("printed_sequence", """
 SELECT doc, pos, CAST(row_number() OVER (PARTITION BY doc ORDER BY pos) - 1 AS INT) AS seq FROM line WHERE amount > 20000""", "line")
 def printed_sequence(t):
-    return ordered.printed_sequence(t.line, ["doc"], "pos", F.col("amount") > 20000).select("doc", "pos", "seq")
+    return ordered.printed_sequence(t.stored_line, ["doc"], "pos", F.col("amount") > 20000).select("doc", "pos", "seq")
 
 
 @query("subtotal_groups", """
@@ -91,7 +91,7 @@ def subtotal_groups(t):
 
 def _statement_groups(t):
     """Flag A opens a group, N and R are lettered children, R with F an "of which"."""
-    rows = t.line.select(
+    rows = t.stored_line.select(
         "doc",
         "pos",
         F.when(F.col("flag") == "A", F.col("pos").cast("string")).otherwise(F.lower("flag")).alias("code"),
@@ -122,7 +122,7 @@ def _sections(t):
     """Flag A marks a section, N is a numbered line, R with F closes it."""
     code = F.when(F.col("flag") == "A", F.when(F.col("status") == "F", "A").otherwise("B")).when(F.col("flag") == "N", F.col("pos").cast("string")).otherwise("")
     closing = (F.col("flag") == "R") & (F.col("status") == "F")
-    rows = t.line.select("doc", "pos", code.alias("code"), F.when(closing, "Totale componenti della gestione").otherwise(F.col("name")).alias("name"), "amount")
+    rows = t.stored_line.select("doc", "pos", code.alias("code"), F.when(closing, "Totale componenti della gestione").otherwise(F.col("name")).alias("name"), "amount")
     return checks.section_totals(rows, ["doc"], "pos", "code", "name", "amount")
 
 

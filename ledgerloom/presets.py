@@ -144,16 +144,6 @@ COUNTERPARTY_RIGHT = [
     ("Oneri finanziari", INCOME),
 ]
 
-# --- fixed values: income sections, labelled on their closing row -------------
-INCOME_SECTIONS = {
-    "A": "A · Entrate (gestione)",
-    "B": "B · Uscite (gestione)",
-    "C": "C · Proventi e oneri finanziari",
-    "D": "D · Rettifiche di valore attività finanziarie",
-    "E": "E · Proventi e oneri straordinari",
-}
-INCOME_RESULT = "Risultato d'esercizio"
-
 # --- fixed values: decision documents -----------------------------------------
 DECISION_ID = r"C\.?\s?I\.?\s?G\.?\s*[:.]?\s*([0-9A-Z]{10})\b"
 DECISION_AMOUNTS = [
@@ -188,3 +178,23 @@ PROGRAMME_COLUMNS = [
 # --- fixed values: statement families of the two balance sheets of a report ----
 CONSOLIDATED_SHEET = ["balance_sheet_assets", "balance_sheet_liabilities"]
 AGGREGATE_SHEET = ["aggregate_balance_sheet_assets", "aggregate_balance_sheet_liabilities"]
+
+# --- fixed values: display labels of entity metrics and of summary measures ----
+ENTITY_METRIC_LABELS = {
+    "spesa_personale": "Spesa per il personale",
+    "perc_consolidamento": "Percentuale di consolidamento",
+    "incidenza_ricavi_comune": "Incidenza ricavi imputabili al Comune",
+    "perdite_ripianate_comune": "Perdite ripianate dal Comune (ultimi 3 anni)",
+    "quota_posseduta": "Quota posseduta",
+    "valore_iscrizione_partecipazione": "Valore di iscrizione della partecipazione",
+    "patrimonio_netto": "Patrimonio netto dell'organismo",
+    "frazione_patrimonio_netto": "Frazione del patrimonio netto",
+    "differenza_elisione": "Differenza di elisione",
+}
+SUMMARY_MEASURE_LABELS = {
+    "impegni": "Impegni (competenza)",
+    "pagamenti_totali": "Pagamenti (cassa)",
+    "accertamenti": "Accertamenti (competenza)",
+    "riscossioni_totali": "Riscossioni (cassa)",
+    "previsioni": "Previsioni definitive",
+}

@@ -2,63 +2,191 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_TYPES = {
-    "int": T.IntegerType(),
-    "text": T.StringType(),
-    "time": T.TimestampType(),
-    "flag": T.BooleanType(),
-    "money": T.DecimalType(20, 2),
-    "figure": T.DecimalType(20, 4),
-    "quota": T.DecimalType(7, 4),
-}
-
-
-def _schema(columns: str) -> T.StructType:
-    fields = [c.strip().split(":") for c in columns.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
-
+from pyspark.sql.types import BooleanType, DecimalType, IntegerType, StringType, StructField, StructType, TimestampType
 
 # Table, column and type names of the data model.
-DOCUMENTS = _schema("id:int, filename:text, checksum:text, document_type:text, year:int, upload_timestamp:time, page_count:int")
-TABLES = _schema("id:int, document_id:int, page:int, table_type:text, raw_json:text")
-METRICS = _schema(
-    "id:int, document_id:int, year:int, category:text, code:text, metric_name:text, value:money, unit:text, source_page:int"
+DOCUMENTS = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("filename", StringType()),
+        StructField("checksum", StringType()),
+        StructField("document_type", StringType()),
+        StructField("year", IntegerType()),
+        StructField("upload_timestamp", TimestampType()),
+        StructField("page_count", IntegerType()),
+    ]
+)
+TABLES = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("document_id", IntegerType()),
+        StructField("page", IntegerType()),
+        StructField("table_type", StringType()),
+        StructField("raw_json", StringType()),
+    ]
+)
+METRICS = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("document_id", IntegerType()),
+        StructField("year", IntegerType()),
+        StructField("category", StringType()),
+        StructField("code", StringType()),
+        StructField("metric_name", StringType()),
+        StructField("value", DecimalType(20, 2)),
+        StructField("unit", StringType()),
+        StructField("source_page", IntegerType()),
+    ]
+)
+ENTITIES = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("document_id", IntegerType()),
+        StructField("year", IntegerType()),
+        StructField("name", StringType()),
+        StructField("canonical_slug", StringType()),
+        StructField("canonical_name", StringType()),
+        StructField("ownership_percentage", DecimalType(7, 4)),
+        StructField("consolidation_method", StringType()),
+        StructField("entity_type", StringType()),
+        StructField("source_page", IntegerType()),
+    ]
+)
+ENTITY_METRICS = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("document_id", IntegerType()),
+        StructField("year", IntegerType()),
+        StructField("entity_name", StringType()),
+        StructField("canonical_slug", StringType()),
+        StructField("canonical_name", StringType()),
+        StructField("source", StringType()),
+        StructField("metric_name", StringType()),
+        StructField("value", DecimalType(20, 4)),
+        StructField("unit", StringType()),
+        StructField("note", StringType()),
+        StructField("source_page", IntegerType()),
+    ]
 )
-ENTITIES = _schema(
-    "id:int, document_id:int, year:int, name:text, canonical_slug:text, canonical_name:text, ownership_percentage:quota, "
-    "consolidation_method:text, entity_type:text, source_page:int"
+NOTE_ITEMS = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("document_id", IntegerType()),
+        StructField("year", IntegerType()),
+        StructField("source_page", IntegerType()),
+        StructField("table_index", IntegerType()),
+        StructField("heading", StringType()),
+        StructField("kind", StringType()),
+        StructField("voce", StringType()),
+        StructField("period", StringType()),
+        StructField("value", DecimalType(20, 2)),
+        StructField("unit", StringType()),
+    ]
 )
-ENTITY_METRICS = _schema(
-    "id:int, document_id:int, year:int, entity_name:text, canonical_slug:text, canonical_name:text, source:text, "
-    "metric_name:text, value:figure, unit:text, note:text, source_page:int"
+RENDICONTO = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("document_id", IntegerType()),
+        StructField("year", IntegerType()),
+        StructField("kind", StringType()),
+        StructField("level", StringType()),
+        StructField("code", StringType()),
+        StructField("name", StringType()),
+        StructField("measure", StringType()),
+        StructField("value", DecimalType(20, 2)),
+        StructField("unit", StringType()),
+        StructField("source_page", IntegerType()),
+    ]
 )
-NOTE_ITEMS = _schema(
-    "id:int, document_id:int, year:int, source_page:int, table_index:int, heading:text, kind:text, voce:text, period:text, "
-    "value:money, unit:text"
+RENDICONTO_CAPITOLI = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("document_id", IntegerType()),
+        StructField("year", IntegerType()),
+        StructField("kind", StringType()),
+        StructField("sezione", StringType()),
+        StructField("liv1_code", StringType()),
+        StructField("liv1_name", StringType()),
+        StructField("liv2_code", StringType()),
+        StructField("liv2_name", StringType()),
+        StructField("liv3_code", StringType()),
+        StructField("liv3_name", StringType()),
+        StructField("capitolo_code", StringType()),
+        StructField("denominazione", StringType()),
+        StructField("measure", StringType()),
+        StructField("value", DecimalType(20, 2)),
+        StructField("unit", StringType()),
+        StructField("source_page", IntegerType()),
+    ]
 )
-RENDICONTO = _schema(
-    "id:int, document_id:int, year:int, kind:text, level:text, code:text, name:text, measure:text, value:money, unit:text, "
-    "source_page:int"
+DEBITO = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("year", IntegerType()),
+        StructField("measure", StringType()),
+        StructField("value", DecimalType(20, 2)),
+        StructField("unit", StringType()),
+        StructField("source", StringType()),
+    ]
 )
-RENDICONTO_CAPITOLI = _schema(
-    "id:int, document_id:int, year:int, kind:text, sezione:text, liv1_code:text, liv1_name:text, liv2_code:text, "
-    "liv2_name:text, liv3_code:text, liv3_name:text, capitolo_code:text, denominazione:text, measure:text, value:money, "
-    "unit:text, source_page:int"
+RENDICONTO_COMUNI = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("comune", StringType()),
+        StructField("region", StringType()),
+        StructField("year", IntegerType()),
+        StructField("kind", StringType()),
+        StructField("level", StringType()),
+        StructField("code", StringType()),
+        StructField("name", StringType()),
+        StructField("measure", StringType()),
+        StructField("value", DecimalType(20, 2)),
+        StructField("unit", StringType()),
+        StructField("source", StringType()),
+    ]
 )
-DEBITO = _schema("id:int, year:int, measure:text, value:money, unit:text, source:text")
-RENDICONTO_COMUNI = _schema(
-    "id:int, comune:text, region:text, year:int, kind:text, level:text, code:text, name:text, measure:text, value:money, "
-    "unit:text, source:text"
+POPOLAZIONE = StructType(
+    [
+        StructField("comune", StringType()),
+        StructField("year", IntegerType()),
+        StructField("residenti", IntegerType()),
+        StructField("source", StringType()),
+    ]
 )
-POPOLAZIONE = _schema("comune:text, year:int, residenti:int, source:text")
-ENTITY_STATEMENTS = _schema(
-    "id:int, entity_slug:text, entity_name:text, year:int, category:text, seq:int, code:text, name:text, value:money, "
-    "unit:text, is_total:flag, related_party:text, source_document:text, source_page:int"
+ENTITY_STATEMENTS = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("entity_slug", StringType()),
+        StructField("entity_name", StringType()),
+        StructField("year", IntegerType()),
+        StructField("category", StringType()),
+        StructField("seq", IntegerType()),
+        StructField("code", StringType()),
+        StructField("name", StringType()),
+        StructField("value", DecimalType(20, 2)),
+        StructField("unit", StringType()),
+        StructField("is_total", BooleanType()),
+        StructField("related_party", StringType()),
+        StructField("source_document", StringType()),
+        StructField("source_page", IntegerType()),
+    ]
 )
-CONTRATTI = _schema(
-    "id:int, cig:text, anno:int, oggetto:text, struttura:text, scelta_contraente:text, aggiudicatario:text, "
-    "aggiudicatario_cf:text, n_partecipanti:int, importo_aggiudicazione:money, importo_liquidato:money, data_inizio:text, "
-    "data_ultimazione:text, capitolo_code:text, source_document:text"
+CONTRATTI = StructType(
+    [
+        StructField("id", IntegerType()),
+        StructField("cig", StringType()),
+        StructField("anno", IntegerType()),
+        StructField("oggetto", StringType()),
+        StructField("struttura", StringType()),
+        StructField("scelta_contraente", StringType()),
+        StructField("aggiudicatario", StringType()),
+        StructField("aggiudicatario_cf", StringType()),
+        StructField("n_partecipanti", IntegerType()),
+        StructField("importo_aggiudicazione", DecimalType(20, 2)),
+        StructField("importo_liquidato", DecimalType(20, 2)),
+        StructField("data_inizio", StringType()),
+        StructField("data_ultimazione", StringType()),
+        StructField("capitolo_code", StringType()),
+        StructField("source_document", StringType()),
+    ]
 )
