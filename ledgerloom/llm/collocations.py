@@ -24,6 +24,7 @@ and texts without words give no rows. Texts of any length are read whole.
 
 from __future__ import annotations
 
+import gc
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ from ledgerloom.llm.common import map_batches, materialize, query, table
 
 LONGEST = 4
 SHARD_WORDS = 2_000_000
-RANGE_WORDS = 2_000_000
+RANGE_WORDS = 1_000_000
 MOST_RANGES = 1 << 18
 SAMPLE_DOCS, SAMPLE_PLACES = 4096, 256  # documents drawn for bounds, places drawn from each
 PHRASES_PER_RANGE = 200_000
@@ -76,12 +77,23 @@ class CountAutomaton:
     @classmethod
     def from_sorted(cls, words: list[bytes], paths: np.ndarray, weights: np.ndarray) -> CountAutomaton:
         """From distinct paths (rows, ended by zeros) in ascending order and their weights, one path at a time."""
+        collecting = gc.isenabled()
+        gc.disable()  # the register holds no cycles, and it is large
+        try:
+            return cls(words, *cls._registered(paths, weights))
+        finally:
+            if collecting:
+                gc.enable()
+
+    @staticmethod
+    def _registered(paths: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``sizes`` and ``flat`` of the registered states."""
         width = paths.shape[1]
         shared = np.argmax(paths[1:] != paths[:-1], axis=1).tolist()
         lengths = np.count_nonzero(paths, axis=1).tolist()
         register: dict[tuple[int, ...], int] = {}
         known = register.setdefault
-        arcs: list[list[int]] = [[0] for _ in range(width + 1)]  # of the state after each word of the path at work
+        arcs: list[list[int]] = [[0] for _ in range(width)]  # of the state after each word of the path at work
         last, held = (), 0
         for path, length, weight, common in zip(paths.tolist(), lengths, weights.tolist(), [0, *shared], strict=True):
             while held > common:  # no later path comes through these states
@@ -89,15 +101,20 @@ class CountAutomaton:
                 arcs[held] = [0]
                 held -= 1
                 arcs[held] += (last[held], known(done, len(register)))
-            arcs[length][0] = weight
-            last, held = path, length
+            if length == width:  # nothing follows a longest path, so its end is known at once
+                held = width - 1
+                arcs[held] += (path[held], known((weight,), len(register)))
+            else:
+                arcs[length][0] = weight
+                held = length
+            last = path
         while held:
             done = tuple(arcs[held])
             held -= 1
             arcs[held] += (last[held], known(done, len(register)))
         states = [*register, tuple(arcs[0])]
         sizes = np.fromiter(map(len, states), np.int64, len(states))
-        return cls(words, sizes, np.fromiter(chain.from_iterable(states), np.int64, int(sizes.sum())))
+        return sizes, np.fromiter(chain.from_iterable(states), np.int64, int(sizes.sum()))
 
     def paths(self) -> tuple[np.ndarray, np.ndarray]:
         """All paths (rows ended by zeros) and their weights, level by level."""
