@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ledgerloom import presets
 from ledgerloom.functions.text import classify_entity
 from ledgerloom.operators.entities import canonicalize
-from ledgerloom.session import materialize
 
 MONEY = "decimal(20,2)"
 
@@ -293,11 +292,6 @@ class Tables:
             F.col("p_name").alias("name"), "part",
         )
 
-    @cached_property
-    def stored_line(self) -> DataFrame:
-        """The statement lines as a stored table, which ordered scans read twice."""
-        return materialize(self.line, "lines")
-
     @cached_property
     def statement(self) -> DataFrame:
         """Entity statements with their totals; suppliers in debt do not balance."""
