@@ -27,3 +27,10 @@ def test_names_agree():
 def test_query_matches_duckdb(spark, con, key):
     ok, note = compare(spark, con, FOLDER, key, entry.queries()[key], entry.oracle_sql().get(key))
     assert ok, note
+
+
+@pytest.mark.parametrize("key", ["search_all"])
+def test_limits_take_effect_on_a_larger_table(spark, key):
+    folder = "/root/testdata/sf0.01"
+    ok, note = compare(spark, duck(folder), folder, key, entry.queries()[key], entry.oracle_sql()[key])
+    assert ok, note
