@@ -294,6 +294,42 @@ def test_suffix_dedup(docs, block, least):
         assert tuple(r)[1:] == want[r["doc_id"]], r["doc_id"]
 
 
+def brute_versions(rows):
+    """Rows that share an id, or have none, are versions: a window goes if it stands at a smaller (document, start) in any row."""
+    place = lambda doc: (doc is None, doc or 0)
+    least = {}
+    for doc, text in rows:
+        raw = text.encode()
+        for p in range(len(raw) - 99):
+            w = raw[p : p + 100]
+            least[w] = min(least.get(w, (place(doc), p)), (place(doc), p))
+    out = []
+    for doc, text in rows:
+        raw = text.encode()
+        gone = bytearray(len(raw))
+        for p in range(len(raw) - 99):
+            if (place(doc), p) > least[raw[p : p + 100]]:
+                gone[p : p + 100] = b"\1" * 100
+        spans = sum(1 for p in range(len(raw)) if gone[p] and (p == 0 or not gone[p - 1]))
+        out.append((doc, len(raw), sum(gone), spans, hashlib.sha256(bytes(b for b, g in zip(raw, gone, strict=True) if not g)).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("block", [2000, 1 << 18])
+def test_suffix_dedup_of_null_and_shared_ids(spark, block):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(40))
+    texts = [" ".join(word() for _ in range(rng.randrange(0, 12))) + passage + " ".join(word() for _ in range(rng.randrange(0, 6))) for _ in range(300)]
+    rows = [(None, t) for t in texts] + [(7, t + word()) for t in texts[:60]] + [(7, texts[0]), (3, passage), (None, texts[0])]
+    rows.append((9, " ".join(word() for _ in range(9000)) + passage + " ".join(word() for _ in range(4000)) + passage))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = suffix_dedup.suffix_dedup(docs, share=0.01, least=20, block_bytes=block).collect()
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert order(got) == order(brute_versions(rows))
+
+
 def test_suffix_dedup_of_nothing(nothing):
     assert suffix_dedup.suffix_dedup(nothing).count() == 0
 
