@@ -88,10 +88,14 @@ def ranked_by(df: DataFrame, column: str, allowed: list[str], limit: int | None
     return limited(df.orderBy(F.col(chosen).desc_nulls_last(), F.col(tie).asc_nulls_last()), limit)
 
 
-def optional_source(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet folder, or an empty table of the schema when it is not there."""
+def optional_source(spark: SparkSession, path: str, schema: T.StructType, read_as: T.StructType | None = None) -> DataFrame:
+    """A Parquet folder, or an empty table of the schema when it is not there.
+
+    ``read_as`` fixes the types also of partition columns, whose values Spark
+    would otherwise take for numbers where they look like some.
+    """
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(read_as) if read_as else spark.read).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

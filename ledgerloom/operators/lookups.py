@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.ordered import global_position, ordered_scan
 
 def borrow_labels(df: DataFrame, lookup: DataFrame, code: str = "code", name: str = "name") -> DataFrame:
     """Canonical label of the code where the lookup has one, else the own label.
@@ -75,20 +76,26 @@ def compare_members(values: DataFrame, member: str, code: str, base: str, others
 def longest_prefix(df: DataFrame, text: str, glossary: DataFrame, key: str = "prefix", label: str = "description") -> DataFrame:
     """Glossary entry with the longest prefix of the text; NULL when none fits.
 
-    Prefixes are looked up by equality: every text meets the glossary once per
-    distinct prefix length, so nothing is compared all against all.
+    An as-of merge: glossary entries and distinct texts stand in one order, and
+    the last entry at or before a text is carried to it. Whatever is a prefix of
+    the text is a prefix of that entry too, so each entry brings along the
+    entries that begin it, and the longest that begins the text counts. Of
+    several labels for one prefix the largest counts; empty texts have none.
     """
-    lengths = [r[0] for r in glossary.select(F.length(key).alias("n")).distinct().collect()]
-    if not lengths:
-        return df.withColumn(label, F.lit(None).cast("string"))
-    texts = df.select(text).distinct()
-    tries = texts.where(F.length(text) > 0).select(
-        text, F.explode(F.transform(F.array(*[F.lit(n) for n in lengths]), lambda n: F.substring(F.col(text), F.lit(1), n))).alias(key)
-    ).distinct()
-    hits = tries.join(glossary.select(key, label), key).groupBy(text).agg(
-        F.max_by(label, F.length(key)).alias(label)
+    entries = glossary.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
+    begun = entries.select(
+        "_key", F.explode(F.sequence(F.lit(0), F.length("_key"))).alias("_n")
+    ).withColumn("_begin", F.expr("substring(_key, 1, _n)"))
+    beginnings = entries.select(F.col("_key").alias("_begin"), "_label")
+    chains = begun.join(beginnings, "_begin").groupBy("_key").agg(
+        F.sort_array(F.collect_list(F.struct("_n", "_begin", "_label")), asc=False).alias("_chain")
     )
-    own = hits.select(F.col(text).alias("_text"), label)
+    texts = df.where(F.length(text) > 0).select(F.col(text).alias("_key")).distinct()
+    both = chains.withColumn("_is_text", F.lit(0)).unionByName(texts.withColumn("_is_text", F.lit(1)), allowMissingColumns=True)
+    order = global_position(both, [F.col("_key").asc(), F.col("_is_text").asc()], out="_pos")
+    merged = ordered_scan(order.withColumn("_all", F.lit(0)), ["_all"], "_pos", last={"_open": F.col("_chain")})
+    fits = F.filter("_open", lambda e: F.startswith(F.col("_key"), e["_begin"]))
+    own = merged.where(F.col("_is_text") == 1).select(F.col("_key").alias("_text"), F.get(fits, F.lit(0))["_label"].alias(label))
     return df.join(own, df[text] == own["_text"], "left").drop("_text")
 
 

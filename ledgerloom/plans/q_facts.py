@@ -7,8 +7,9 @@ from pyspark.sql import types as T
 
 from ledgerloom import presets
 from ledgerloom.functions.numbers import to_output as out
-from ledgerloom.operators import entities, facts, hierarchy
+from ledgerloom.operators import entities, facts, hierarchy, pages
 from ledgerloom.plans.registry import query
+from ledgerloom.session import scratch_path
 from ledgerloom.sources.export import export_index
 
 METRIC = "id, year, category, code, metric_name, CAST(value AS DOUBLE) AS value, unit, source_page, source_document"
@@ -55,6 +56,15 @@ def paged_facts(t):
     return _metric_columns(facts.page_of(_sourced(t), order, limit=20, offset=10))
 
 
+@query("deep_page", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 5000")
+def deep_page(t):
+    """A page far down a stored order, read from the ranges it lies in."""
+    path = scratch_path(t.spark, "ranked")
+    orders = t.raw("orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    pages.write_ranked(orders, [F.col("o_totalprice").desc(), F.col("o_orderkey").asc()], path, width=4096)
+    return pages.ranked_page(t.spark, path, offset=5000, limit=50, width=4096)
+
+
 @query("authoritative_or_all", f"""
 SELECT {METRIC} FROM {SOURCED} s WHERE doc_year = year OR NOT EXISTS (SELECT 1 FROM metric m WHERE m.document_id = m.year AND m.year = s.year)""", "metric report")
 def authoritative_or_all(t):

@@ -260,6 +260,21 @@ def replace_scope(t):
     return load.replace_scope(leaves.drop("liv1_name"), incoming.drop("liv1_name"), ["year"]).withColumn("value", out(F.col("value")))
 
 
+@query("observed_load", """
+SELECT year, kind, capitolo_code, CAST(CASE WHEN year >= 1997 THEN value * 2 ELSE value END AS DOUBLE) AS value FROM leaf""", "leaf")
+def observed_load(t):
+    """Three loads of one pass each: all years, later years anew, and one that fails its rules and changes nothing."""
+    path = scratch_path(t.spark, "observed")
+    leaves = t.leaf.select("year", "kind", "capitolo_code", F.col("value").cast("decimal(31,2)").alias("value"))
+    rules = {"valued": F.bool_and(F.col("value").isNotNull()), "positive": F.sum("value") > 0}
+    double = leaves.where("year >= 1997").withColumn("value", (F.col("value") * 2).cast("decimal(31,2)"))
+    wrong = leaves.withColumn("value", (-F.col("value")).cast("decimal(31,2)"))
+    for rows in (leaves, double, wrong):
+        load.observed_load(rows, rules, path, ["year"])
+    stored = t.spark.read.schema(leaves.schema).parquet(path)
+    return stored.select("year", "kind", "capitolo_code", out(F.col("value")).alias("value"))
+
+
 @query("surrogate_ids", """
 SELECT cig, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY anno, cig) AS id FROM contract""", "contract")
 def surrogate_ids(t):

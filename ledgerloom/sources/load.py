@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.checks import gate
 from ledgerloom.operators.ordered import global_position, ordered_dedup
+from ledgerloom.session import materialize
 
 
 def composite_checksum(*columns: str) -> Column:
@@ -79,6 +82,23 @@ def gated_load(df: DataFrame, checks: DataFrame, path: str, scope: list[str]) ->
     return True
 
 
+def observed_load(df: DataFrame, rules: dict[str, Column], path: str, scope: list[str]) -> dict[str, object]:
+    """Load a scope in one pass over the input; the target changes only when every rule holds.
+
+    ``rules`` are aggregates that give true or false over all rows (NULL, as on
+    an empty input, counts as true). They are collected while the rows are
+    written to a staging folder; if all hold, the staged rows replace the scope
+    in the target. Returns the rules' outcomes and ``rows``.
+    """
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[r.alias(n) for n, r in rules.items()])
+    staged = materialize(watched, "staging")
+    outcome = seen.get
+    if all(outcome[n] is not False for n in rules):
+        write_scope(staged, path, scope)
+    return outcome
+
+
 def audit_rows(rows: DataFrame, keys: list[str], pos: str, page: str, cells: str) -> DataFrame:
     """Raw rows as JSON objects with their page, one per row in position order.
 

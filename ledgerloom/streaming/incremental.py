@@ -10,20 +10,35 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.operators.facts import optional_source
 from ledgerloom.sources.load import new_only
 
+PREFIX = "key_prefix"
+
 
 def append_new_stream(
-    source: DataFrame, target: str, schema: T.StructType, checkpoint: str, order: str, key: str = "checksum"
+    source: DataFrame, target: str, schema: T.StructType, checkpoint: str, order: str, key: str = "checksum", prefix: int | None = None
 ) -> StreamingQuery:
     """Append the rows of a stream whose key the target does not have yet.
 
     Each micro-batch is checked against the table as it stands. A batch that
     is replayed after a failure finds its keys there and appends nothing, so
     the load is idempotent.
+
+    With ``prefix`` the target is partitioned by that many first characters of
+    the key (``key_prefix``), and a batch reads only the partitions its own
+    keys fall into; for keys in hex their number is at most 16 ** prefix.
     """
+    part = F.substring(key, 1, prefix) if prefix else None
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        registered = optional_source(batch.sparkSession, target, schema)
-        new_only(batch, registered, order, key).write.mode("append").parquet(target)
+        spark = batch.sparkSession
+        if part is None:
+            registered = optional_source(spark, target, schema)
+            new_only(batch, registered, order, key).write.mode("append").parquet(target)
+            return
+        present = [r[0] for r in batch.select(part).distinct().collect()]
+        stored = T.StructType([*schema.fields, T.StructField(PREFIX, T.StringType())])
+        registered = optional_source(spark, target, stored, read_as=stored).where(F.col(PREFIX).isin(present))
+        fresh = new_only(batch, registered, order, key).withColumn(PREFIX, part)
+        fresh.write.mode("append").partitionBy(PREFIX).parquet(target)
 
     return (
         source.writeStream.foreachBatch(load)

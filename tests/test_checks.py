@@ -1,12 +1,13 @@
 """Every check on data that passes, on data that fails and on no data."""
 
+import random
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgerloom import presets
-from ledgerloom.operators import checks, lookups
+from ledgerloom.operators import checks, lookups, pages
 
 
 def verdict(df):
@@ -153,6 +154,35 @@ def test_lookups(frame):
     assert got == {"ricavi delle vendite estere": "vendite", "ricavi": "base", "costi": None, "": None, None: None}
 
 
+def test_longest_prefix_among_nested_entries(frame):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abè") for _ in range(rng.randrange(n)))
+    entries = {word(5): f"d{k}" for k in range(60)}
+    texts = [word(9) for _ in range(400)]
+    glossary = frame([*entries.items(), (None, "none")], "prefix string, description string")
+    got = lookups.longest_prefix(frame([(t,) for t in texts], "name string"), "name", glossary).collect()
+
+    def want(text):
+        fitting = [p for p in entries if text and text.startswith(p)]
+        return entries[max(fitting, key=len)] if fitting else None
+
+    assert len(got) == len(texts)
+    assert all(r["description"] == want(r["name"]) for r in got)
+    empty = lookups.longest_prefix(frame([("a",)], "name string"), "name", glossary.where("false"))
+    assert [r["description"] for r in empty.collect()] == [None]
+
+
+def test_pages_of_a_stored_order(spark, frame, tmp_path):
+    path = str(tmp_path / "ranked")
+    table = frame([(n, -n % 7) for n in range(100)], "n int, k int")
+    pages.write_ranked(table, [F.col("k").desc(), F.col("n").asc()], path, width=16)
+    whole = [tuple(r) for r in table.orderBy(F.col("k").desc(), "n").collect()]
+    for offset, limit in ((0, 5), (14, 40), (95, 10), (200, 3)):
+        assert [tuple(r) for r in pages.ranked_page(spark, path, offset, limit, width=16).collect()] == whole[offset : offset + limit]
+    assert len(pages.ranked_page(spark, path, 33, 8, width=16).inputFiles()) >= 1
+    assert "PartitionFilters: [isnotnull(_range" in pages.ranked_page(spark, path, 33, 8, width=16)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_members_aligned_with_zero(frame):
     values = frame([("T", "01", D("10")), ("M", "01", D("5")), ("M", "02", D("15")), ("X", "09", D("1"))], "city string, code string, value decimal(20,2)")
     got = rows(lookups.compare_members(values, "city", "code", "T", ["M", "Z"]), "city", "code", "in_base", "value", "share")

@@ -1,5 +1,6 @@
 """Files, archives, XML, loads and the streaming append."""
 
+import hashlib
 import io
 import zipfile
 from decimal import Decimal as D
@@ -153,6 +154,19 @@ def test_scope_overwrite_and_gate(spark, frame, tmp_path):
     assert rows(spark.read.parquet(path), "year", "n") == [(2020, 1), (2021, 8)]
 
 
+def test_observed_load(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    rules = {"positive": F.bool_and(F.col("n") > 0), "small": F.sum("n") < 100}
+    assert load.observed_load(frame([(2020, 1), (2021, 2)], "year int, n int"), rules, path, ["year"]) == {"rows": 2, "positive": True, "small": True}
+    failed = load.observed_load(frame([(2021, 7), (2022, -1)], "year int, n int"), rules, path, ["year"])
+    assert failed == {"rows": 2, "positive": False, "small": True}
+    assert load.observed_load(frame([(2021, 99), (2021, 1)], "year int, n int"), rules, path, ["year"])["small"] is False
+    load.observed_load(frame([(2021, 8)], "year int, n int"), rules, path, ["year"])
+    nothing = load.observed_load(spark.createDataFrame([], "year int, n int"), rules, path, ["year"])
+    assert nothing == {"rows": 0, "positive": None, "small": None}
+    assert rows(spark.read.parquet(path), "year", "n") == [(2020, 1), (2021, 8)]
+
+
 def test_ids_continue(frame):
     existing = frame([(7,)], "id int", 1)
     got = load.surrogate_ids(frame([("b",), ("a",), ("c",)], "k string"), [F.col("k")], existing)
@@ -184,6 +198,25 @@ def test_stream_appends_only_new_files(spark, tmp_path):
     assert run(2) == 2  # a new query replays every file and adds nothing
 
 
+def test_stream_reads_only_the_prefixes_of_its_keys(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType()), T.StructField("checksum", T.StringType())])
+
+    def run():
+        append_new_stream(file_stream(spark, str(source)), target, schema, str(tmp_path / "ck"), "path", prefix=2).awaitTermination()
+        return sorted(r["checksum"][:8] for r in spark.read.parquet(target).collect())
+
+    (source / "a.txt").write_text("abc")
+    (source / "copy.txt").write_text("abc")
+    assert run() == ["ba7816bf"]
+    (source / "b.txt").write_text("abc")
+    (source / "c.txt").write_text("xyz")
+    other = hashlib.sha256(b"xyz").hexdigest()
+    assert run() == sorted(["ba7816bf", other[:8]])
+    assert {p.name for p in (tmp_path / "out").iterdir() if p.is_dir()} == {"key_prefix=ba", f"key_prefix={other[:2]}"}
+
+
 def test_file_checksums(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"abc")
     got = load.file_checksums(spark, str(tmp_path), "*.bin").collect()
