@@ -9,8 +9,9 @@ handled as the operators' docstrings say.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import query, table
+from ledgerloom.llm.common import free_name, query, table
 from ledgerloom.llm.mixing import mixed_copies
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.secrets import mask_secrets
@@ -23,8 +24,9 @@ from ledgerloom.session import materialize
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, learned from the labels, does not call toxic; the cut is the operator's own."""
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
-    scored = toxicity(docs, labels, names=("_held_out", "_toxicity", "_toxic"))
-    return scored.filter("_toxic = 0").select(*docs.columns)
+    names = tuple(free_name(c, docs.columns) for c in ("held_out", "toxicity", "toxic"))
+    scored = toxicity(docs, labels, names=names)
+    return scored.filter(F.col(names[2]) == 0).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

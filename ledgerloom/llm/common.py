@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import materialize
 
-__all__ = ["ORACLE", "QUERIES", "bucket_count", "map_batches", "materialize", "query", "table", "ranked_in_buckets"]
+__all__ = ["ORACLE", "QUERIES", "bucket_count", "free_name", "map_batches", "materialize", "query", "table", "ranked_in_buckets"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,6 +34,14 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores in front until no column has it in any case."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name = "_" + name
+    return name
+
+
 def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow``: one pass over Arrow batches inside each partition."""
     return df.mapInArrow(work, schema)

@@ -131,9 +131,10 @@ def mixed_copies(docs: DataFrame, share: float = 1.5, weights: tuple[float, ...]
     keys = ["doc_id", "source", "_size"]
     taken = mix_documents(docs, share, weights, cap).withColumnRenamed("size", "_size")
     taken = taken.groupBy(*keys).agg(F.ceil(F.avg("copies")).cast("int").alias("_copies")).filter("_copies > 0")
-    sized = docs.withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("_size")
+    sized = docs.select("doc_id", "source", size, F.struct(*docs.columns).alias("_row"))  # no name clashes
     again = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return same_keys(sized, taken, keys).withColumn("_copy", again).select(*docs.columns)
+    return same_keys(sized, taken, keys).select("_row", again.alias("_copy")).select("_row.*")
 
 
 @query("op6_mixing")

@@ -1,7 +1,8 @@
 """Secret scans with recursive decoding.
 
 A text is the first layer. Every layer is scanned for secrets and for encoded
-runs (URL, Unicode and HTML escapes, base64; compressed bytes inside base64);
+runs (URL, Unicode and HTML escapes, base64, also base64 broken into lines of
+one length; compressed bytes inside base64, with all their members or frames);
 each decoded run is a new layer on the worklist until nothing is left. A layer
 whose content was seen before at the same place is not taken up again, so
 cycles end. A layer keeps for each character the span of the text it came
@@ -9,7 +10,8 @@ from; a secret found in it is reported at the span that covers its characters.
 
 Only decoded bytes that are UTF-8 text without control characters make a
 layer. One compressed run may unfold to ``limit`` bytes; a run that would go
-beyond counts in ``unopened``, so a bomb is reported and does not end the job.
+beyond counts in ``unopened``, so a bomb is reported and does not end the job;
+masking stars out such a run as a whole, as nobody knows what it holds.
 
 Inputs: a null text is empty; an empty text has no spans; repeated rows and
 null ids are rows of their own; other columns are ignored; an empty table
@@ -43,6 +45,8 @@ URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}")
 ENTITY = re.compile(r"&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|&(?:amp|lt|gt|quot|apos);")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+={0,2})+")
+LINE = re.compile(r"[^\r\n]+")
 CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 
 
@@ -66,16 +70,28 @@ def inflate(data: bytes, limit: int) -> bytes | None:
     """What gzip, zlib or zstd bytes hold; None for other bytes."""
     try:
         if data[:2] == b"\x1f\x8b" or (len(data) > 1 and data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0):
-            machine = zlib.decompressobj(47)
-            out = machine.decompress(data, limit)
-            if machine.unconsumed_tail:
-                raise Unopened
-            return out if machine.eof else None
+            whole = b""
+            while True:  # a stream may hold several members; what follows the last one is padding
+                machine = zlib.decompressobj(47)
+                try:
+                    part = machine.decompress(data, max(1, limit - len(whole)))
+                except zlib.error:
+                    return whole or None
+                if machine.unconsumed_tail or len(whole) + len(part) > limit:
+                    raise Unopened
+                if not machine.eof:
+                    return whole or None
+                whole += part
+                data = machine.unused_data
+                if data[:2] != b"\x1f\x8b":
+                    return whole
         if data[:4] == b"\x28\xb5\x2f\xfd":
             import zstandard
 
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(limit + 1)
+            out = b""
+            with zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True) as reader:
+                while len(out) <= limit and (part := reader.read(limit + 1 - len(out))):
+                    out += part
             if len(out) > limit:
                 raise Unopened
             return out
@@ -112,6 +128,23 @@ def unbase64(run: str, limit: int) -> str | None:
     return readable(data)
 
 
+def wrapped(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of base64 broken into lines: lines of one length, with and without a shorter one behind them."""
+    for m in WRAPPED.finditer(text):
+        lines = [line.span() for line in LINE.finditer(text, *m.span())]
+        k = 0
+        while k < len(lines):
+            width, j = lines[k][1] - lines[k][0], k + 1
+            while j < len(lines) and lines[j][1] - lines[j][0] == width:
+                j += 1
+            if width >= 16:
+                if j < len(lines) and lines[j][1] - lines[j][0] < width:
+                    yield lines[k][0], lines[j][1]
+                if j > k + 1:
+                    yield lines[k][0], lines[j - 1][1]
+            k = j
+
+
 def escape(run: str) -> str:
     """The character of one Unicode escape."""
     code = int(run[2:].strip("{}"), 16)
@@ -138,8 +171,8 @@ def replaced(text: str, pattern: re.Pattern, decode) -> tuple[str, np.ndarray, n
     return "".join(out), np.concatenate(starts), np.concatenate(ends)
 
 
-def unwrapped(text: str, limit: int) -> Iterator[tuple[str, np.ndarray, np.ndarray] | Unopened]:
-    """The layers directly inside a layer."""
+def unwrapped(text: str, limit: int) -> Iterator[tuple[str | None, np.ndarray, np.ndarray]]:
+    """The layers directly inside a layer, with no text for a run that stays unopened."""
     if "%" in text and (layer := replaced(text, URL, lambda r: readable(bytes.fromhex(r.replace("%", ""))))):
         yield layer
     if "\\" in text:
@@ -151,39 +184,48 @@ def unwrapped(text: str, limit: int) -> Iterator[tuple[str, np.ndarray, np.ndarr
             yield layer
     if "&" in text and (layer := replaced(text, ENTITY, html.unescape)):
         yield layer
-    for m in BASE64.finditer(text):
+    runs = [m.span() for m in BASE64.finditer(text)]
+    if "\n" in text:
+        runs += wrapped(text)
+    for a, b in runs:
         try:
-            inner = unbase64(m[0], limit)
-        except Unopened as e:
-            yield e
+            inner = unbase64(text[a:b].replace("\r", "").replace("\n", ""), limit)
+        except Unopened:
+            yield None, np.array([a]), np.array([b])
             continue
         if inner:
-            yield inner, np.full(len(inner), m.start()), np.full(len(inner), m.end())
+            yield inner, np.full(len(inner), a), np.full(len(inner), b)
 
 
 def scan(text: str | None, limit: int = 1 << 24) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
     """Spans of the text itself, spans of all layers, and how many runs stayed unopened."""
+    base, spans, closed = layers(text, limit)
+    return base, spans, len(closed)
+
+
+def layers(text: str | None, limit: int = 1 << 24) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], list[tuple[int, int]]]:
+    """Spans of the text itself, spans of all layers, and the spans of runs that stayed unopened."""
     text = text or ""
     base = find(text)
-    spans, unopened = set(base), 0
+    spans, closed = set(base), set()
     work: list[tuple[str, np.ndarray | None, np.ndarray | None]] = [(text, None, None)]
     seen = {(text, 0, len(text))}
     while work:
         layer, starts, ends = work.pop()
         for item in unwrapped(layer, limit):
-            if isinstance(item, Unopened):
-                unopened += 1
-                continue
             inner, a, b = item
             if starts is not None:
                 a, b = starts[a], ends[b - 1]
+            if inner is None:
+                closed.add((int(a[0]), int(b[-1])))
+                continue
             if not inner or (key := (inner, int(a[0]), int(b[-1]))) in seen:
                 continue
             seen.add(key)
             spans.update((kind, int(a[s]), int(b[e - 1])) for kind, s, e in find(inner))
             work.append((inner, a, b))
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
-    return sorted(base, key=order), sorted(spans, key=order), unopened
+    return sorted(base, key=order), sorted(spans, key=order), sorted(closed)
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -202,8 +244,19 @@ def scan_documents(docs: DataFrame, limit: int = 1 << 24) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), work, "doc_id long, base_spans string, spans string, unopened long")
 
 
+def starred(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text with the characters of all spans, which may overlap, replaced by ``*``."""
+    out, at = [], 0
+    for a, b in sorted(spans):
+        if b > at:
+            a = max(a, at)
+            out += [text[at:a], "*" * (b - a)]
+            at = b
+    return "".join([*out, text[at:]])
+
+
 def mask_secrets(docs: DataFrame, limit: int = 1 << 24) -> DataFrame:
-    """The documents with every found span's characters replaced by ``*``; the other columns stay."""
+    """The documents with the characters of every found span and unopened run replaced by ``*``; the other columns stay."""
     columns = docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +265,8 @@ def mask_secrets(docs: DataFrame, limit: int = 1 << 24) -> DataFrame:
             texts = []
             for value in batch.column(at):
                 text = value.as_py()
-                _, spans, _ = scan(text, limit)
-                for _, a, b in spans:
-                    text = text[:a] + "*" * (b - a) + text[b:]
-                texts.append(text)
+                _, spans, closed = layers(text, limit)
+                texts.append(starred(text, [(a, b) for _, a, b in spans] + closed) if spans or closed else text)
             arrays = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(len(columns))]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 

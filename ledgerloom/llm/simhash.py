@@ -421,10 +421,10 @@ def near_dedup(docs: DataFrame, shingle: int = 5) -> DataFrame:
     copy = (F.col("doc_id") != F.col("component_id")) | (F.col("_text_hash") != F.col("kept"))
     gone = found.join(kept, "root").groupBy(*key).agg(F.bool_or(copy).alias("copy"), F.count(F.lit(1)).alias("rows"))
     marked = materialize(gone.filter("copy OR rows > 1"), "wide-copies")
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    single = hashed.join(marked, key, "left_anti").select(*docs.columns)
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("_text_hash"), F.struct(*docs.columns).alias("row"))  # no name clashes
+    single = hashed.join(marked, key, "left_anti").select("row.*")
     again = hashed.join(marked.filter("NOT copy").select(*key), key, "left_semi")
-    again = again.groupBy(*key).agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("row"))
+    again = again.groupBy(*key).agg(F.min("row").alias("row"))
     return single.unionByName(again.select("row.*"))
 
 
