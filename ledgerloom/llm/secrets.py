@@ -128,8 +128,8 @@ def unbase64(run: str, limit: int) -> str | None:
     return readable(data)
 
 
-def wrapped(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of base64 broken into lines: lines of one length, with and without a shorter one behind them."""
+def wrapped(text: str) -> Iterator[tuple[int, list[int]]]:
+    """Starts and possible ends of base64 broken into lines: lines of one length, without and with a shorter one behind them."""
     for m in WRAPPED.finditer(text):
         lines = [line.span() for line in LINE.finditer(text, *m.span())]
         k = 0
@@ -138,10 +138,11 @@ def wrapped(text: str) -> Iterator[tuple[int, int]]:
             while j < len(lines) and lines[j][1] - lines[j][0] == width:
                 j += 1
             if width >= 16:
+                ends = [lines[j - 1][1]] if j > k + 1 else []
                 if j < len(lines) and lines[j][1] - lines[j][0] < width:
-                    yield lines[k][0], lines[j][1]
-                if j > k + 1:
-                    yield lines[k][0], lines[j - 1][1]
+                    ends.append(lines[j][1])
+                if ends:
+                    yield lines[k][0], ends
             k = j
 
 
@@ -184,17 +185,22 @@ def unwrapped(text: str, limit: int) -> Iterator[tuple[str | None, np.ndarray, n
             yield layer
     if "&" in text and (layer := replaced(text, ENTITY, html.unescape)):
         yield layer
-    runs = [m.span() for m in BASE64.finditer(text)]
+    runs = [(m.start(), [m.end()]) for m in BASE64.finditer(text)]
     if "\n" in text:
         runs += wrapped(text)
-    for a, b in runs:
+    for a, ends in runs:
+        best, span = None, 0
         try:
-            inner = unbase64(text[a:b].replace("\r", "").replace("\n", ""), limit)
+            for b in ends:
+                span = b
+                inner = unbase64(text[a:b].replace("\r", "").replace("\n", ""), limit)
+                if inner and (best is None or inner != best[0]):  # a longer run counts if it holds more
+                    best = inner, b
         except Unopened:
-            yield None, np.array([a]), np.array([b])
+            yield None, np.array([a]), np.array([span])
             continue
-        if inner:
-            yield inner, np.full(len(inner), a), np.full(len(inner), b)
+        if best:
+            yield best[0], np.full(len(best[0]), a), np.full(len(best[0]), best[1])
 
 
 def scan(text: str | None, limit: int = 1 << 24) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
