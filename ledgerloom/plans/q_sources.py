@@ -14,6 +14,7 @@ from ledgerloom.session import scratch_path
 from ledgerloom.sources import archives, load, readers
 
 MONEY = "decimal(20,2)"
+XML_RECORDS = 50_000  # records per written file
 
 
 @query("src_delimited", """
@@ -81,7 +82,9 @@ def src_xml_records(t):
         F.struct(begin.alias("dataInizio")).alias("tempiCompletamento"),
     )
     path = scratch_path(t.spark, "xml")
-    records.write.format("xml").option("rootTag", "pubblicazione").option("rowTag", "lotto").save(path)
+    # A file is read whole by one task, so files are kept small.
+    writer = records.write.format("xml").option("rootTag", "pubblicazione").option("rowTag", "lotto")
+    writer.option("maxRecordsPerFile", XML_RECORDS).option("compression", "gzip").save(path)
     rows = readers.read_contract_xml(t.spark, path)
     return rows.select(
         "cig", "oggetto", "struttura", "aggiudicatario", "n_partecipanti",
