@@ -143,12 +143,20 @@ VALUATION_ENTRY = r"\bE[PI]\s*\d+\b"
 
 def cells_to_metrics(rows: DataFrame, specs: list[tuple[str, str, int]], cells: str = "cells") -> DataFrame:
     """One row per metric whose cell reads as a percentage or an amount."""
+    return _inline_metrics(rows, _metrics(specs, cells), cells)
+
+
+def _metrics(specs: list[tuple[str, str, int]], cells: str) -> Column:
     def metric(name: str, unit: str, index: int) -> Column:
         text = C.cell(F.col(cells), index)
         value = parse_percent(text) if unit == "PCT" else parse_localized_decimal(text, 20, 4)
         return F.struct(F.lit(name).alias("metric_name"), value.cast("decimal(20,4)").alias("value"), F.lit(unit).alias("unit"))
 
-    found = F.filter(F.array(*[metric(*s) for s in specs]), lambda m: m["value"].isNotNull())
+    return F.array(*[metric(*s) for s in specs])
+
+
+def _inline_metrics(rows: DataFrame, metrics: Column, cells: str) -> DataFrame:
+    found = F.filter(metrics, lambda m: m["value"].isNotNull())
     return rows.select(*[c for c in rows.columns if c != cells], F.inline(found))
 
 
@@ -184,11 +192,10 @@ def valuation_metrics(
             "source": F.when(F.col(page).isin(*indirect_pages), "valutazione_indiretta").otherwise("valutazione_diretta"),
         }
     )
-    spec = lambda at: [(n, u, i) for (n, u), i in zip(VALUATION_NAMES, at)]
+    spec = lambda at: _metrics([(n, u, i) for (n, u), i in zip(VALUATION_NAMES, at)], cells)
     wide = F.size(cells) >= VALUATION_WIDE_CELLS
-    return cells_to_metrics(named.where(wide), spec(VALUATION_WIDE), cells).unionByName(
-        cells_to_metrics(named.where(~wide), spec(VALUATION_NARROW), cells)
-    )
+    found = F.when(wide, spec(VALUATION_WIDE)).otherwise(spec(VALUATION_NARROW))
+    return _inline_metrics(named, found, cells)
 
 
 def paired_metrics(

@@ -6,6 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from ledgerloom import presets
+from ledgerloom.operators import blocks, ordered
 from ledgerloom.plans import q_sources
 from ledgerloom.plans.registry import QUERIES
 
@@ -25,3 +27,33 @@ def test_contract_files_hold_few_records(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(q_sources, "XML_RECORDS", 10)
     assert QUERIES["src_xml_records"](spark, f"{tmp_path}/t").count() == 40
     assert len(list(Path(f"{tmp_path}/xml").glob("part-*"))) >= 4
+
+
+def test_block_cells_send_a_row_per_block(spark):
+    """After the scan one exchange follows; the cells are grouped where their slice lies."""
+    lines = [("d", p, cells) for p, cells in enumerate([["a", "", ""], ["", "x", ""], ["", "y", "z"], ["b", "", ""], ["", "", "w", "q"]])]
+    df = spark.createDataFrame(lines, "doc string, pos int, cells array<string>")
+    for width in (1, 2, ordered.SLICE):
+        made = ordered.coalesce_block_cells(df, ["doc"], "pos", F.col("cells")[0] != "", "cells", width=width)
+        assert {r["block"]: r["cells"] for r in made.collect()} == {1: ["a", "x", "z"], 2: ["b", "", "w", "q"]}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Window [")]
+    assert above.count("Exchange hashpartitioning") == 1
+
+
+def test_block_cells_without_position_keep_their_size_only(spark):
+    lines = [("d", 0, ["a", ""]), ("d", 1, ["", "x"]), ("d", None, ["b", "y", "z"])]
+    df = spark.createDataFrame(lines, "doc string, pos int, cells array<string>")
+    made = ordered.coalesce_block_cells(df, ["doc"], "pos", F.col("cells")[0] != "", "cells")
+    assert [r["cells"] for r in made.collect()] == [["a", "x", ""]]
+
+
+def test_summary_of_repeated_lines_reads_the_first_token(spark):
+    """Of lines at one position the token printed first counts; lines pass the scan in one exchange, blocks in another."""
+    lines = [("d", 1, "TITOLO 1: uno RS 1,00 A"), ("d", 2, "9,00 CP 5,00 A 7,00 TR"), ("d", 2, "9,00 CP 5,00 A 7,00 TR")]
+    df = spark.createDataFrame(lines, "doc string, pos int, line string").withColumn("page", F.lit(1))
+    made = blocks.parse_summary(df, ["doc"], "pos", "line", "page", presets.REVENUE_SUMMARY)
+    assert {r["measure"]: int(r["value"]) for r in made.collect()} == {"previsioni": 5, "accertamenti": 9, "riscossioni_totali": 9}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Window [")]
+    assert above.count("Exchange hashpartitioning") == 1 and "Generate posexplode" not in above
