@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import is_amount, parse_localized_decimal
+from ledgerloom.functions.numbers import amount_value, is_amount
 
 # Fixed value: a section letter, a roman numeral or a dotted line number.
 CODE_CELL = r"^(?:[A-Za-z]|[IVXLCDM]+|\d+(?:\.\d+)*)$"
@@ -20,22 +20,27 @@ def clean_cells(cells: Column) -> Column:
     return F.transform(cells, lambda c: F.coalesce(F.trim(F.regexp_replace(c, r"\s+", " ")), F.lit("")))
 
 
-def amounts(cells: Column) -> Column:
-    """Every amount in the row, in printed order."""
-    return F.transform(F.filter(cells, lambda c: is_amount(c)), lambda c: parse_localized_decimal(c))
+def amount_marks(cells: Column) -> Column:
+    """For every cell a struct with its amount, NULL where it is none: the pattern is matched once per cell."""
+    return F.transform(cells, lambda c: F.when(is_amount(c), F.struct(amount_value(c).alias("value"))))
 
 
-def leading_cells(cells: Column) -> Column:
+def amounts(marks: Column) -> Column:
+    """Every amount in the row, in printed order, from the marks of its cells."""
+    return F.transform(F.filter(marks, lambda m: m.isNotNull()), lambda m: m["value"])
+
+
+def leading_cells(cells: Column, marks: Column) -> Column:
     """Filled cells before the first amount."""
-    flags = F.transform(cells, lambda c: is_amount(c))
-    first = F.coalesce(F.array_position(flags, F.lit(True)).cast("int"), F.lit(0))
+    first = F.coalesce(F.array_position(F.transform(marks, lambda m: m.isNotNull()), F.lit(True)).cast("int"), F.lit(0))
     # No amount leaves position 0, and then the whole row leads.
     return filled(F.slice(cells, F.lit(1), F.when(first > 0, first - 1).otherwise(F.size(cells))))
 
 
 def with_parts(df: DataFrame, cells: str, lead: str = "_lead", found: str = "_amounts") -> DataFrame:
     """Add the leading cells and the amounts of a row, each worked out once."""
-    return df.withColumns({lead: leading_cells(F.col(cells)), found: amounts(F.col(cells))})
+    marked = df.withColumn("_marks", amount_marks(F.col(cells)))
+    return marked.withColumns({lead: leading_cells(F.col(cells), F.col("_marks")), found: amounts(F.col("_marks"))}).drop("_marks")
 
 
 def is_code(cell_text: Column) -> Column:
@@ -57,10 +62,15 @@ def letters(cell: Column) -> Column:
     return F.length(F.regexp_replace(cell, "[^A-Za-zÀ-ÿ]", ""))
 
 
+def wordiest(lead: Column, found: Column) -> Column:
+    """The wordiest leading cell as a struct of its letters ``n`` and ``cell``; of equals the first; NULL without amounts."""
+    ranked = F.transform(lead, lambda c, i: F.struct(letters(c).alias("n"), (-i).alias("o"), c.alias("cell")))
+    return F.when(F.size(found) > 0, F.array_max(ranked))
+
+
 def row_label(lead: Column, found: Column) -> Column:
     """The wordiest leading cell; of equals the first; empty without amounts."""
-    ranked = F.transform(lead, lambda c, i: F.struct(letters(c).alias("n"), (-i).alias("o"), c.alias("cell")))
-    return F.coalesce(F.when(F.size(found) > 0, F.array_max(ranked)["cell"]), F.lit(""))
+    return F.coalesce(wordiest(lead, found)["cell"], F.lit(""))
 
 
 def header_text(rows: Column, n: int = 3) -> Column:

@@ -68,13 +68,14 @@ def unfold_note_tables(tables: DataFrame, year: int, rows: str = "rows") -> Data
     }
     known = F.create_map(*[x for k, v in periods.items() for x in (F.lit(k), F.array(*[F.lit(p) for p in v]))])
     rest = [c for c in tables.columns if c != rows]
+    # Conditions stand inside the generators: a filter above a column would be pushed below it and work it out again.
     headed = tables.withColumn("_head", C.header_text(F.col(rows)))
-    kinds = headed.withColumn("kind", note_kind(F.col("_head"), year)).where(F.col("kind").isNotNull())
-    lines = C.with_parts(kinds.select(*rest, "kind", F.posexplode(rows).alias("row_no", "_cells")), "_cells").withColumn(
-        "voce", C.row_label(F.col("_lead"), F.col("_amounts"))
-    )
-    usable = lines.where(C.letters(F.col("voce")) >= 3)
-    flat = usable.select(*rest, "kind", "row_no", "voce", F.posexplode("_amounts").alias("_i", "value"))
+    kind = F.filter(F.array(note_kind(F.col("_head"), year)), lambda k: k.isNotNull())
+    kinds = headed.select(*rest, rows, F.explode(kind).alias("kind"))
+    each = F.posexplode(F.when(F.col("kind") != "", F.col(rows))).alias("row_no", "_cells")
+    lines = C.with_parts(kinds.select(*rest, "kind", each), "_cells").withColumn("_best", C.wordiest(F.col("_lead"), F.col("_amounts")))
+    usable = F.when(F.col("_best.n") >= 3, F.col("_amounts"))
+    flat = lines.select(*rest, "kind", "row_no", F.col("_best.cell").alias("voce"), F.posexplode(usable).alias("_i", "value"))
     period = F.coalesce(F.try_element_at(known[F.col("kind")], F.col("_i") + 1), F.concat(F.lit("v"), (F.col("_i") + 1).cast("string")))
     return flat.withColumn("period", period).drop("_i")
 

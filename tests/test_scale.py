@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.operators import blocks, ordered
+from ledgerloom.operators import blocks, ordered, tables
 from ledgerloom.plans import q_sources
 from ledgerloom.plans.registry import QUERIES
 
@@ -57,3 +57,15 @@ def test_summary_of_repeated_lines_reads_the_first_token(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     above = plan[: plan.index("Window [")]
     assert above.count("Exchange hashpartitioning") == 1 and "Generate posexplode" not in above
+
+
+def test_note_tables_match_each_cell_once(spark):
+    """Conditions stay above the columns they read: the amount pattern, the letter count and the header text are in the plan once."""
+    head, note = ["Descrizione", None, "31.12.2024"], ["12", None, "Crediti verso", "(1.000,00)", "x", "\u00a0- 5,50 "]
+    data = [(1, [head, ["ab", "1,00"], note, None, ["Debiti", "7"]]), (2, [["altro"], note]), (3, None), (4, [])]
+    df = spark.createDataFrame(data, "t int, rows array<array<string>>")
+    made = tables.unfold_note_tables(df, 2024)
+    got = sorted((r["t"], r["row_no"], r["voce"], r["period"], str(r["value"])) for r in made.collect())
+    assert got == [(1, 2, "Crediti verso", "2024", "-1000.00"), (1, 2, "Crediti verso", "v2", "-5.50")]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == plan.count("regexp_replace") == plan.count("lower(") == 1
