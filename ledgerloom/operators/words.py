@@ -45,12 +45,15 @@ def visual_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> Da
     far = F.coalesce((F.col("top") - above > tolerance).cast("int"), F.lit(0))
     order = Window.partitionBy(*keys).orderBy("top").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     own = ["x0", "top", *[c for c in words.columns if c not in (*keys, "x0", "top")]]
-    marked = words.withColumn("_far", far).withColumn("_run", F.sum("_far").over(order))
+    # Packed before the shuffle, where it is compiled; the grouping below would build the struct field by field.
+    packed = words.select(*keys, "top", F.struct(*own).alias("_w"))
+    marked = packed.withColumn("_far", far).withColumn("_run", F.sum("_far").over(order))
     runs = marked.groupBy(*keys, "_run").agg(
-        F.array_sort(F.collect_list(F.struct(*own))).alias("_all"), F.sort_array(F.collect_set("top")).alias("_tops")
+        F.sort_array(F.collect_list("_w")).alias("_all"), F.min("top").alias("_first"), F.max("top").alias("_last")
     )
-    one = F.element_at("_tops", -1) - F.element_at("_tops", 1) <= tolerance
-    starts = F.when(one, F.slice("_tops", 1, 1)).otherwise(_row_starts(F.col("_tops"), tolerance))
+    one = F.col("_last") - F.col("_first") <= tolerance
+    tops = F.sort_array(F.array_distinct(F.filter(F.transform("_all", lambda w: w["top"]), lambda t: t.isNotNull())))
+    starts = F.when(one, F.array("_first")).otherwise(_row_starts(tops, tolerance))
     rows = runs.withColumn("_starts", starts).select(
         *keys, "_all", F.size("_starts").alias("_n"), F.posexplode("_starts").alias("_i", "row_top"), F.try_element_at("_starts", F.col("_i") + 2).alias("_next")
     )
@@ -63,9 +66,13 @@ def cluster_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> D
     return visual_rows(words, keys, tolerance).select(*keys, "row_top", F.inline("_words")).select(*words.columns, "row_top")
 
 
-def printed_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> DataFrame:
-    """Visual rows with their words from left to right, numbers already read."""
-    return visual_rows(with_noisy_integer(words.select(*keys, "x0", "top", "x1", "text"), "text", "n"), keys, tolerance)
+def printed_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5, marks: dict[str, Column] | None = None) -> DataFrame:
+    """Visual rows with their words from left to right, numbers already read.
+
+    ``marks`` are further fields of a word, worked out before the words are gathered.
+    """
+    read = with_noisy_integer(words.select(*keys, "x0", "top", "x1", "text"), "text", "n")
+    return visual_rows(read.withColumns(marks or {}), keys, tolerance)
 
 
 def _texts(words: Column) -> Column:
@@ -77,6 +84,10 @@ def _right_most(words: Column) -> Column:
     return F.array_max(F.transform(words, lambda w: F.struct(w["x1"].alias("a"), (-w["x0"]).alias("b"), w["n"].alias("n"))))["n"]
 
 
+# what a word is in the civil-code layout
+MONTHS, LABEL, CURRENT, PRIOR = range(4)
+
+
 def assign_columns(words: DataFrame, keys: list[str], layout: dict = presets.CIVIL_LAYOUT) -> DataFrame:
     """Words to visual rows as ``label, current, prior`` in the civil-code layout.
 
@@ -84,24 +95,18 @@ def assign_columns(words: DataFrame, keys: list[str], layout: dict = presets.CIV
     current year; "12 mesi" is a heading, not a number. The current year keeps
     the first of two equally placed numbers and the prior year the last.
     """
-    rows = printed_rows(words, keys, layout["row_tolerance"])
-
-    def placed(w: Column, i: Column) -> Column:
-        heading = F.coalesce(F.lower(F.try_element_at(F.col("_words"), i + 2)["text"]) == "mesi", F.lit(False))
-        column = F.when(w["x1"] >= layout["prior_x1_min"], "prior").when(w["x1"] >= layout["current_x1_min"], "current")
-        return F.struct(
-            w["x0"].alias("x0"), w["x1"].alias("x1"), w["text"].alias("text"), w["n"].alias("n"),
-            F.when(w["n"].isNotNull() & ~heading, column).alias("column"),
-        )
-
-    split = rows.select(*keys, "row_top", F.transform("_words", placed).alias("_placed"))
-    of = lambda name: F.filter("_placed", lambda w: w["column"] == name)
-    return split.select(
+    number = F.when(F.col("x1") >= layout["prior_x1_min"], PRIOR).when(F.col("x1") >= layout["current_x1_min"], CURRENT)
+    months = F.when(F.lower("text") == "mesi", MONTHS)
+    marks = {"kind": F.coalesce(F.when(F.col("n").isNotNull(), number), months, F.lit(LABEL)).cast("tinyint")}
+    rows = printed_rows(words, keys, layout["row_tolerance"], marks)
+    heading = lambda i: F.coalesce(F.try_element_at(F.col("_words"), i + 2)["kind"] == MONTHS, F.lit(False))
+    of = lambda kind: F.filter("_words", lambda w, i: (w["kind"] == kind) & ~heading(i))
+    return rows.select(
         *keys,
         "row_top",
-        _texts(F.filter("_placed", lambda w: w["column"].isNull())).alias("label"),
-        _right_most(of("current")).alias("current"),
-        F.try_element_at(of("prior"), F.lit(-1))["n"].alias("prior"),
+        _texts(F.filter("_words", lambda w, i: (w["kind"] < CURRENT) | heading(i))).alias("label"),
+        _right_most(of(CURRENT)).alias("current"),
+        F.try_element_at(of(PRIOR), F.lit(-1))["n"].alias("prior"),
     )
 
 

@@ -7,7 +7,8 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.operators import blocks, ordered, tables
+from ledgerloom.functions import numbers
+from ledgerloom.operators import blocks, ordered, tables, words
 from ledgerloom.plans import q_sources
 from ledgerloom.plans.registry import QUERIES
 
@@ -69,3 +70,25 @@ def test_note_tables_match_each_cell_once(spark):
     assert got == [(1, 2, "Crediti verso", "2024", "-1000.00"), (1, 2, "Crediti verso", "v2", "-5.50")]
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RLIKE") == plan.count("regexp_replace") == plan.count("lower(") == 1
+
+
+def test_words_are_packed_before_the_shuffle(spark):
+    """Words become structs in compiled code below the exchange; a run keeps its ends, not a set of its baselines."""
+    page = [
+        ("1)", 50.0, 60.0, 10.0), ("Crediti", 70.0, 100.0, 10.5), ("12", 230.0, 400.0, 10.0), ("mesi", 255.0, 275.0, 10.0),
+        ("1.234", 390.0, 432.0, 11.5), ("(5)", 395.0, 432.0, 11.5), ("77", 520.0, 560.0, 11.5), (None, 530.0, 560.0, 11.5), ("9,5", 540.0, 560.0, 11.5),
+        ("a", 50.0, 60.0, 30.0), ("b", 60.0, 70.0, 33.0), ("8", 390.0, None, 36.0), ("_.1_2", 390.0, 430.0, 36.0),
+    ]
+    df = spark.createDataFrame([(1, *w) for w in page] + [(2, "x", 1.0, 2.0, None)], "doc int, text string, x0 double, x1 double, top double")
+    made = words.assign_columns(df, ["doc"])
+    got = sorted(tuple(r) for r in made.collect())
+    assert got == [(1, 10.0, "1) Crediti 12 mesi 9,5", 1234, 77), (1, 30.0, "a b", None, None), (1, 36.0, "8", 12, None)]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and plan.count("collect_list(_w") == 1
+
+
+def test_numbers_are_read_alike_as_column_and_in_steps(spark):
+    tokens = ["12", "1.234", "1.234.567", "12.34", "1.23", "0007", "9" * 18, "9" * 19, "9" * 25, "12\n", " 12 ", "(12)", "(1.234", "x12", "12.", "1.234_", "a", "", "-", "1,5", "1.234.", "١٢", None]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    got = numbers.with_noisy_integer(df, "t", "n").select("t", "n", numbers.parse_noisy_integer(F.col("t")).alias("m")).collect()
+    assert all(r["n"] == r["m"] for r in got) and [r["n"] for r in got][:3] == [12, 1234, 1234567]
