@@ -24,10 +24,15 @@ def normalize_statement_rows(rows: DataFrame, cells: str = "cells") -> DataFrame
 
 
 def largest_table(tables: DataFrame, keys: list[str], index: str = "table_index", rows: str = "rows") -> DataFrame:
-    """The table with most rows on each page; of equals the first."""
+    """The table with most rows on each page; of equals the first.
+
+    The grouping sorts whole tables, so they are dealt anew before it, in
+    partitions that Spark sizes by the tables and not by what they are made from.
+    """
+    dealt = tables.hint("rebalance", *[F.col(c) for c in (*keys, index)])
     size = F.struct(F.size(rows).alias("n"), (-F.col(index)).alias("i"))
     rest = [c for c in tables.columns if c not in keys]
-    return tables.groupBy(*keys).agg(F.max_by(F.struct(*rest), size).alias("_t")).select(*keys, "_t.*")
+    return dealt.groupBy(*keys).agg(F.max_by(F.struct(*rest), size).alias("_t")).select(*keys, "_t.*")
 
 
 def sizable_tables(tables: DataFrame, min_rows: int = 3, rows: str = "rows") -> DataFrame:

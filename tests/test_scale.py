@@ -92,3 +92,12 @@ def test_numbers_are_read_alike_as_column_and_in_steps(spark):
     df = spark.createDataFrame([(t,) for t in tokens], "t string")
     got = numbers.with_noisy_integer(df, "t", "n").select("t", "n", numbers.parse_noisy_integer(F.col("t")).alias("m")).collect()
     assert all(r["n"] == r["m"] for r in got) and [r["n"] for r in got][:3] == [12, 1234, 1234567]
+
+
+def test_tables_are_dealt_by_size_before_they_are_sorted(spark):
+    data = [("p", 2, [["a"], ["b"]]), ("p", 1, [["c"], ["d"]]), ("p", 0, [["e"]]), (None, 0, []), (None, 1, [["f"]]), ("q", 5, None)]
+    df = spark.createDataFrame(data, "page string, table_index int, rows array<array<string>>")
+    made = tables.largest_table(df, ["page"])
+    assert {r["page"]: (r["table_index"], r["rows"]) for r in made.collect()} == {"p": (1, [["c"], ["d"]]), None: (1, [["f"]]), "q": (5, None)}
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RebalancePartitions")
