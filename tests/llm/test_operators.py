@@ -295,6 +295,29 @@ def test_suffix_dedup(docs, block, least):
         assert tuple(r)[1:] == want[r["doc_id"]], r["doc_id"]
 
 
+def test_suffix_array_of_segments(monkeypatch):
+    """Segments are sorted to their own ends: few rounds however often one comes back, prefixes as in a plain sort."""
+    rng = random.Random(3)
+    some = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(100, 184))) for _ in range(5)]
+    texts = [rng.choice(some)[rng.randrange(3) :] + bytes(rng.choice(b"ab") for _ in range(rng.randrange(3))) for _ in range(60)] + [some[0]] * 300
+    segments = [(1, k, 0, 0, len(t) - 99, t) for k, t in enumerate(texts) if len(t) >= 100]
+    sort, calls = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: calls.append(1) or sort(*a, **k))
+    block = suffix_dedup.Block(segments)
+    assert len(calls) <= 5  # three rounds, the first sort and the order of the walk
+    rest = [t[k:] + b"\xff" for *_, t in segments for k in range(len(t) + 1)]
+    assert block.sa.tolist() == sorted(range(len(rest)), key=lambda p: (rest[p], p))
+    first = {}
+    for p, text in enumerate(rest):
+        first.setdefault(text[:100], p)
+    windows = [b + k for b, c in zip(block.begins.tolist(), block.counts.tolist(), strict=True) for k in range(c)]
+    assert np.flatnonzero(block.windows).tolist() == windows
+    for i, (a, b) in enumerate(zip(block.sa.tolist(), block.sa[1:].tolist(), strict=False)):
+        if block.windows[b]:
+            assert (block.prefix[b] >= 100) == (rest[a][:100] == rest[b][:100]), i
+    assert np.flatnonzero(block.repeated()).tolist() == [p for p in windows if first[rest[p][:100]] < p]
+
+
 def brute_versions(rows):
     """Rows that share an id, or have none, are versions: a window goes if it stands at a smaller (document, start) in any row."""
     place = lambda doc: (doc is None, doc or 0)
