@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from conftest import rows
+from ledgerloom import presets
 from ledgerloom.operators import blocks, ordered
 
 
@@ -43,3 +44,14 @@ def test_leaf_lines_are_shuffled_once(frame):
         made = blocks.parse_leaves(df, ["doc"], "pos", "line", "page", width).withColumn("value", F.col("value").cast("string"))
         assert rows(made, "leaf_code", "kind", "leaf_name", "measure", "value") == sorted(want * 2)
     assert exchanges(made) == 1
+
+
+def test_lines_are_read_behind_the_shuffle(frame):
+    """The shuffle carries the printed line, not what the patterns find in it; of spending blocks too."""
+    df = frame(leaf_lines(), "doc string, pos int, page int, line string")
+    plan = blocks.parse_leaves(df, ["doc"], "pos", "line", "page")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "regexp_extract" not in below and "_src" not in below
+    plan = blocks.parse_summary(df, ["doc"], "pos", "line", "page", presets.SPENDING_SUMMARY)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "regexp_extract" not in below and "RLIKE" not in below
