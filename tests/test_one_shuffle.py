@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -55,3 +58,19 @@ def test_lines_are_read_behind_the_shuffle(frame):
     plan = blocks.parse_summary(df, ["doc"], "pos", "line", "page", presets.SPENDING_SUMMARY)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.rindex("Exchange hashpartitioning") :]
     assert "regexp_extract" not in below and "RLIKE" not in below
+
+
+@pytest.mark.parametrize("width", [7, ordered.SLICE])
+def test_what_follows_is_not_worked_out_anew_per_row(frame, width):
+    rnd = random.Random(3)
+    data = [(d, p, rnd.choice([None, None, p])) for d in (1, 2) for p in range(40)]
+    df = frame(data, "doc int, pos int, v int")
+    for spans in (None, width < 40):
+        got = ordered.ordered_scan(df, ["doc"], "pos", following={"own": F.col("v"), "later": F.col("v")}, before=("later",), width=width, spans=spans)
+        first = lambda d, p: next((r[2] for r in data if r[0] == d and r[1] >= p and r[2] is not None), None)
+        assert rows(got.select("doc", "pos", F.coalesce("own", F.lit(-1)), F.coalesce("later", F.lit(-1)))) == sorted(
+            (d, p, -1 if first(d, p) is None else first(d, p), -1 if first(d, p + 1) is None else first(d, p + 1)) for d, p, _ in data
+        )
+    # The rows handed from slice to slice, few as they are, may still be read to the end.
+    if spans is False:
+        assert "unboundedfollowing" not in plan_of(got).lower()
