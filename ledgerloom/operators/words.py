@@ -15,7 +15,7 @@ from ledgerloom import presets
 from ledgerloom.functions.numbers import scale_units, with_noisy_integer
 from ledgerloom.functions.text import clean_line_name, is_total_line, line_code, related_party
 from ledgerloom.operators.facts import two_years
-from ledgerloom.operators.ordered import block_ids, join_lines, neighbours, row_index
+from ledgerloom.operators.ordered import SLICE, block_ids, join_lines, neighbours, positions, row_index
 from ledgerloom.session import materialize
 
 
@@ -66,12 +66,28 @@ def cluster_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5) -> D
     return visual_rows(words, keys, tolerance).select(*keys, "row_top", F.inline("_words")).select(*words.columns, "row_top")
 
 
-def printed_rows(words: DataFrame, keys: list[str], tolerance: float = 3.5, marks: dict[str, Column] | None = None) -> DataFrame:
+def printed_rows(
+    words: DataFrame,
+    keys: list[str],
+    tolerance: float = 3.5,
+    marks: dict[str, Column] | None = None,
+    labels: Column | None = None,
+    numbers: Column | None = None,
+) -> DataFrame:
     """Visual rows with their words from left to right, numbers already read.
 
     ``marks`` are further fields of a word, worked out before the words are gathered.
+    ``labels`` and ``numbers`` say, if given, whose text and whose number the layout reads; other
+    words are sent with what places them on the page alone.
     """
-    read = with_noisy_integer(words.select(*keys, "x0", "top", "x1", "text"), "text", "n")
+    read = words.select(*keys, "x0", "top", "x1", "text")
+    if numbers is None:
+        read = with_noisy_integer(read, "text", "n")
+    else:
+        read = with_noisy_integer(read.withColumn("_number", F.when(numbers, F.col("text"))), "_number", "n").drop("_number")
+    if labels is not None:
+        told = {"x1": F.when(F.col("n").isNotNull() | labels, F.col("x1")), "text": F.when(labels, F.col("text"))}
+        read = read.withColumns(told)
     return visual_rows(read.withColumns(marks or {}), keys, tolerance)
 
 
@@ -160,18 +176,29 @@ def assemble_statement(
     return two_years(named, year, prior_year)
 
 
-def printed_lines(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Number the lines that carry at least one amount, in printed order."""
+# A row begins more than the tolerance below the one before it, so a slice of
+# so many thousandths of a point holds about as many rows as one of ordered.SLICE lines.
+ROW_SLICE = SLICE * 3500
+
+
+def printed_lines(lines: DataFrame, keys: list[str], width: int = SLICE, spans: bool | None = None) -> DataFrame:
+    """Number the lines that carry at least one amount, in printed order.
+
+    Lines whose groups are known to lie in one slice each are read once and need not be written.
+    """
     emitted = F.col("current").isNotNull() | F.col("prior").isNotNull()
-    kept = materialize(lines.where(emitted), "lines")
-    return row_index(kept, keys, "_pos", "seq").withColumn("seq", F.col("seq").cast("int"))
+    kept = lines.where(emitted)
+    kept = kept if spans is False else materialize(kept, "lines")
+    return row_index(kept, keys, "_pos", "seq", width, spans).withColumn("seq", F.col("seq").cast("int"))
 
 
 def four_column_rows(words: DataFrame, keys: list[str], layout: dict = presets.FOUR_COLUMN_LAYOUT) -> DataFrame:
     """Words to visual rows of the layout current | party | prior | party."""
-    rows = printed_rows(words, keys, layout["row_tolerance"]).where(F.col("row_top") >= layout["skip_top"]).withColumn(
-        "_words", F.filter("_words", lambda w: ~w["text"].rlike(presets.FOUR_COLUMN_NOTE))
-    )
+    worded = F.col("x0") < layout["label_x0_max"]
+    counted = (F.col("x1") <= layout["current_x1_max"]) | F.col("x1").between(layout["prior_x1_min"], layout["prior_x1_max"])
+    # Notes are told before the words are gathered; they keep their place only.
+    note = F.coalesce(F.col("text").rlike(presets.FOUR_COLUMN_NOTE), F.lit(True))
+    rows = printed_rows(words, keys, layout["row_tolerance"], labels=worded & ~note, numbers=counted & ~note).where(F.col("row_top") >= layout["skip_top"])
     is_current = lambda w: w["x1"] <= layout["current_x1_max"]
     is_prior = lambda w: w["x1"].between(layout["prior_x1_min"], layout["prior_x1_max"])
     numbers = lambda test: F.filter("_words", lambda w: w["n"].isNotNull() & test(w))
@@ -200,7 +227,10 @@ def assemble_four_columns(
     """
     rows = materialize(_line_position(four_column_rows(words, [*keys, page], layout), keys, page), "rows")
     rows = rows.withColumn("_valued", F.col("current").isNotNull() | F.col("prior").isNotNull())
-    indexed = row_index(rows, keys, "_pos")
+    # Groups within one slice are shuffled once for all that follows.
+    spans, missing = positions(rows, "_pos", ROW_SLICE)
+    spans = None if missing else spans
+    indexed = row_index(rows, keys, "_pos", width=ROW_SLICE, spans=spans, keep_slice=spans is False)
     around = neighbours(indexed, keys, "idx", ["label", "row_top", "_valued"], {"above": -1, "above2": -2, "below": 1})
     near = lambda a, b: F.abs(a - b) <= layout["label_gap"]
     label_only = lambda r: ~F.col(f"{r}._valued") & (F.col(f"{r}.label") != "")
@@ -209,7 +239,7 @@ def assemble_four_columns(
     lower = F.when(label_only("below") & near(F.col("below.row_top"), F.col("row_top")), F.col("below.label"))
     own = F.when(F.col("label") != "", F.col("label"))
     lines = around.where("_valued").withColumn("name", F.trim(F.concat_ws(" ", upper, own, lower))).where(F.col("name") != "")
-    sequenced = printed_lines(lines, keys)
+    sequenced = printed_lines(lines.drop("idx", "above", "above2", "below", "label", "row_top"), keys, ROW_SLICE, spans)
     first_word = F.lower(F.element_at(F.split("name", r"\s+"), 1))
     shouting = (F.col("name") == F.upper("name")) & (F.length("name") > 1)
     named = sequenced.select(
@@ -240,7 +270,10 @@ def counterparty_rows(
     A number belongs to the first column whose right bound is not exceeded;
     beyond the last bound it belongs to the last column.
     """
-    rows = printed_rows(words, [*keys, page], layout["row_tolerance"]).where(F.col("row_top") >= layout["skip_top"])
+    worded = F.col("x0") < label_x0_max
+    rows = printed_rows(words, [*keys, page], layout["row_tolerance"], labels=worded, numbers=F.col("x0") >= label_x0_max).where(
+        F.col("row_top") >= layout["skip_top"]
+    )
     label = _texts(F.filter("_words", lambda w: w["x0"] < label_x0_max))
     wanted = rows.where(F.lower(label).startswith(entity.lower()))
     cells = wanted.select(*keys, page, "row_top", F.inline(F.filter("_words", lambda w: w["x0"] >= label_x0_max)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgerloom import presets
-from ledgerloom.operators import blocks, ordered
+from ledgerloom.operators import blocks, ordered, words
 
 
 def plan_of(df):
@@ -74,3 +74,42 @@ def test_what_follows_is_not_worked_out_anew_per_row(frame, width):
     # The rows handed from slice to slice, few as they are, may still be read to the end.
     if spans is False:
         assert "unboundedfollowing" not in plan_of(got).lower()
+
+
+def test_neighbours_are_sent_once(frame):
+    data = [(d, i, f"t{d}{i}") for d in (1, 2) for i in range(23)]
+    df = frame(data, "doc int, idx long, name string")
+    for width in (1, 2, 5, ordered.SLICE):
+        near = ordered.neighbours(df, ["doc"], "idx", ["name"], {"above": -1, "above2": -2, "below": 1}, width)
+        got = {(r["doc"], r["idx"]): [x and x["name"] for x in (r["above"], r["above2"], r["below"])] for r in near.collect()}
+        assert got == {(d, i): [f"t{d}{j}" if 0 <= j < 23 else None for j in (i - 1, i - 2, i + 1)] for d, i, _ in data}
+    sent = near._jdf.queryExecution().optimizedPlan().toString()
+    assert sent.count("Generate") == 1 and "Aggregate" not in sent
+
+
+def four_column_words(pages=(1, 2, 40)):
+    out = []
+    for page in pages:
+        for i in range(6):
+            top = 100.0 + 40 * i
+            out += [(1, page, f"Voce{i}", 50.0, 80.0, top), (1, page, "(15)", 81.0, 90.0, top), (1, page, "12", 91.0, 95.0, top), (1, page, f"1.{i}00", 320.0, 360.0, top)]
+            out += [(1, page, "999", 380.0, 410.0, top), (1, page, f"(2.{i}00)", 440.0, 480.0, top + 1), (1, page, "sotto", 50.0, 80.0, top + 8), (1, page, None, 50.0, 80.0, top)]
+    return out
+
+
+def test_four_columns_are_shuffled_once_behind_their_rows(spark, frame):
+    ddl = "doc int, page int, text string, x0 double, x1 double, top double"
+    made = {}
+    for pages in ((1, 2), (1, 2, 40)):  # one slice, several slices
+        df = frame(four_column_words(pages), ddl)
+        made[pages] = words.assemble_four_columns(df, ["doc"], "page", F.lit(2024), F.lit(2023))
+        got = rows(made[pages].withColumn("value", F.col("value").cast("int")), "seq", "page", "name", "year", "value")
+        want = [(k * 6 + i, p, f"Voce{i} 12 sotto", y, v) for k, p in enumerate(pages) for i in range(6) for y, v in ((2023, -2000 - 100 * i), (2024, 1000 + 100 * i))]
+        assert got == sorted(want)
+    assert exchanges(made[(1, 2)]) == 1
+
+
+def test_words_beside_the_table_are_sent_without_text(spark):
+    df = spark.createDataFrame([(1, 1, "Ente", 50.0, 80.0, 100.0), (1, 1, "x1.000", 320.0, 360.0, 100.0), (1, 1, "nota", 600.0, 620.0, 100.0)], "doc int, page int, text string, x0 double, x1 double, top double")
+    made = words.printed_rows(df, ["doc", "page"], labels=F.col("x0") < 255, numbers=F.col("x1") < 370).first()["_words"]
+    assert [(w["text"], w["n"], w["x1"]) for w in made] == [("Ente", None, 80.0), (None, 1000, 360.0), (None, None, None)]
