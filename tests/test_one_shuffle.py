@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from ledgerloom import presets
 from ledgerloom.operators import blocks, ordered, words
+from ledgerloom.plans import q_reports  # noqa: F401  registers its queries
+from ledgerloom.plans.registry import QUERIES
 
 
 def plan_of(df):
@@ -113,3 +115,18 @@ def test_words_beside_the_table_are_sent_without_text(spark):
     df = spark.createDataFrame([(1, 1, "Ente", 50.0, 80.0, 100.0), (1, 1, "x1.000", 320.0, 360.0, 100.0), (1, 1, "nota", 600.0, 620.0, 100.0)], "doc int, page int, text string, x0 double, x1 double, top double")
     made = words.printed_rows(df, ["doc", "page"], labels=F.col("x0") < 255, numbers=F.col("x1") < 370).first()["_words"]
     assert [(w["text"], w["n"], w["x1"]) for w in made] == [("Ente", None, 80.0), (None, 1000, 360.0), (None, None, None)]
+
+
+def test_second_page_needs_no_lookup_of_its_lines(spark, tmp_path):
+    """Both pages are printed from one table of lines, and no words are joined to lines."""
+    def write(name, df):
+        df.coalesce(1).write.parquet(f"{tmp_path}/t/{name}.parquet")
+
+    line = [(1, 1, 1, "A", "F"), (1, 2, 1, "A", "O"), (2, 1, 1, "N", "F"), (None, 1, 1, "A", "F"), (3, None, 1, "A", "F"), (4, 1, 1, "A", None)]
+    made = spark.createDataFrame(line, "l_orderkey long, l_linenumber int, l_partkey long, l_returnflag string, l_linestatus string")
+    write("lineitem", made.withColumns({"l_extendedprice": F.lit(1234.5), "l_quantity": F.lit(7.0)}))
+    write("part", spark.createDataFrame([(1, "hot bolt")], "p_partkey long, p_name string"))
+    df = QUERIES["extract_counterparty_pages"](spark, f"{tmp_path}/t")
+    got = {(r["doc"], r["page"]): r["value"] for r in df.collect()}
+    assert (1, 413) in got and (4, 413) not in got and (None, 412) in got and (None, 413) not in got and (2, 412) not in got
+    assert "LeftSemi" not in plan_of(df) and plan_of(df).count("lineitem") == 0
